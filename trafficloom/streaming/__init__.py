@@ -1,0 +1,5 @@
+"""No streaming operators: every step of this engine reads complete inputs.
+
+The mapping and clean-up functions are stateless column expressions, so they apply to a
+streaming DataFrame unchanged (see ``tests/test_streaming.py``).
+"""
