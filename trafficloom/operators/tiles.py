@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from trafficloom.catalogue_data import DATASETS, PROFILES, Profile
 from trafficloom.functions import geometry as geo
 from trafficloom.functions import tiling
+from trafficloom.operators.keyed import attach
 
 TILE = ("layer", "z", "x", "y")
 SALTS = 64  # first ranking round of a crowded tile
@@ -118,13 +119,8 @@ def coalesce_features(
     keys = [*TILE, *attributes]
     counted = df.withColumn("_shape", geo.shape_hash(F.col("geometry")))
     sizes = counted.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > chunk)
-    same = reduce(lambda a, b: a & b, [counted[k].eqNullSafe(sizes[k]) for k in keys])
-    spread = counted.join(sizes.select(*keys, "_n"), same, "left").select(
-        *[counted[c] for c in counted.columns],
-        F.pmod(
-            counted["_shape"], F.coalesce(F.ceil(F.col("_n") / chunk), F.lit(1)).cast("bigint")
-        ).alias("_chunk"),
-    )
+    rows = F.coalesce(F.ceil(F.col("_n") / chunk), F.lit(1)).cast("bigint")
+    spread = attach(counted, sizes, keys).withColumn("_chunk", F.pmod("_shape", rows))
     kind = F.col("geometry.kind")
     merged = spread.groupBy(*keys, "_chunk").agg(
         F.flatten(F.sort_array(F.collect_list("geometry.parts"))).alias("_parts"),
