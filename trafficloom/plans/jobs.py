@@ -21,7 +21,7 @@ from trafficloom.operators import catalogue as cat
 from trafficloom.operators import contract
 from trafficloom.operators.canonical import canonical_columns, write_ready
 from trafficloom.operators.grouping import backfill, group_summary, route
-from trafficloom.operators.tiles import dataset_tiles
+from trafficloom.operators.tiles import combine, dataset_tiles
 from trafficloom.sources.landing import landed_layers
 from trafficloom.sources.registry import plan_for
 
@@ -145,8 +145,12 @@ def read_interim(spark: SparkSession, warehouse: str) -> DataFrame:
     paths = newest(spark, warehouse, "build")
     if not paths:
         raise FileNotFoundError(f"no built source in {warehouse}; run build_all first")
-    read = spark.read.option("mergeSchema", "true").parquet(*paths.values())
-    return backfill(read, LEVEL_OF)
+    alike: dict[str, list[str]] = {}
+    for path in paths.values():
+        alike.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
+    return combine(
+        [backfill(spark.read.parquet(*same), LEVEL_OF) for same in alike.values()]
+    )
 
 
 def merge(spark: SparkSession, warehouse: str, run: str | None = None) -> DataFrame:
