@@ -40,6 +40,9 @@ WGS84 = (6378137.0, 298.257223563)
 # ----------------------------------------------------------------------------------------
 
 
+BOX = ("xmin", "ymin", "xmax", "ymax")
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once and use it several times inside a lambda expression."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -89,7 +92,11 @@ def is_point(geom: Column) -> Column:
 
 def bounds(geom: Column) -> Column:
     """Envelope of one geometry: ``struct<xmin,ymin,xmax,ymax>``."""
-    points = F.flatten(geom["parts"])
+    return bounds_of_parts(geom["parts"])
+
+
+def bounds_of_parts(parts: Column) -> Column:
+    points = F.flatten(parts)
     xs = F.transform(points, lambda p: p["x"])
     ys = F.transform(points, lambda p: p["y"])
     return F.struct(
@@ -260,34 +267,22 @@ def _triple(a: Column, b: Column, c: Column) -> Column:
     return F.struct(a.alias("a"), b.alias("b"), c.alias("c"))
 
 
-def _point_to_wgs84(zone: Zone, p: Column) -> Column:
-    """One ``struct<x,y>`` to lon/lat; each step is bound once, see ``let``."""
-
-    def datum(v: Column) -> Column:  # v: phi, lam in radians
-        if not zone.helmert:
-            return xy(F.degrees(v["b"]), F.degrees(v["a"]))
-        return let(
-            _triple(*_to_earth_centred(zone, v["a"], v["b"])),
-            lambda e: let(
-                _triple(*_shift(zone, e["a"], e["b"], e["c"])),
-                lambda s: let(
-                    _pair(*_from_earth_centred(s["a"], s["b"], s["c"])),
-                    lambda w: xy(F.degrees(w["b"]), F.degrees(w["a"])),
-                ),
-            ),
-        )
+def _parts_to_wgs84(zone: Zone, parts: Column) -> Column:
+    """All points of a geometry, one pass over the points per step of the calculation."""
+
+    def step(points: Column, change: Callable[[Column], Column]) -> Column:
+        return F.transform(points, lambda part: F.transform(part, change))
 
     meridian = F.lit(math.radians(zone.meridian))
-    return let(
-        _pair(*_grid(zone, p["x"], p["y"])),
-        lambda g: let(
-            _pair(*_conformal(zone, g["a"], g["b"])),
-            lambda q: let(
-                _pair(*_angles(q["a"], q["b"])),
-                lambda r: let(_pair(_latitude(zone, r["a"]), r["b"] + meridian), datum),
-            ),
-        ),
-    )
+    out = step(parts, lambda p: _pair(*_grid(zone, p["x"], p["y"])))
+    out = step(out, lambda p: _pair(*_conformal(zone, p["a"], p["b"])))
+    out = step(out, lambda p: _pair(*_angles(p["a"], p["b"])))
+    out = step(out, lambda p: _pair(_latitude(zone, p["a"]), p["b"] + meridian))
+    if zone.helmert:
+        out = step(out, lambda p: _triple(*_to_earth_centred(zone, p["a"], p["b"])))
+        out = step(out, lambda p: _triple(*_shift(zone, p["a"], p["b"], p["c"])))
+        out = step(out, lambda p: _pair(*_from_earth_centred(p["a"], p["b"], p["c"])))
+    return step(out, lambda p: xy(F.degrees(p["b"]), F.degrees(p["a"])))
 
 
 def to_wgs84(geom: Column, srid: int | None = None) -> Column:
@@ -302,7 +297,7 @@ def to_wgs84(geom: Column, srid: int | None = None) -> Column:
         return F.struct(
             geom["kind"].alias("kind"),
             F.lit(SRID).alias("srid"),
-            map_points(geom, lambda p: _point_to_wgs84(zone, p)).alias("parts"),
+            _parts_to_wgs84(zone, geom["parts"]).alias("parts"),
         )
 
     if srid == SRID:

@@ -120,3 +120,13 @@ def parts_tiles(points: Column, parts: Column, size: Column) -> Column:
     dots = F.transform(F.flatten(parts), lambda p: tile(cell(p["x"] * size), cell(p["y"] * size)))
     lines = F.flatten(F.transform(parts, lambda part: part_tiles(part, size)))
     return F.array_distinct(F.when(points, dots).otherwise(lines))
+
+
+def box_tiles(box: Column, several: Column, size: Column) -> Column:
+    """The one tile that holds the whole box, else whatever ``several`` works out.
+
+    Most features lie inside a single tile at most zooms; only the others are walked.
+    """
+    x, y = cell(box["xmin"] * size), cell(box["ymin"] * size)
+    inside = (x == cell(box["xmax"] * size)) & (y == cell(box["ymax"] * size))
+    return F.when(inside, F.array(tile(x, y))).otherwise(several)

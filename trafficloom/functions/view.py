@@ -48,39 +48,32 @@ def popup_share(kfz: Column, sv: Column, share: Column) -> Column:
     return F.when(sv.isNotNull(), counted).otherwise(share)
 
 
-def stop_index(value: Column, stops: Sequence[float]) -> Column:
-    """Number of stops at or below the value, at least one; null without a value."""
-    passed = F.lit(1)
-    for stop in stops[1:]:
-        passed = passed + (value >= stop).cast("int")
-    return F.when(value.isNotNull(), passed)
-
-
 def legend_label(value: Column, stops: Sequence[float], labels: Sequence[str]) -> Column:
-    label = F.get(F.array(*[F.lit(t) for t in labels]), stop_index(value, stops) - 1)
-    return F.coalesce(label, F.lit(NO_DATA_LABEL))
+    out = F.when(value.isNull(), F.lit(NO_DATA_LABEL))
+    for stop, label in zip(stops[1:], labels):
+        out = out.when(value < stop, F.lit(label))
+    return out.otherwise(F.lit(labels[-1]))
 
 
 def ramp_colour(value: Column, stops: Sequence[float], colours: Sequence[str]) -> Column:
-    """Colour between two stops, mixed per channel; clamped at both ends; grey without value."""
-    last = len(stops) - 1
-    low = F.least(stop_index(value, stops) - 1, F.lit(last))
-    high = F.least(low + 1, F.lit(last))
-
-    def at(values: Sequence[float], index: Column) -> Column:
-        return F.get(F.array(*[F.lit(float(v)) for v in values]), index)
-
-    span = at(stops, high) - at(stops, low)
-    inside = F.least(F.greatest(value - at(stops, low), F.lit(0.0)), span)
-    share = F.when(span > 0, inside / span).otherwise(F.lit(0.0))
-
-    def channel(start: int) -> Column:
-        parts = [int(c[start : start + 2], 16) for c in colours]
-        mixed = at(parts, low) + (at(parts, high) - at(parts, low)) * share
-        return F.lower(F.lpad(F.hex(F.floor(mixed + 0.5).cast("bigint")), 2, "0"))
-
-    mixed = F.concat(F.lit("#"), channel(1), channel(3), channel(5))
-    return F.when(value.isNotNull(), mixed).otherwise(F.lit(NO_DATA))
+    """Colour between two stops, mixed per channel; clamped at both ends; grey without value.
+
+    One branch per pair of neighbouring stops, so a row evaluates a single mix.
+    """
+
+    def mix(i: int) -> Column:
+        share = (value - F.lit(float(stops[i]))) / F.lit(float(stops[i + 1] - stops[i]))
+        parts = [F.lit("#")]
+        for at in (1, 3, 5):
+            low, high = (int(colours[j][at : at + 2], 16) for j in (i, i + 1))
+            level = F.floor(F.lit(float(low)) + F.lit(float(high - low)) * share + 0.5)
+            parts.append(F.lower(F.lpad(F.hex(level.cast("bigint")), 2, "0")))
+        return F.concat(*parts)
+
+    out = F.when(value.isNull(), F.lit(NO_DATA)).when(value < stops[0], F.lit(colours[0]))
+    for i in range(len(stops) - 1):
+        out = out.when(value < stops[i + 1], mix(i))
+    return out.otherwise(F.lit(colours[-1]))
 
 
 def daily_from_annual(flow: Column) -> Column:

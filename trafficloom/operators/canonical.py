@@ -156,9 +156,11 @@ def points_from_xy(df: DataFrame, x: str, y: str, srid: int = SRID) -> DataFrame
 
 
 def write_ready(df: DataFrame) -> DataFrame:
-    """Only rows with a geometry, with a flat envelope beside it for file pruning."""
-    box = geo.bounds(F.col("geometry"))
-    kept = df.filter(~geo.is_missing(F.col("geometry"))).withColumn("_box", box)
-    return kept.select(
-        *df.columns, *[F.col(f"_box.{n}").alias(n) for n in ("xmin", "ymin", "xmax", "ymax")]
-    )
+    """Only rows with a geometry, with a flat envelope beside it for file pruning.
+
+    The envelope comes out of a generator that yields nothing for a missing geometry, so the
+    test is not copied into a filter below, where the geometry would be worked out twice.
+    """
+    geometry = F.col("geometry")
+    box = F.when(~geo.is_missing(geometry), F.array(geo.bounds(geometry)))
+    return df.select(*df.columns, F.inline(box))

@@ -20,7 +20,6 @@ from trafficloom.model import LEVELS
 from trafficloom.operators.grouping import check_sources
 
 SOURCE_KEYS = ("name", "level", "state", "status", "kind", "year", "metric", "license")
-BOX = ("xmin", "ymin", "xmax", "ymax")
 
 
 def source_table(spark: SparkSession, sources: Sequence = SOURCES) -> DataFrame:
@@ -42,10 +41,10 @@ def dataset_table(spark: SparkSession) -> DataFrame:
 
 def with_bounds(features: DataFrame) -> DataFrame:
     """Flat envelope columns, unless the table was written with them."""
-    if set(BOX) <= set(features.columns):
+    if set(geo.BOX) <= set(features.columns):
         return features
     box = features.withColumn("_box", geo.bounds(F.col("geometry")))
-    return box.withColumns({n: F.col(f"_box.{n}") for n in BOX}).drop("_box")
+    return box.withColumns({n: F.col(f"_box.{n}") for n in geo.BOX}).drop("_box")
 
 
 def bounds_of(prefix: str = "") -> list[Column]:

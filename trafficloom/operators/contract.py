@@ -116,9 +116,9 @@ def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 def quarantine(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Valid rows, and the others with the names of the rules they break."""
     rules = broken_rules()
-    marked = df.withColumn(
-        "broken",
-        F.array_compact(F.array(*[F.when(bad, F.lit(rule)) for rule, bad in rules.items()])),
-    )
+    found = F.array_compact(F.array(*[F.when(bad, F.lit(rule)) for rule, bad in rules.items()]))
+    # Exploding the one list keeps it a value of the row: a plain column would be copied into
+    # the filters, and they would work out the geometry a second time.
+    marked = df.withColumn("broken", F.explode(F.array(found)))
     good = marked.filter(F.size("broken") == 0).drop("broken")
     return good, marked.filter(F.size("broken") > 0)

@@ -40,6 +40,14 @@ def first_per_key(
     return picked.select(*keys, *[F.col(f"_row.`{c}`").alias(c) for c in rest])
 
 
+def pick_first(
+    df: DataFrame, keys: Sequence[str], columns: Sequence[str], order: Column
+) -> DataFrame:
+    """Key and chosen columns of the first row per key; the order is not carried along."""
+    picked = df.groupBy(*keys).agg(F.min_by(F.struct(*columns), order).alias("_row"))
+    return picked.select(*keys, *[F.col(f"_row.`{c}`").alias(c) for c in columns])
+
+
 def last_per_key(df: DataFrame, keys: Sequence[str], order: Column) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
     picked = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("_row"))
@@ -73,8 +81,7 @@ def attach_first(
 ) -> DataFrame:
     """Left join with the first right row per key; the number of left rows stays."""
     order = input_order(right) if order is None else order
-    slim = right.select(*keys, *columns, order.alias("_pick"))
-    return attach(left, first_per_key(slim, keys, F.col("_pick")).drop("_pick"), keys)
+    return attach(left, pick_first(right, keys, columns, order), keys)
 
 
 def join_stations(values: DataFrame, stations: DataFrame, key: str) -> DataFrame:
@@ -93,9 +100,8 @@ def join_node_pairs(
 
     def keyed(df: DataFrame, nodes: tuple[str, str], keep: Sequence[str]) -> DataFrame:
         order = input_order(df)
-        slim = df.select(node_pair(*[F.col(n) for n in nodes]).alias("_key"), *keep,
-                         order.alias("_pick"))
-        return first_per_key(slim, ["_key"], F.col("_pick")).drop("_pick")
+        with_key = df.withColumn("_key", node_pair(*[F.col(n) for n in nodes]))
+        return pick_first(with_key, ["_key"], keep, order)
 
     sections = keyed(net, net_nodes, ["geometry"])
     found = keyed(values, value_nodes, columns)

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,10 +23,25 @@ def cast_attributes(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     return df.withColumns({c: F.col(c).try_cast(t) for c, t in types.items() if c in df.columns})
 
 
+class Zooms(NamedTuple):
+    """First and last zoom of a row."""
+
+    first: Column
+    last: Column
+
+
+def zooms_of(profile: Profile) -> Zooms:
+    start = tiling.first_zoom(F.col("dtv_kfz"), profile.minzoom, bool(profile.ladder))
+    return Zooms(start, F.lit(profile.maxzoom))
+
+
+def spread(df: DataFrame, zooms: Zooms) -> DataFrame:
+    return df.withColumn("z", F.explode(F.sequence(zooms.first, zooms.last)))
+
+
 def zoom_rows(df: DataFrame, profile: Profile) -> DataFrame:
     """One row per feature and zoom it shows at; only those zooms are ever produced."""
-    start = tiling.first_zoom(F.col("dtv_kfz"), profile.minzoom, bool(profile.ladder))
-    return df.withColumn("z", F.explode(F.sequence(start, F.lit(profile.maxzoom))))
+    return spread(df, zooms_of(profile))
 
 
 def thin(df: DataFrame, rate: float, base_zoom: int, key: Column) -> DataFrame:
@@ -40,7 +56,7 @@ def thin(df: DataFrame, rate: float, base_zoom: int, key: Column) -> DataFrame:
     return df.filter(F.pmod(key, keep_one_in.cast("bigint")) == 0)
 
 
-def point_index(df: DataFrame, profile: Profile) -> DataFrame:
+def point_index(df: DataFrame, zooms: Zooms) -> DataFrame:
     """Tiles of single points: flat arithmetic, one row per point and zoom."""
     first = geo.first_point(F.col("geometry"))
     placed = df.withColumn("_p", first).withColumns(
@@ -48,23 +64,24 @@ def point_index(df: DataFrame, profile: Profile) -> DataFrame:
     )
     size = tiling.scale(F.col("z"))
     return (
-        zoom_rows(placed, profile)
+        spread(placed, zooms)
         .withColumns({"x": tiling.cell(F.col("_u") * size), "y": tiling.cell(F.col("_v") * size)})
         .drop("_p", "_u", "_v")
     )
 
 
-def shape_index(df: DataFrame, profile: Profile) -> DataFrame:
+def shape_index(df: DataFrame, zooms: Zooms) -> DataFrame:
     """Tiles of any geometry: worked out inside the feature's row, so nothing is shuffled."""
-    placed = df.withColumn("_unit", tiling.unit_parts(F.col("geometry")))
-    tiles = tiling.parts_tiles(
-        geo.is_point(F.col("geometry")), F.col("_unit"), tiling.scale(F.col("z"))
+    placed = df.withColumn("_unit", tiling.unit_parts(F.col("geometry"))).withColumn(
+        "_box", geo.bounds_of_parts(F.col("_unit"))
     )
+    size = tiling.scale(F.col("z"))
+    walked = tiling.parts_tiles(geo.is_point(F.col("geometry")), F.col("_unit"), size)
     return (
-        zoom_rows(placed, profile)
-        .withColumn("_t", F.explode(tiles))
+        spread(placed, zooms)
+        .withColumn("_t", F.explode(tiling.box_tiles(F.col("_box"), walked, size)))
         .withColumns({"x": F.col("_t.x"), "y": F.col("_t.y")})
-        .drop("_unit", "_t")
+        .drop("_unit", "_box", "_t")
     )
 
 
@@ -82,7 +99,7 @@ def tile_index(
     """
     key = F.xxhash64(*df.columns) if key is None else key
     keyed = cast_attributes(df, dict(profile.types)).withColumn("_key", key)
-    cut = (point_index if single_points else shape_index)(keyed, profile)
+    cut = (point_index if single_points else shape_index)(keyed, zooms_of(profile))
     out = cut.withColumn("layer", F.lit(layer or profile.layer))
     base = profile.maxzoom if profile.base_zoom is None else profile.base_zoom
     out = thin(out, profile.drop_rate, base, F.col("_key"))
@@ -143,24 +160,60 @@ def combine(layers: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), layers)
 
 
+def all_alike(profiles: Sequence[Profile]) -> bool:
+    """Do the profiles only differ in layer, zooms and ladder?"""
+    return all(
+        p.drop_rate <= 1 and not p.max_features and not p.coalesce and p.types == profiles[0].types
+        for p in profiles
+    )
+
+
+def one_pass(routed: DataFrame, profiles: Mapping[str, Profile]) -> DataFrame:
+    """Tiles of several groups in one scan, each row with its own group's layer and zooms."""
+
+    def by_group(value: Callable[[Profile], Column]) -> Column:
+        out = None
+        for group, profile in profiles.items():
+            when = F.when if out is None else out.when
+            out = when(F.col("group") == group, value(profile))
+        return out
+
+    first = next(iter(profiles.values()))
+    rows = cast_attributes(routed.filter(F.col("group").isin(*profiles)), dict(first.types))
+    zooms = Zooms(by_group(lambda p: zooms_of(p).first), by_group(lambda p: zooms_of(p).last))
+    layer = by_group(lambda p: F.lit(p.layer))
+    return shape_index(rows.withColumn("layer", layer), zooms)
+
+
 def dataset_tiles(
     routed: DataFrame,
     present: Sequence[str],
     only: Sequence[str] | None = None,
     profiles: Mapping[str, Profile] = PROFILES,
 ) -> DataFrame:
-    """Tiles of all datasets (or the ones named) whose groups are present."""
-    parts = []
-    for dataset in DATASETS:
-        if only and dataset.key not in only:
-            continue
-        for group in dataset.groups:
-            if group not in present:
-                continue
-            rows = routed.filter(F.col("group") == group).drop("group")
-            parts.append(
-                tile_index(rows, profiles[group]).withColumn("dataset", F.lit(dataset.key))
-            )
-    if not parts:
+    """Tiles of all datasets (or the ones named) whose groups are present.
+
+    Profiles without thinning, limit or merging share one scan of the features.
+    """
+    wanted = {
+        group: dataset.key
+        for dataset in DATASETS
+        for group in dataset.groups
+        if group in present and (not only or dataset.key in only)
+    }
+    if not wanted:
         raise FileNotFoundError("no merged group to cut into tiles")
-    return combine(parts)
+    chosen = {group: profiles[group] for group in wanted}
+    columns = [c for c in routed.columns if c != "group"]
+    if all_alike(list(chosen.values())):
+        cut = one_pass(routed, chosen)
+    else:
+        cut = combine(
+            [
+                tile_index(routed.filter(F.col("group") == group).drop("group"), profile)
+                .withColumn("group", F.lit(group))
+                for group, profile in chosen.items()
+            ]
+        )
+    dataset = F.create_map(*[F.lit(t) for pair in wanted.items() for t in pair])
+    return cut.select(dataset[F.col("group")].alias("dataset"), *TILE, *columns)

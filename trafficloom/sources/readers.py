@@ -244,8 +244,15 @@ def read_gml(
 
 
 def in_box(features: DataFrame, w: float, s: float, e: float, n: float) -> DataFrame:
-    """Features whose envelope touches the box."""
-    return features.filter(geo.intersects_box(geo.bounds(F.col("geometry")), w, s, e, n))
+    """Features whose envelope touches the box.
+
+    A table written with flat envelope columns is filtered by them, which skips files and row
+    groups; otherwise the envelope is worked out once per row.
+    """
+    if "xmin" in features.columns:
+        return features.filter(geo.intersects_box(F.struct(*geo.BOX), w, s, e, n))
+    boxed = features.withColumn("_box", F.explode(F.array(geo.bounds(F.col("geometry")))))
+    return boxed.filter(geo.intersects_box(F.col("_box"), w, s, e, n)).drop("_box")
 
 
 # ------------------------------------------------------------------------- link feeds
