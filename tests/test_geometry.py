@@ -129,13 +129,16 @@ def test_points_multipoints_and_edges_of_the_world(spark):
     assert sorted((r.station_id, r.x, r.y) for r in flat.collect()) == [(1, 7, 7), (2, 0, 0)]
 
 
-def test_limit_keeps_the_busiest_of_a_crowded_tile(spark):
+@pytest.mark.parametrize("ranked_ahead", ["1000", "10"])
+def test_limit_keeps_the_busiest_of_a_crowded_tile(spark, ranked_ahead):
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", ranked_ahead)
     df = spark.range(5000).selectExpr(
         "cast(id as int) as station_id", "case when id % 10 = 0 then null else id % 997 end as dtv_kfz",
         "named_struct('kind', 'Point', 'srid', 4326, 'parts', "
         "array(array(named_struct('x', 9D + id / 1e9, 'y', 50D)))) as geometry")
     cut = ops.tile_index(df, Profile("t", 8, 8, max_features=30), key=F.col("station_id"))
     got = sorted(r.station_id for r in cut.collect())
+    spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
     ranked = sorted(((0 if i % 10 else 1, -(i % 997), i) for i in range(5000)))
     assert got == sorted(i for _, _, i in ranked[:30])
 

@@ -43,11 +43,6 @@ WGS84 = (6378137.0, 298.257223563)
 BOX = ("xmin", "ymin", "xmax", "ymax")
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and use it several times inside a lambda expression."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def xy(x: Column, y: Column) -> Column:
     return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
 

@@ -11,7 +11,7 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from trafficloom.functions.geometry import let, map_points
+from trafficloom.functions.geometry import map_points
 
 # --- fixed values -----------------------------------------------------------------------
 # (zoom, smallest daily count shown from that zoom on); below the first zoom the last one holds.
@@ -71,55 +71,74 @@ def scale(zoom: Column) -> Column:
 
 
 def cell(c: Column) -> Column:
-    return F.floor(c).cast("int")
+    return F.floor(c)
+
+
+SHIFT = 2**32
 
 
 def tile(x: Column, y: Column) -> Column:
-    return F.struct(x.alias("x"), y.alias("y"))
+    """A tile as one number: lists of numbers are made distinct by hashing, structs are not."""
+    return x * F.lit(SHIFT) + y
 
 
-def segment_tiles(ax: Column, ay: Column, bx: Column, by: Column) -> Column:
-    """Tiles a straight segment (in tile units) runs through.
+def tile_x(code: Column) -> Column:
+    return F.shiftright(code, 32).cast("int")
 
-    Walks the tile columns the segment spans; inside one column the segment covers a gapless
-    range of rows. The work is the length of the segment, not the area of its envelope.
+
+def tile_y(code: Column) -> Column:
+    return code.bitwiseAND(F.lit(SHIFT - 1)).cast("int")
+
+
+def segments(unit: Column) -> Column:
+    """All segments of unit-square parts, west end first; a lone point is a segment of no length.
+
+    The slope is the same at every zoom, so this is worked out once per feature.
     """
-    slope = F.when(bx != ax, (by - ay) / (bx - ax))
 
-    def column_tiles(col: Column) -> Column:
-        left = F.greatest(F.least(ax, bx), col.cast("double"))
-        right = F.least(F.greatest(ax, bx), (col + 1).cast("double"))
-        y1 = F.coalesce(ay + (left - ax) * slope, ay)
-        y2 = F.coalesce(ay + (right - ax) * slope, by)
-        low = F.greatest(F.least(y1, y2), F.least(ay, by))
-        high = F.least(F.greatest(y1, y2), F.greatest(ay, by))
-        return F.transform(F.sequence(cell(low), cell(high)), lambda row: tile(col, row))
-
-    columns = F.sequence(cell(F.least(ax, bx)), cell(F.greatest(ax, bx)))
-    return F.flatten(F.transform(columns, column_tiles))
+    def between(a: Column, b: Column) -> Column:
+        east = a["x"] <= b["x"]
+        return F.struct(
+            F.least(a["x"], b["x"]).alias("x0"),
+            F.greatest(a["x"], b["x"]).alias("x1"),
+            F.when(east, a["y"]).otherwise(b["y"]).alias("y0"),
+            F.when(east, b["y"]).otherwise(a["y"]).alias("y1"),
+            F.when(a["x"] != b["x"], (b["y"] - a["y"]) / (b["x"] - a["x"])).alias("slope"),
+        )
+
+    def of_part(part: Column) -> Column:
+        n = F.size(part)
+        starts = F.slice(part, F.lit(1), F.greatest(n - 1, F.lit(1)))
+        ends = F.slice(part, F.greatest(F.least(n, F.lit(2)), F.lit(1)), F.greatest(n, F.lit(1)))
+        return F.zip_with(starts, ends, between)
+
+    return F.flatten(F.transform(unit, of_part))
 
 
-def part_tiles(part: Column, size: Column) -> Column:
-    """Tiles of one line part given in the unit square; a lone point has its own tile."""
+def segment_tiles(s: Column, size: Column) -> Column:
+    """Tiles a segment runs through at the zoom with ``size`` tiles per side.
+
+    Walks the tile columns the segment spans; inside one column the segment covers a gapless
+    range of rows. The work is the length of the segment, not the area of its envelope.
+    """
 
-    def walk(points: Column) -> Column:
-        tails = F.slice(points, F.lit(1), F.greatest(F.size(points) - 1, F.lit(1)))
-        heads = F.slice(points, F.least(F.size(points), F.lit(2)), F.size(points))
-        return F.flatten(
-            F.zip_with(
-                tails, heads, lambda a, b: segment_tiles(a["x"], a["y"], b["x"], b["y"])
-            )
+    def column_tiles(col: Column) -> Column:
+        enter = F.when(s["x0"] * size >= col, s["y0"]).otherwise(
+            s["y0"] + (col / size - s["x0"]) * s["slope"]
         )
+        leave = F.when(s["x1"] * size <= col + 1, s["y1"]).otherwise(
+            s["y0"] + ((col + 1) / size - s["x0"]) * s["slope"]
+        )
+        rows = F.sequence(cell(enter * size), cell(leave * size))  # down or up
+        return F.transform(rows, lambda row: tile(col, row))
 
-    scaled = F.transform(part, lambda p: tile(p["x"] * size, p["y"] * size))
-    return F.when(F.size(part) > 0, let(scaled, walk)).otherwise(F.array().cast("array<struct<x:int,y:int>>"))
+    columns = F.sequence(cell(s["x0"] * size), cell(s["x1"] * size))
+    return F.flatten(F.transform(columns, column_tiles))
 
 
-def parts_tiles(points: Column, parts: Column, size: Column) -> Column:
-    """Distinct tiles of a geometry (``parts`` in the unit square), worked out in its own row."""
-    dots = F.transform(F.flatten(parts), lambda p: tile(cell(p["x"] * size), cell(p["y"] * size)))
-    lines = F.flatten(F.transform(parts, lambda part: part_tiles(part, size)))
-    return F.array_distinct(F.when(points, dots).otherwise(lines))
+def cover(found: Column, size: Column) -> Column:
+    """Distinct tiles of all segments of a feature, worked out in its own row."""
+    return F.array_distinct(F.flatten(F.transform(found, lambda s: segment_tiles(s, size))))
 
 
 def box_tiles(box: Column, several: Column, size: Column) -> Column:

@@ -65,23 +65,32 @@ def point_index(df: DataFrame, zooms: Zooms) -> DataFrame:
     size = tiling.scale(F.col("z"))
     return (
         spread(placed, zooms)
-        .withColumns({"x": tiling.cell(F.col("_u") * size), "y": tiling.cell(F.col("_v") * size)})
+        .withColumns(
+            {
+                "x": tiling.cell(F.col("_u") * size).cast("int"),
+                "y": tiling.cell(F.col("_v") * size).cast("int"),
+            }
+        )
         .drop("_p", "_u", "_v")
     )
 
 
 def shape_index(df: DataFrame, zooms: Zooms) -> DataFrame:
     """Tiles of any geometry: worked out inside the feature's row, so nothing is shuffled."""
-    placed = df.withColumn("_unit", tiling.unit_parts(F.col("geometry"))).withColumn(
-        "_box", geo.bounds_of_parts(F.col("_unit"))
-    )
-    size = tiling.scale(F.col("z"))
-    walked = tiling.parts_tiles(geo.is_point(F.col("geometry")), F.col("_unit"), size)
+    unit = df.withColumn("_unit", tiling.unit_parts(F.col("geometry")))
+    placed = unit.withColumns(
+        {
+            "_segments": tiling.segments(F.col("_unit")),
+            "_box": geo.bounds_of_parts(F.col("_unit")),
+        }
+    ).drop("_unit")
+    sized = spread(placed, zooms).withColumn("_size", tiling.scale(F.col("z")))
+    size = F.col("_size")
+    tiles = tiling.box_tiles(F.col("_box"), tiling.cover(F.col("_segments"), size), size)
     return (
-        spread(placed, zooms)
-        .withColumn("_t", F.explode(tiling.box_tiles(F.col("_box"), walked, size)))
-        .withColumns({"x": F.col("_t.x"), "y": F.col("_t.y")})
-        .drop("_unit", "_box", "_t")
+        sized.withColumn("_t", F.explode(tiles))
+        .withColumns({"x": tiling.tile_x(F.col("_t")), "y": tiling.tile_y(F.col("_t"))})
+        .drop("_segments", "_box", "_size", "_t")
     )
 
 
@@ -114,15 +123,18 @@ def tile_index(
 def cap_per_tile(df: DataFrame, limit: int, tie: Column) -> DataFrame:
     """The ``limit`` busiest features of each tile.
 
-    A low-zoom tile may hold a large share of everything. So features are ranked in ``SALTS``
-    shares of the tile first, and only the best of each share meet in the final ranking.
+    A low-zoom tile may hold a large share of everything. Up to a limit set in the session,
+    Spark ranks inside each map task first and sends on at most ``limit`` rows per tile. Beyond
+    it, features are ranked in ``SALTS`` shares of the tile before the best of each share meet.
     """
     order = [F.desc_nulls_last("dtv_kfz"), tie]
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(tie), F.lit(SALTS)))
-    for place in ([*TILE, "_salt"], [*TILE]):
+    ahead = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+    rounds = [list(TILE)] if limit <= ahead else [[*TILE, "_salt"], list(TILE)]
+    out = df if limit <= ahead else df.withColumn("_salt", F.pmod(F.xxhash64(tie), F.lit(SALTS)))
+    for place in rounds:
         rank = F.row_number().over(Window.partitionBy(*place).orderBy(*order))
-        salted = salted.withColumn("_rank", rank).filter(F.col("_rank") <= limit).drop("_rank")
-    return salted.drop("_salt")
+        out = out.withColumn("_rank", rank).filter(F.col("_rank") <= limit).drop("_rank")
+    return out.drop("_salt")
 
 
 def coalesce_features(
