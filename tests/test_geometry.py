@@ -4,6 +4,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from trafficloom.catalogue_data import PROFILES, Profile
@@ -172,6 +173,10 @@ def test_coalesced_rows_stay_short_and_lose_nothing(spark):
     many = ops.coalesce_features(cut, ["road_class"], chunk=50)
     sizes = [len(r.geometry.parts) for r in many.collect()]
     assert sum(sizes) == 1000 and max(sizes) < 120
+    same = cut.withColumn("geometry", F.first("geometry").over(Window.partitionBy("z")))
+    copies = ops.coalesce_features(same, ["road_class"], chunk=50).collect()
+    sizes = [len(r.geometry.parts) for r in copies]
+    assert sum(sizes) == 1000 and max(sizes) < 150
     through_profile = ops.tile_index(df, Profile("t", 5, 5, coalesce=True))
     assert sum(len(r.geometry.parts) for r in through_profile.collect()) == 1000
 

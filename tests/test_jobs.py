@@ -64,6 +64,9 @@ def test_jobs_end_to_end(spark, tmp_path):
     assert document["svz_de"]["vintage"] == "2021" and document["svz_de"]["present"] is True
     assert document["svz_kommunal"]["vintage"] == "2024"
     by = document["_sources"]["by"]
+    assert by["access"][0]["label"] == "WFS" and "portal" not in by
+    assert document["_sources"]["koeln"]["portal"].startswith("https://")
+    assert "access" not in document["_sources"]["rp"]
     assert (by["n"], by["bbox"]) == (2, [10.0, 49.0, 11.1, 50.2])
     assert document["_sources"]["ravensburg"]["year"] == 2024  # the data beats the stated year
     assert "n" not in document["_sources"]["be"] and len(document["_sources"]) == 25

@@ -209,6 +209,19 @@ def test_catalogue_is_consistent():
     assert [least for _, least in p.ladder] == [0, 1000, 2000, 10000]
 
 
+def test_source_list_from_a_file(spark, tmp_path):
+    path = tmp_path / "sources.json"
+    path.write_text('{"xy": {"status": "live", "level": "land", "name": "Übung", "year": 2020}}')
+    row = catalogue.read_source_table(spark, str(path)).first()
+    assert (row.code, row.name, row.level, row.state, row.access) == (
+        "xy", "Übung", "land", None, None)
+    path.write_text("[1]")
+    with pytest.raises(ValueError):
+        catalogue.read_source_table(spark, str(path))
+    with pytest.raises(FileNotFoundError):
+        catalogue.read_source_table(spark, str(tmp_path / "none.json"))
+
+
 def test_panel_order_is_german(spark):
     stats = spark.createDataFrame([], "source string, n bigint, west double, south double, "
                                       "east double, north double, year int")

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trafficloom.catalogue_data import (
+    ACCESS,
     DATASETS,
     EXTERNAL_SOURCE,
     LEVEL_ORDER,
     MARKER_LEVELS,
     SORTED_LEVELS,
     SOURCES,
+    Source,
+    portal,
 )
 from trafficloom.functions import geometry as geo
 from trafficloom.model import LEVELS
@@ -23,12 +27,26 @@ SOURCE_KEYS = ("name", "level", "state", "status", "kind", "year", "metric", "li
 
 
 def source_table(spark: SparkSession, sources: Sequence = SOURCES) -> DataFrame:
+    """The hand-kept source list as a table, with where to fetch each source."""
     check_sources(sources)
-    rows = [(i, *s) for i, s in enumerate(sources)]
+    rows = [(i, *s, portal(s.code), ACCESS.get(s.code)) for i, s in enumerate(sources)]
     return spark.createDataFrame(
         rows,
         "ord int, code string, status string, level string, name string, state string, "
-        "kind string, year int, license string, metric string",
+        "kind string, year int, license string, metric string, portal string, "
+        "access array<struct<label:string,url:string>>",
+    )
+
+
+def read_source_table(spark: SparkSession, path: str) -> DataFrame:
+    """A source list kept as a JSON object ``{code: {...}}`` beside the data."""
+    with open(path, encoding="utf-8") as file:
+        listed = json.load(file)
+    if not isinstance(listed, dict):
+        raise ValueError(f"{path} does not hold an object of sources")
+    return source_table(
+        spark,
+        [Source(code, **{f: s.get(f) for f in Source._fields[1:]}) for code, s in listed.items()],
     )
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from trafficloom.catalogue_data import DATASETS, PROFILES, Profile
 from trafficloom.functions import geometry as geo
 from trafficloom.functions import tiling
+from trafficloom.model import POINT_KINDS
 from trafficloom.operators.keyed import attach
 
 TILE = ("layer", "z", "x", "y")
@@ -142,29 +143,45 @@ def coalesce_features(
 ) -> DataFrame:
     """Features of one tile with the same attributes become one multi-part feature.
 
-    A row holds at most about ``chunk`` features: a larger set is spread over several rows by
-    the features' shape, so no task gathers an unbounded group. All parts are kept.
+    A row holds about ``chunk`` features at most; a larger set is spread over several rows, and
+    all parts are kept. Copies of one shape are counted before the shuffle and travel as a
+    number, so neither a crowded tile nor a shape that repeats endlessly meets in one task.
     """
     keys = [*TILE, *attributes]
-    counted = df.withColumn("_shape", geo.shape_hash(F.col("geometry")))
-    sizes = counted.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > chunk)
-    rows = F.coalesce(F.ceil(F.col("_n") / chunk), F.lit(1)).cast("bigint")
-    spread = attach(counted, sizes, keys).withColumn("_chunk", F.pmod("_shape", rows))
-    kind = F.col("geometry.kind")
-    merged = spread.groupBy(*keys, "_chunk").agg(
-        F.flatten(F.sort_array(F.collect_list("geometry.parts"))).alias("_parts"),
-        F.bool_and(geo.is_point(F.col("geometry"))).alias("_points"),
-        F.min("geometry.srid").alias("_srid"),
-        F.min(kind).alias("_kind"),
-        F.count("*").alias("_features"),
+    geometry = F.col("geometry")
+    shapes = df.groupBy(*keys, geometry["kind"].alias("_kind"), geometry["parts"].alias("_parts"))
+    counted = shapes.agg(F.count("*").alias("_n"), F.min("geometry.srid").alias("_srid"))
+
+    # Copies in portions small beside a chunk; a portion's number is part of its hash.
+    portion = max(chunk // 10, 1)
+    numbers = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_n") - 1) / portion))
+    pieces = counted.withColumn("_i", F.explode(numbers)).withColumns(
+        {
+            "_copies": F.least(F.lit(portion), F.col("_n") - F.col("_i") * portion).cast("int"),
+            "_hash": F.xxhash64("_parts", "_i"),
+        }
     )
-    multi = F.when(F.col("_points"), "MultiPoint").otherwise("MultiLineString")
-    shape = geo.geometry(
-        F.when(F.col("_features") == 1, F.col("_kind")).otherwise(multi),
-        F.col("_srid"),
-        F.col("_parts"),
+    large = counted.groupBy(*keys).agg(F.sum("_n").alias("_total"))
+    large = large.filter(F.col("_total") > chunk)
+    rows = F.coalesce(F.ceil(F.col("_total") / chunk), F.lit(1)).cast("bigint")
+    merged = (
+        attach(pieces, large, keys)
+        .withColumn("_chunk", F.pmod("_hash", rows))
+        .groupBy(*keys, "_chunk")
+        .agg(
+            F.sort_array(F.collect_list(F.struct("_parts", "_copies"))).alias("_all"),
+            F.bool_and(F.col("_kind").isin(*POINT_KINDS)).alias("_points"),
+            F.min("_srid").alias("_srid"),
+            F.min("_kind").alias("_kind"),
+            F.sum("_copies").alias("_features"),
+        )
+    )
+    parts = F.flatten(
+        F.transform("_all", lambda p: F.flatten(F.array_repeat(p["_parts"], p["_copies"])))
     )
-    return merged.select(*keys, shape.alias("geometry"))
+    multi = F.when(F.col("_points"), "MultiPoint").otherwise("MultiLineString")
+    kind = F.when(F.col("_features") == 1, F.col("_kind")).otherwise(multi)
+    return merged.select(*keys, geo.geometry(kind, F.col("_srid"), parts).alias("geometry"))
 
 
 def combine(layers: Sequence[DataFrame]) -> DataFrame:
