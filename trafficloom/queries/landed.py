@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from trafficloom.catalogue_data import BY_CODE
+from trafficloom.catalogue_data import BY_CODE, LEVEL_OF, live_codes
 from trafficloom.functions import geometry as geo
 from trafficloom.model import ORDINAL
+from trafficloom.operators import grouping
+from trafficloom.operators.catalogue import source_stats
+from trafficloom.operators.tiles import combine
 from trafficloom.queries import standins as s
 from trafficloom.queries.joins import (
     EDGES_SQL,
@@ -18,9 +21,28 @@ from trafficloom.queries.joins import (
     lines,
     node_sql,
 )
-from trafficloom.queries.registry import query, table
+from trafficloom.queries.registry import QUERIES, Run, query, table
 from trafficloom.sources import municipal, readers, states
 
+FEATURES: dict[str, Run] = {}  # canonical features of every source
+
+
+def source(sql):
+    """Register a source's plan: its flat form is compared, its features can be merged."""
+
+    def keep(run: Run) -> Run:
+        FEATURES[run.__name__.removeprefix("source_")] = run
+
+        def flat(spark, folder):
+            return s.flat(run(spark, folder))
+
+        flat.__name__ = run.__name__
+        query(sql)(flat)
+        return run
+
+    return keep
+
+
 TEXT = "cast(cast(floor(o_totalprice / 10) as bigint) as string) || '.0'"
 KFZ = "case when o_orderkey % 10 = 0 then 0.0 else floor(o_totalprice / 5) / 2.0 end"
 SV = "case when o_custkey % 4 = 0 then 0.0 when o_custkey % 7 = 0 then null else floor(o_totalprice / 70) end"
@@ -98,7 +120,7 @@ BY = {
 }
 
 
-@query(f"""
+@source(f"""
     with t as (select {cells(BY)}, {LON} as lon, {LAT} as lat from orders)
     {canonical("by", "t", '"DTV_Kfz"', '"DTV_SV"',
         road_class=by_code('trim("Straßenklasse")', "L", A="A", B="B", St="L", K="K"),
@@ -106,7 +128,7 @@ BY = {
 """)
 def source_by(spark, folder):
     layer = shaped(orders(spark, folder), BY, 4326, LON, LAT)
-    return s.flat(states.by({"sections": layer}))
+    return states.by({"sections": layer})
 
 
 BE = {
@@ -118,7 +140,7 @@ BE = {
 }
 
 
-@query(f"""
+@source(f"""
     with t as (select {cells(BE)}, {LON} as lon, {LAT} as lat from orders),
     v as (select {HOT.format(k="l_orderkey")} as link_id,
         cast(l_quantity * l_linenumber as bigint) as lkw, {ORDER_SQL} from lineitem),
@@ -134,7 +156,7 @@ def source_be(spark, folder):
         F.expr("cast(l_quantity * l_linenumber as bigint)").alias("dtvw_lkw"), ORDINAL,
     )
     layer = shaped(orders(spark, folder), BE, 4326, LON, LAT)
-    return s.flat(states.be({"sections": layer, "trucks": trucks}))
+    return states.be({"sections": layer, "trucks": trucks})
 
 
 BB = {
@@ -148,14 +170,14 @@ BB = {
 }
 
 
-@query(f"""
+@source(f"""
     with t as (select {cells(BB)}, {EAST} as e, {NORTH} as n from orders),
     {s.utm_sql("t", "p", [("e", "n", "lon", "lat")], 25833)}
     {canonical("bb", "p", '"KFZ"', '"DTV_SV"', '"SV_KFZ"', by_code("klasse", "L", **ABLK),
         "strasse", station="zaehlstellennummer")}
 """)
 def source_bb(spark, folder):
-    return s.flat(states.bb({"sections": shaped(orders(spark, folder), BB, 25833)}))
+    return states.bb({"sections": shaped(orders(spark, folder), BB, 25833)})
 
 
 HH = {
@@ -166,7 +188,7 @@ HH = {
 }
 
 
-@query(f"""
+@source(f"""
     with t as (select {cells(HH)}, {EAST} as e, {NORTH} as n from orders),
     {s.utm_sql("t", "p", [("e", "n", "lon", "lat")], 25832)}
     {canonical("hh", "p", "dtv", share="sv", station="id",
@@ -175,14 +197,12 @@ HH = {
 def source_hh(spark, folder):
     rows = orders(spark, folder)
     motorway = F.col("o_orderstatus") == "F"
-    return s.flat(
-        states.hh(
+    return states.hh(
             {
                 "main_roads": shaped(rows.filter(~motorway), HH, 25832),
                 "motorways": shaped(rows.filter(motorway), HH, 25832),
             }
         )
-    )
 
 
 NI = {
@@ -194,14 +214,14 @@ NI = {
 }
 
 
-@query(f"""
+@source(f"""
     with t as (select {cells(NI)}, {EAST} as e, {NORTH} as n from orders),
     {s.utm_sql("t", "p", [("e", "n", "lon", "lat")], 25832)}
     {canonical("ni", "p", "dtv21", "dtvsv21", road_class=by_code("strkl", "L", G="G", **ABLK),
         road_no="strbez", station="zstnr")}
 """)
 def source_ni(spark, folder):
-    return s.flat(states.ni({"sections": shaped(orders(spark, folder), NI, 25832)}))
+    return states.ni({"sections": shaped(orders(spark, folder), NI, 25832)})
 
 
 NW = {
@@ -214,14 +234,14 @@ NW = {
 }
 
 
-@query(f"""
+@source(f"""
     with t as (select {cells(NW)}, {EAST} as e, {NORTH} as n from orders),
     {s.utm_sql("t", "p", [("e", "n", "lon", "lat")], 25832)}
     {canonical("nw", "p", '"DTVKFZA"', '"DTVSVA"', road_class=by_code('"STRKL"', "L", **ABLK),
         road_no='"STRBEZ"', station='"ZSTNR"')}
 """)
 def source_nw(spark, folder):
-    return s.flat(states.nw({"sections": shaped(orders(spark, folder), NW, 25832)}))
+    return states.nw({"sections": shaped(orders(spark, folder), NW, 25832)})
 
 
 SN = {
@@ -235,14 +255,14 @@ SN = {
 }
 
 
-@query(f"""
+@source(f"""
     with t as (select {cells(SN)}, {EAST} as e, {NORTH} as n from orders),
     {s.utm_sql("t", "p", [("e", "n", "lon", "lat")], 25833)}
     {canonical("sn", "p", "dtv_kfzges", "dtv_sv", "sv_kfz",
         by_code("klasse", "L", A="A", B="B", S="L", L="L", K="K"), "strasse", station="nummer")}
 """)
 def source_sn(spark, folder):
-    return s.flat(states.sn({"sections": shaped(orders(spark, folder), SN, 25833)}))
+    return states.sn({"sections": shaped(orders(spark, folder), SN, 25833)})
 
 
 NET = {
@@ -266,7 +286,7 @@ NET_LAYER = """case when l_returnflag = 'A' then 0 when l_returnflag = 'N' then
     when l_linestatus = 'F' then 2 else 3 end"""
 
 
-@query(f"""
+@source(f"""
     with n as (select {cells(NET)}, {LINE_EAST} as e, {LINE_NORTH} as n, {ORDER_SQL} from lineitem),
     nk as (select *, {node_sql("vnk")} || '_' || {node_sql("nnk")} as k from n),
     nf as (select k, e, n from (select *, row_number() over (partition by k
@@ -292,7 +312,7 @@ def source_st(spark, folder):
     values = orders(spark, folder).select(
         *[F.expr(e).alias(n) for n, e in ST.items()], F.col("o_orderkey").alias(ORDINAL)
     )
-    return s.flat(states.st({**net, "values": values}))
+    return states.st({**net, "values": values})
 
 
 TH = {
@@ -306,7 +326,7 @@ TH_ROAD = {
 }
 
 
-@query(f"""
+@source(f"""
     with t as (select {cells({**TH, **TH_ROAD})}, {LINE_EAST} as e, {LINE_NORTH} as n,
         l_partkey, l_quantity, {ORDER_SQL} from lineitem),
     v as (select zst_nr, von_stat, bis_stat, l_partkey as kfz, l_quantity as sv from (select *,
@@ -327,7 +347,7 @@ def source_th(spark, folder):
         F.expr("cast(l_partkey as string)").alias("dtv_kfz"),
         F.expr("cast(l_quantity as string)").alias("dtv_sv"), ORDINAL,
     )
-    return s.flat(states.th({"sections": sections, "values": values}))
+    return states.th({"sections": sections, "values": values})
 
 
 BW = {
@@ -341,7 +361,7 @@ BW = {
 }
 
 
-@query(f"""
+@source(f"""
     with t as (select {cells(BW)}, try_cast(gpsx1 as double) as lon,
         try_cast(gpsy1 as double) as lat from orders),
     k as (select * from t where lon is not null and lat is not null)
@@ -351,20 +371,20 @@ BW = {
 """)
 def source_bw(spark, folder):
     stations = orders(spark, folder).select(*[F.expr(e).alias(n) for n, e in BW.items()])
-    return s.flat(states.bw({"stations": stations}))
+    return states.bw({"stations": stations})
 
 
 SL = {"Str": s.ROAD_TEXT, "TKZST": "cast(o_orderkey as string)", "DTV": TEXT, "DTVSV": s.SV_TEXT}
 
 
-@query(f"""
+@source(f"""
     with t as (select {cells(SL)}, {LON} as lon, {LAT} as lat from orders)
     {canonical("sl", "t", '"DTV"', '"DTVSV"', road_class=first_letter('"Str"', "ABLK", "L"),
         road_no='"Str"', station='"TKZST"', point=True)}
 """)
 def source_sl(spark, folder):
     layer = shaped(orders(spark, folder), SL, 4326, LON, LAT, point=True)
-    return s.flat(states.sl({"stations": layer}))
+    return states.sl({"stations": layer})
 
 
 BAST = {
@@ -377,7 +397,7 @@ BAST = {
 }
 
 
-@query(f"""
+@source(f"""
     with t as (select {cells(BAST)} from orders),
     k as (select * from t where "X_Koordinate" is not null),
     {s.utm_sql("k", "p", [('"X_Koordinate"', '"Y_Koordinate"', "lon", "lat")], 25832)}
@@ -392,7 +412,7 @@ def source_bast(spark, folder):
         "motorways": rows.filter(motorway).select(*picked),
         "federal_roads": rows.filter(~motorway).select(*picked),
     }
-    return s.flat(states.bast(sheets))
+    return states.bast(sheets)
 
 
 # ---------------------------------------------------------------------------- municipal
@@ -401,7 +421,7 @@ GK_X = "cast(2540000 + (NO * 7919) % 60000 as double)"
 GK_Y = "cast(5610000 + (NO * 104729) % 60000 as double)"
 
 
-@query(f"""
+@source(f"""
     with {EDGES_SQL}, picked as (select NO, {GK_X} as e, {GK_Y} as n,
         coalesce({_choice("and", "value")}, {_choice("or", "value")}) as kfz,
         coalesce({_choice("and", "year")}, {_choice("or", "year")}) as y from edges),
@@ -419,7 +439,7 @@ def source_koeln(spark, folder):
             "geometry": geo.line(F.array(start, end), 31466),
         }
     )
-    return s.flat(municipal.koeln({"edges": layer}))
+    return municipal.koeln({"edges": layer})
 
 
 # Shapes that many rows share.
@@ -443,7 +463,7 @@ DUS_LINE = {
 STREET_ROAD = r"\b([ABLK])\s?(\d{1,4})\b"
 
 
-@query(f"""
+@source(f"""
     with t as (select l_orderkey % 4000 as a, l_orderkey % 3 as b, coalesce(
         {DUS_LINE["belastung_gesamt_5j"]}, {DUS_LINE["belastung_gesamt_10j"]}) as value,
         {ORDER_SQL} from lineitem), {FIRSTS_SQL.format(keys="a, b")},
@@ -472,7 +492,7 @@ def source_duesseldorf(spark, folder):
         )
         for name, flag in zip(municipal.DUESSELDORF_HEAVY, "ANR")
     }
-    return s.flat(municipal.duesseldorf({"sections": base, **heavy}))
+    return municipal.duesseldorf({"sections": base, **heavy})
 
 
 FRA = {
@@ -486,7 +506,7 @@ FRA = {
 SUFFIX_ROAD = r"\b([ABLK])\s?(\d{1,4}[a-z]?)\b"
 
 
-@query(f"""
+@source(f"""
     with t as (select l_orderkey % 5000 as nr, case when l_linenumber = 4 then null
         else l_quantity / 2 end as value, l_linestatus as l_returnflag_, {ORDER_SQL} from lineitem),
     firsts as (select * from (select *, row_number() over (partition by nr, l_linestatus
@@ -514,7 +534,7 @@ def source_frankfurt(spark, folder):
         )
         for name, flag in zip(municipal.FRANKFURT_HEAVY, "OF")
     }
-    return s.flat(municipal.frankfurt({"sections": base, **heavy}))
+    return municipal.frankfurt({"sections": base, **heavy})
 
 
 # A station per user and event type; blocks by event number, some of them empty.
@@ -572,10 +592,10 @@ def _town(code):
             F.expr("47.0D + nr % 777 / 1000.0D").alias("Breitengrad"),
             F.expr("9.0D + nr % 1000 / 1000.0D").alias("laengengrad "), *SHEET,
         )
-        return s.flat(municipal.stations(code, {"sheet": sheet}))
+        return municipal.stations(code, {"sheet": sheet})
 
     run.__name__ = f"source_{code}"
-    return query(_town_sql(code))(run)
+    return source(_town_sql(code))(run)
 
 
 source_ravensburg = _town("ravensburg")
@@ -585,6 +605,44 @@ source_baienfurt = _town("baienfurt")
 source_baindt = _town("baindt")
 
 
+# ------------------------------------------------------------------------- all together
+
+MERGED_SQL = "merged as (" + " union all ".join(
+    f"select * from ({QUERIES['source_' + code].sql})" for code in live_codes()
+) + ")"
+ALL_GROUPS_SQL = f"""{MERGED_SQL}, groups as (select source, case min(level) when 'bund'
+    then 'bast' when 'land' then '' else 'kommunal_' end || case when min(level) = 'bund' then ''
+    when bool_and(kind = 'Point') then 'points' else 'lines' end as "group"
+    from merged group by source)"""
+
+
+def merged(spark, folder):
+    """All twenty sources in one table."""
+    return combine([FEATURES[code](spark, folder) for code in live_codes()])
+
+
+@query(f"""
+    with {ALL_GROUPS_SQL}
+    select g."group", count(distinct m.source) as sources, count(*) as features
+    from merged m join groups g on m.source = g.source group by 1
+""")
+def all_sources_by_group(spark, folder):
+    """Every source from its landed layers to the merged groups."""
+    return grouping.group_summary(grouping.route(merged(spark, folder), LEVEL_OF))
+
+
+@query(f"""
+    with {MERGED_SQL}
+    select source, count(*) as n, max(year) as year, round_even(min(x0), 4) as west,
+        round_even(min(y0), 4) as south
+    from merged group by source
+""")
+def all_sources_statistics(spark, folder):
+    """Every line starts at its south-western end, so the first vertices give two bounds."""
+    stats = source_stats(merged(spark, folder))
+    return stats.select("source", "n", "year", "west", "south")
+
+
 # -------------------------------------------------------------------------------- links
 
 LINK_SQL = """links as (select page_id, unnest(regexp_extract_all(html, 'href="([^"]+)"', 1)) as href,
