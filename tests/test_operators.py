@@ -9,6 +9,7 @@ from trafficloom.functions import roads, view
 from trafficloom.functions import values as v
 from trafficloom.model import CANONICAL
 from trafficloom.operators import canonical, catalogue, contract, grouping, keyed, reshape
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 SPEC = dict(metric="DTV", state="BW", source="by", license="x", levels=data.LEVEL_OF)
@@ -180,6 +181,13 @@ def test_direction_years_are_an_intersection():
         reshape.direction_years(["K_2016_24H"])
 
 
+def test_kind_alone_moves_no_point(spark):
+    df = spark.range(3).select(geo.line(F.array(geo.xy(F.lit(5e5), F.lit(5e6))), 25832).alias("g"))
+    moved = df.select(geo.to_wgs84(F.col("g"), 25832).alias("g"))
+    text = moved.select("g.kind")._jdf.queryExecution().optimizedPlan().toString()
+    assert "transform" not in text and "SIN" not in text
+
+
 def test_ladder_table_and_monotone_zooms(spark):
     from trafficloom.functions import tiling
     from trafficloom.operators.tiles import zoom_rows
@@ -218,7 +226,7 @@ def test_source_list_from_a_file(spark, tmp_path):
     path.write_text("[1]")
     with pytest.raises(ValueError):
         catalogue.read_source_table(spark, str(path))
-    with pytest.raises(FileNotFoundError):
+    with pytest.raises(AnalysisException):
         catalogue.read_source_table(spark, str(tmp_path / "none.json"))
 
 
@@ -253,6 +261,10 @@ def test_popup_titles_skip_empty_texts(spark):
 
 def test_year_of_texts(spark):
     df = spark.createDataFrame([("2022-09-20",), ("",), ("gestern",), (None,),
-                                ("2019-01-01 12:00:00",)], "t string")
-    assert [r[0] for r in df.select(v.year_of(F.col("t"))).collect()] == [
-        2022, None, None, None, 2019]
+                                ("2019-01-01 12:00:00",), ("2023-04-25Z",),
+                                ("2021-12-31T10:00:00Z",)], "t string")
+    want = [2022, None, None, None, 2019, 2023, 2021]
+    assert [r[0] for r in df.select(v.year_of(F.col("t"))).collect()] == want
+    stamps = df.select(F.col("t").try_cast("timestamp").alias("t"))
+    want[5] = None
+    assert [r[0] for r in stamps.select(v.year_of(F.col("t"))).collect()] == want

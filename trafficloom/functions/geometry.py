@@ -284,7 +284,9 @@ def to_wgs84(geom: Column, srid: int | None = None) -> Column:
     """Geometry in EPSG:4326.
 
     ``srid`` fixes the source system for the whole column; otherwise each row's own one counts.
-    A row in an unknown system keeps it and fails the contract.
+    A row in an unknown system keeps it and fails the contract. With a fixed system the result
+    is built field by field, so a query that only asks for the kind never moves a point; a null
+    geometry then has null fields and still counts as missing.
     """
 
     def moved(code: int) -> Column:
@@ -298,7 +300,7 @@ def to_wgs84(geom: Column, srid: int | None = None) -> Column:
     if srid == SRID:
         return geom
     if srid is not None:
-        return F.when(geom.isNotNull(), moved(srid))
+        return moved(srid)
     out = F.when(geom["srid"] == SRID, geom)
     for code in ZONES:
         out = out.when(geom["srid"] == code, moved(code))

@@ -79,8 +79,12 @@ def clean_sv(kfz: Column, sv: Column) -> Column:
 
 
 def year_of(c: Column) -> Column:
-    """Year of a date text or timestamp; an unreadable one is null."""
-    return F.year(c.try_cast("timestamp"))
+    """Year of a date text or timestamp; an unreadable one is null.
+
+    Map services also write a bare date with a zone mark (``2022-09-20Z``).
+    """
+    bare = F.regexp_replace(c.cast("string"), r"^\s*(\d{4}-\d{2}-\d{2})Z\s*$", "$1")
+    return F.year(bare.try_cast("timestamp"))
 
 
 def id_text(c: Column) -> Column:

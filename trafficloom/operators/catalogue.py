@@ -40,8 +40,7 @@ def source_table(spark: SparkSession, sources: Sequence = SOURCES) -> DataFrame:
 
 def read_source_table(spark: SparkSession, path: str) -> DataFrame:
     """A source list kept as a JSON object ``{code: {...}}`` beside the data."""
-    with open(path, encoding="utf-8") as file:
-        listed = json.load(file)
+    listed = json.loads(spark.read.text(path, wholetext=True).first()["value"])
     if not isinstance(listed, dict):
         raise ValueError(f"{path} does not hold an object of sources")
     return source_table(

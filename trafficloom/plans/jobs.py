@@ -179,8 +179,12 @@ def build_tiles(
     warehouse: str,
     only: Sequence[str] | None = None,
     run: str | None = None,
+    shapes: bool = True,
 ) -> DataFrame:
-    """Write the tile table of every dataset (or the ones named) whose groups exist."""
+    """Write the tile table of every dataset (or the ones named) whose groups exist.
+
+    Without ``shapes`` the rows carry no geometry: a long line is otherwise stored once per tile.
+    """
     run = run or new_run()
     features = read_features(spark, warehouse)
     groups = [r["group"] for r in features.select("group").distinct().collect()]
@@ -192,6 +196,7 @@ def build_tiles(
             continue
         path = f"{warehouse}/{dataset.file}/{run}"
         tiles = dataset_tiles(features, groups, [dataset.key])
+        tiles = tiles if shapes else tiles.drop("geometry")
         # Rebalancing splits a crowded zoom over several files and fills up the sparse ones.
         (
             tiles.hint("rebalance", "z")

@@ -64,20 +64,22 @@ def duesseldorf(layers: Layers) -> DataFrame:
 
 def frankfurt(layers: Layers) -> DataFrame:
     """Sections with truck layers attached by section number; years follow the count date."""
-    sections = layers["sections"]
+
+    def numbered(df: DataFrame) -> DataFrame:
+        section = v.number(df, "str_nr").try_cast("bigint")
+        return df.withColumns({"str_nr": section, "_value": v.number(df, "mittl_bel")})
+
+    sections = numbered(layers["sections"])
     base = sections.withColumns(
-        {"mittl_bel": v.number(sections, "mittl_bel"), "year": v.year_of(F.col("zaehldatum"))}
-    ).filter(F.col("mittl_bel").isNotNull() & F.col("year").isNotNull())
-    heavy = {
-        name: layers[name].withColumn("_value", v.number(layers[name], "mittl_bel"))
-        for name in FRANKFURT_HEAVY
-    }
+        {"mittl_bel": F.col("_value"), "year": v.year_of(F.col("zaehldatum"))}
+    ).drop("_value").filter(F.col("mittl_bel").isNotNull() & F.col("year").isNotNull())
+    heavy = {name: numbered(layers[name]) for name in FRANKFURT_HEAVY}
     road = roads.road_in_name(F.col("str_name"), roads.ROAD_IN_NAME_SUFFIX)
     joined = sum_layers(base, heavy, ["str_nr"], "_value", "dtv_sv").withColumns(
         {
             "road_no": road.number,
             "klasse": road.road_class,
-            "station_id": v.id_text(F.col("str_nr").cast("bigint")),
+            "station_id": v.id_text(F.col("str_nr")),
         }
     )
     return to_canonical(
