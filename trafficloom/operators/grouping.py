@@ -45,13 +45,15 @@ def source_groups(features: DataFrame, codes) -> DataFrame:
 
     A source goes as a whole: to the points only if each of its geometries is one.
     """
-    kinds = (
+    # The level is a key of the large aggregate: a text cannot be updated in place in a hash
+    # aggregate's buffer, and Spark would sort all features instead.
+    per_level = (
         features.filter(F.col("source").isin(*check_sources(codes)))
-        .groupBy("source")
-        .agg(
-            F.bool_and(is_point(F.col("geometry"))).alias("points"),
-            F.min("level").alias("level"),
-        )
+        .groupBy("source", "level")
+        .agg(F.bool_and(is_point(F.col("geometry"))).alias("points"))
+    )
+    kinds = per_level.groupBy("source").agg(
+        F.bool_and("points").alias("points"), F.min("level").alias("level")
     )
     return kinds.select("source", group_name(F.col("level"), F.col("points")).alias("group"))
 

@@ -9,6 +9,7 @@ landed as pages, or as one feature per line.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -258,35 +259,35 @@ def in_box(features: DataFrame, w: float, s: float, e: float, n: float) -> DataF
 # ------------------------------------------------------------------------- link feeds
 
 
-def feed_links(
-    pages: DataFrame,
-    text: str,
-    key: str,
-    match: str | None = None,
-    endings: Sequence[str] | None = DOWNLOAD_ENDINGS,
-) -> DataFrame:
-    """Candidate links of every feed page: ``(key, at, href)``."""
-    links = pages.select(
-        key, F.posexplode(F.regexp_extract_all(F.col(text), F.lit(HREF), F.lit(1))).alias("at", "href")
+def fitting_links(
+    text: Column, match: str | None = None, endings: Sequence[str] | None = DOWNLOAD_ENDINGS
+) -> Column:
+    """Links of one page with their place among all its links, in order."""
+
+    def fits(link: Column) -> Column:
+        low = F.lower(link["href"])
+        good = F.lit(True) if match is None else low.contains(match.lower())
+        if endings:
+            ends = [low.endswith(e) for e in endings]
+            good = good & reduce(lambda a, b: a | b, ends)
+        return good
+
+    links = F.transform(
+        F.regexp_extract_all(text, F.lit(HREF), F.lit(1)),
+        lambda href, at: F.struct(at.alias("at"), href.alias("href")),
     )
-    low = F.lower("href")
-    if endings:
-        wanted = F.lit(False)
-        for ending in endings:
-            wanted = wanted | low.endswith(ending)
-        links = links.filter(wanted)
-    if match:
-        links = links.filter(low.contains(match.lower()))
-    return links
+    return F.filter(links, fits)
+
+
+def feed_links(pages: DataFrame, text: str, key: str, **options) -> DataFrame:
+    """Candidate links of every feed page: ``(key, at, href)``."""
+    return pages.select(key, F.inline(fitting_links(F.col(text), **options)))
 
 
 def first_link(pages: DataFrame, text: str, key: str, **options) -> DataFrame:
-    """The first fitting link of every feed page: ``(key, href)``."""
-    return (
-        feed_links(pages, text, key, **options)
-        .groupBy(key)
-        .agg(F.min_by("href", "at").alias("href"))
-    )
+    """The first fitting link of every feed page that has one: found inside the page's row."""
+    first = F.slice(fitting_links(F.col(text), **options), 1, 1)
+    return pages.select(key, F.inline(first)).select(key, "href")
 
 
 def feed_link(spark: SparkSession, path: str, match: str | None = None) -> str:
