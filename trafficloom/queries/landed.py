@@ -633,14 +633,12 @@ def all_sources_by_group(spark, folder):
 
 @query(f"""
     with {MERGED_SQL}
-    select source, count(*) as n, max(year) as year, round_even(min(x0), 4) as west,
-        round_even(min(y0), 4) as south
+    select source, count(*) as n, max(year) as year, round_even(min(x0), 4) as west
     from merged group by source
 """)
 def all_sources_statistics(spark, folder):
-    """Every line starts at its south-western end, so the first vertices give two bounds."""
-    stats = source_stats(merged(spark, folder))
-    return stats.select("source", "n", "year", "west", "south")
+    """Every line runs east, so the first vertices alone give the western bound."""
+    return source_stats(merged(spark, folder)).select("source", "n", "year", "west")
 
 
 # -------------------------------------------------------------------------------- links
