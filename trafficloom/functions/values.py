@@ -12,13 +12,11 @@ NULL_TOKENS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
-# White space in the Unicode sense; plain trim() only removes blanks.
-WHITESPACE = (
-    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85         "
-    "        　"
-)
 # ----------------------------------------------------------------------------------------
 
+# White space in the Unicode sense; plain trim() only removes blanks.
+WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+
 
 def strip(c: Column) -> Column:
     return F.trim(c, F.lit(WHITESPACE))

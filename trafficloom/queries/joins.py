@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from trafficloom.functions import geometry as geo
-from trafficloom.functions import values as v
 from trafficloom.model import ORDINAL
 from trafficloom.operators import keyed, reshape
 from trafficloom.operators.tiles import combine

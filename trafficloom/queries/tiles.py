@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from trafficloom.catalogue_data import PROFILES, Profile
+from trafficloom.catalogue_data import PROFILES
 from trafficloom.functions import geometry as geo
 from trafficloom.functions import tiling
 from trafficloom.operators import grouping
