@@ -2,16 +2,18 @@
 
 Two generative models of hashed word n-grams, one of target text and one of all text, give each
 document the log of its probability ratio. Documents are sampled without replacement in proportion
-to that ratio: Gumbel noise is added to the log weight and the top k are kept.
+to that ratio: Gumbel noise is added to the log weight and the top k are kept. A document's own n-grams are taken out of both models before it
+is weighed, so that documents the models have seen and others are judged alike.
 """
 
 from __future__ import annotations
 
 import math
+import re
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-import regex
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,8 +23,11 @@ from .common import join_hot, saved, uniform
 #: Buckets of the models: the only thing that is gathered and sent, whatever the corpus.
 BUCKETS = 1 << 18
 #: Occurrences of a bucket that the models are taken to agree on beforehand.
-PRIOR = 8.0
-TOKEN = regex.compile(r"\w+|[^\w\s]+")
+PRIOR = 16.0
+TOKEN = re.compile(r"\w+|[^\w\s]+")
+#: Labelled target documents that the target model is fitted on, at most: a share drawn by hash.
+#: Their ids (8 bytes each) are broadcast; everything else is counted over all documents.
+FITTED = 20_000
 #: Share of the labelled target documents that a calibrated sample keeps.
 KEEP = 0.995
 
@@ -50,48 +55,40 @@ def buckets_of(text: str | None) -> np.ndarray:
     return ((both ^ (both >> np.uint64(32))) & np.uint64(BUCKETS - 1)).astype(np.int64)
 
 
-def fit(docs: DataFrame, target: Column, text_col: str = "text") -> np.ndarray:
-    """Log ratio of target to all text for each bucket. target: condition on a row of docs.
-
-    The counts are taken over all rows; only one number per bucket and model reaches the driver.
-    A bucket's ratio is drawn to 1 by PRIOR, so rare ones say little.
-    """
+def fit(docs: DataFrame, text_col: str, aimed_col: str) -> np.ndarray:
+    """Occurrences by bucket in all text (row 0) and in the target text (row 1): counts over all
+    rows, of which only one number per bucket and model reaches the driver."""
 
     def count(batches):
         total = np.zeros((2, BUCKETS), np.int64)
         for batch in batches:
-            for text, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                b = np.bincount(buckets_of(text), minlength=0)
-                total[0, : len(b)] += b
-                if own:
-                    total[1, : len(b)] += b
+            for text, aimed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                b, n = np.unique(buckets_of(text), return_counts=True)
+                total[0, b] += n
+                if aimed:
+                    total[1, b] += n
         used = np.flatnonzero(total[0])
         yield pa.RecordBatch.from_arrays(
             [pa.array(used), pa.array(total[0, used]), pa.array(total[1, used])], ["bucket", "n", "t"]
         )
 
-    rows = docs.select(F.col(text_col), F.coalesce(target, F.lit(False)).alias("__target"))
-    counts = rows.mapInArrow(count, "bucket long, n long, t long")
+    counts = docs.select(text_col, aimed_col).mapInArrow(count, "bucket long, n long, t long")
     counts = counts.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("t").alias("t")).toPandas()
-    ratio = np.zeros(BUCKETS)
-    every, aimed = counts["n"].sum(), counts["t"].sum()
-    if aimed:
-        expected = counts["n"].to_numpy(float) * aimed / every
-        ratio[counts["bucket"]] = np.log((counts["t"] + PRIOR) / (expected + PRIOR))
-    return ratio.astype(np.float32)
-
+    model = np.zeros((2, BUCKETS))
+    model[0, counts["bucket"]] = counts["n"]
+    model[1, counts["bucket"]] = counts["t"]
+    return model
 
-def log_weights(docs: DataFrame, ratio: np.ndarray, id_col: str, text_col: str, carry: list[str]) -> DataFrame:
-    """carry, and log_weight: the sum over the document's n-grams, 0 for a text without any."""
-    model = docs.sparkSession.sparkContext.broadcast(ratio)
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in carry)).alias("row"), F.col(text_col).alias("text"))
-
-    @F.pandas_udf("double")
-    def weigh(texts):
-        table = model.value
-        return texts.map(lambda t: float(table[buckets_of(t)].sum(dtype=np.float64)))
 
-    return rows.withColumn("log_weight", weigh("text"))
+def log_weight(text: str | None, aimed: bool, model: np.ndarray, share: float) -> float:
+    """Sum of the log ratios of the text's n-grams, its own occurrences left out. A bucket's ratio
+    is drawn to 1 by PRIOR occurrences, so rare ones say little. share: target text in all text."""
+    if share <= 0:
+        return 0.0
+    b, n = np.unique(buckets_of(text), return_counts=True)
+    seen = model[1, b] - n if aimed else model[1, b]
+    expected = np.maximum(model[0, b] - n, 0) * share
+    return float((n * np.log((seen + PRIOR) / (expected + PRIOR))).sum())
 
 
 def kth_largest(rows: DataFrame, k: int, low: float, high: float) -> float:
@@ -135,21 +132,27 @@ def resample(
     labels count if any of them meets the target; rows without id are scored but not fitted on.
     An empty table gives no rows. Carried columns keep any name.
     """
-    aimed = labels.filter(target).select(F.col(id_col).alias("__labelled")).distinct()
-    known = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
-    known = join_hot(
-        known.withColumnRenamed("__id", "id"),
-        aimed.select(F.col("__labelled").alias("id"), F.lit(True).alias("aimed")).filter("id is not null"),
-        ["id"],
-        "left",
-    )
-    ratio = fit(known, F.col("aimed"), "__text")
-    scored = log_weights(docs, ratio, id_col, text_col, list(carry))
-    gumbel = -F.log(-F.log(uniform(F.col(f"row.`{id_col}`").cast("string"), F.xxhash64("text"), F.lit(seed))))
+    aimed = labels.filter(target).select(F.col(id_col).cast("long").alias("id")).filter("id is not null").distinct()
+    aimed = saved(aimed)
+    fitted = aimed.orderBy(F.xxhash64("id"), "id").limit(FITTED)
+    fitted = F.broadcast(fitted.select(F.col("id").alias("__id"), F.lit(True).alias("aimed")))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in carry)).alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    rows = rows.join(fitted, F.col("id") == F.col("__id"), "left").drop("__id")
+    counts = fit(rows, "text", "aimed")
+    total = counts.sum(axis=1)
+    share = float(total[1] / total[0]) if total[0] else 0.0
+    model = docs.sparkSession.sparkContext.broadcast(counts)
+
+    @F.pandas_udf("double")
+    def weigh(texts: pd.Series, aims: pd.Series) -> pd.Series:
+        return pd.Series([log_weight(t, a is True, model.value, share) for t, a in zip(texts, aims)], dtype=float)
+
+    scored = rows.withColumn("log_weight", weigh("text", "aimed"))
+    gumbel = -F.log(-F.log(uniform(F.col("id").cast("string"), F.xxhash64("text"), F.lit(seed))))
     scored = saved(
-        scored.select("row", F.col(f"row.`{id_col}`").alias("id"), "log_weight", (F.col("log_weight") + gumbel).alias("key"))
+        scored.select("row", "id", "log_weight", (F.col("log_weight") + gumbel).alias("key"))
     )
-    of_target = join_hot(scored.select("id", "key"), aimed.withColumnRenamed("__labelled", "id"), ["id"], "left_semi")
+    of_target = join_hot(scored.select("id", "key"), aimed, ["id"], "left_semi")
     ends = of_target.agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("a"), F.max("key").alias("b")).first()
     kept = F.lit(True)
     if ends["n"]:
