@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_hot, saved, shingle_set
+from .common import join_hot, mix64, saved, shingle_set
 from .components import components
 
 ROWS = 6
@@ -29,6 +29,8 @@ ROWS = 6
 STRETCH = 32_768
 #: Shingles in one block of a crowded bucket (8 bytes each).
 BLOCK = 2_000_000
+#: Bits of the filter of wanted documents (8 MB).
+FILTER_BITS = 1 << 26
 
 
 def bands_for(threshold: float, rows: int = ROWS, miss: float = 1e-6) -> int:
@@ -117,11 +119,42 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, threshold: float, width:
     )
 
 
-def shingle_table(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """node and its sorted set as bytes; a node has a row for each different text."""
+def _bit_places(ids: np.ndarray) -> np.ndarray:
+    x = mix64(ids.astype(np.int64).view(np.uint64))
+    return (np.stack([x, x >> np.uint64(32)]) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+
+
+def id_filter(ids: DataFrame) -> bytes:
+    """Bits set for a column of ids, of one size for any number of them. It only keeps what is
+    clearly not asked for out of a shuffle; an exact join follows."""
 
     def work(batches):
+        bits = np.zeros(FILTER_BITS // 64, np.uint64)
         for batch in batches:
+            places = _bit_places(batch.column(0).to_numpy(zero_copy_only=False)).ravel()
+            np.bitwise_or.at(bits, places >> 6, np.uint64(1) << (places & 63).astype(np.uint64))
+        used = np.flatnonzero(bits)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(bits[used].view(np.int64))], ["place", "bits"])
+
+    words = ids.mapInArrow(work, "place long, bits long").groupBy("place").agg(F.bit_or("bits").alias("bits"))
+    words = words.toPandas()
+    bits = np.zeros(FILTER_BITS // 64, np.int64)
+    bits[words["place"]] = words["bits"]
+    return bits.tobytes()
+
+
+def shingle_table(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+    """node and its sorted set as bytes, for the wanted nodes; a node has a row for each of its
+    different texts. Texts stay where they are read, only wanted sets are shuffled."""
+    asked = docs.sparkSession.sparkContext.broadcast(id_filter(wanted.select("node")))
+
+    def work(batches):
+        bits = np.frombuffer(asked.value, np.uint64)
+        for batch in batches:
+            batch = batch.filter(batch.column(0).is_valid())
+            places = _bit_places(batch.column(0).to_numpy(zero_copy_only=False))
+            hit = (bits[places >> 6] >> (places & 63).astype(np.uint64)) & np.uint64(1)
+            batch = batch.filter(pa.array(hit.all(axis=0)))
             for at in range(0, batch.num_rows, 512):
                 texts = batch.column(1).slice(at, 512).to_pylist()
                 sets = [shingle_set(t, width).tobytes() for t in texts]
@@ -137,7 +170,8 @@ def shingle_table(docs: DataFrame, id_col: str, text_col: str, width: int) -> Da
     made = docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(
         work, "node long, digest binary, shingles binary"
     )
-    return made.dropDuplicates(["node", "digest"]).select("node", "shingles")
+    made = made.dropDuplicates(["node", "digest"]).select("node", "shingles")
+    return join_hot(made, wanted, ["node"], "left_semi")
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -273,23 +307,24 @@ def near_duplicates(
     sketches = saved(sketch(docs, id_col, text_col, percent / 100, width))
     full = sketches.filter("doc_id is not null and n_shingles > 0")
     # Equal sets are one class, represented by its smallest id.
-    classes = full.groupBy("digest").agg(F.min("doc_id").alias("node"))
-    members = saved(join_hot(full.select("doc_id", "digest"), classes, ["digest"]).select("doc_id", "node").distinct())
+    classes = full.groupBy("digest").agg(
+        F.min("doc_id").alias("node"), F.min("n_shingles").alias("n"), F.any_value("bands").alias("bands")
+    )
+    classes = saved(classes)
+    members = join_hot(full.select("doc_id", "digest"), classes.select("digest", "node"), ["digest"])
+    members = saved(members.select("doc_id", "node").distinct())
     several = members.groupBy("doc_id").agg(F.min("node").alias("b"), F.max("node").alias("z"))
     several = join_hot(members, several.filter("b <> z"), ["doc_id"]).select(F.col("node").alias("a"), "b")
 
-    heads = join_hot(full, classes, ["digest"]).filter("doc_id = node")
-    heads = heads.select("node", "digest", F.col("n_shingles").alias("n"), "bands")
-    heads = heads.dropDuplicates(["node", "digest"]).select("node", "n", F.explode("bands").alias("key"))
+    heads = classes.select("node", "n", F.explode("bands").alias("key"))
     buckets = heads.groupBy("key").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("m"))
     crowded = saved(join_hot(heads, buckets.filter("m > 1"), ["key"]).select("key", "node", "n", "pivot", "m"))
 
     pairs = saved(
         crowded.filter("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
     )
-    wanted = crowded.select("node").distinct()
-    texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("__text"))
-    sets = saved(shingle_table(join_hot(texts, wanted, ["node"], "left_semi"), "node", "__text", width))
+    wanted = saved(crowded.select("node").distinct())
+    sets = saved(shingle_table(docs, wanted, id_col, text_col, width))
 
     links = saved(_confirm(pairs, sets, percent).unionAll(several))
     first = saved(components(links))
