@@ -57,6 +57,24 @@ def uniform(*parts: Column | str) -> Column:
     return (bits.cast("double") + 0.5) / F.lit(float(2**53))
 
 
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """df, whose rows reach Python in batches of a few megabytes also where texts are long."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return df
+
+
+_IN_USE: list[dict] = []
+
+
+def use_cache(*caches: dict) -> None:
+    """Say which caches of the Python worker the task at hand uses; those of the operator before it
+    are emptied, so a worker that serves many operators holds the caches of one."""
+    for old in _IN_USE:
+        if not any(old is c for c in caches):
+            old.clear()
+    _IN_USE[:] = caches
+
+
 def word_bytes(text: str | None) -> list[bytes]:
     """Words with A-Z lowered. bytes.split() separates at blank and 0x09-0x0D only, bytes.lower()
     changes A-Z only."""
@@ -66,7 +84,7 @@ def word_bytes(text: str | None) -> list[bytes]:
 class WordHashes(dict):
     """64-bit hash of a word, remembered up to a bound."""
 
-    LIMIT = 300_000
+    LIMIT = 250_000
 
     def __missing__(self, word: bytes) -> int:
         value = xxhash.xxh3_64_intdigest(word)

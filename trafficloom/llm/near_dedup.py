@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_hot, mix64, saved, shingle_set
+from .common import HASHES, in_small_batches, join_hot, mix64, saved, shingle_set, use_cache
 from .components import components
 
 ROWS = 6
@@ -94,6 +94,7 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, threshold: float, width:
     bands = bands_for(threshold)
 
     def work(batches):
+        use_cache(HASHES)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 ids, texts = batch.column(0).slice(at, 512), batch.column(1).slice(at, 512)
@@ -149,6 +150,7 @@ def shingle_table(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str
     asked = docs.sparkSession.sparkContext.broadcast(id_filter(wanted.select("node")))
 
     def work(batches):
+        use_cache(HASHES)
         bits = np.frombuffer(asked.value, np.uint64)
         for batch in batches:
             batch = batch.filter(batch.column(0).is_valid())
@@ -304,6 +306,7 @@ def near_duplicates(
     part: its component is null and it is kept. An empty table gives no rows. Other columns of
     docs, whatever their names, are not read.
     """
+    docs = in_small_batches(docs)
     sketches = saved(sketch(docs, id_col, text_col, percent / 100, width))
     full = sketches.filter("doc_id is not null and n_shingles > 0")
     # Equal sets are one class, represented by its smallest id.

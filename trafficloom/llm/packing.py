@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import in_small_batches, saved
 from .tokens import VOCABULARY, Ids, reader
 
 #: Pieces in a pool, about.
@@ -101,6 +101,7 @@ def pieces(
                     arrays.append(pa.array(out[5], pa.binary()))
                 yield pa.RecordBatch.from_arrays(arrays, [c.split()[0] for c in schema.split(", ")])
 
+    docs = in_small_batches(docs)
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(work, schema)
 
 

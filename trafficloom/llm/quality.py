@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_hot, saved, uniform
+from .common import in_small_batches, join_hot, saved, uniform, use_cache
 
 #: Buckets of the models: the only thing that is gathered and sent, whatever the corpus.
 BUCKETS = 1 << 18
@@ -33,7 +33,7 @@ KEEP = 0.995
 
 
 class _Hashes(dict):
-    LIMIT = 400_000
+    LIMIT = 250_000
 
     def __missing__(self, word: str) -> int:
         value = xxhash.xxh3_64_intdigest(word)
@@ -60,6 +60,7 @@ def fit(docs: DataFrame, text_col: str, aimed_col: str) -> np.ndarray:
     rows, of which only one number per bucket and model reaches the driver."""
 
     def count(batches):
+        use_cache(_HASHES)
         total = np.zeros((2, BUCKETS), np.int64)
         for batch in batches:
             for text, aimed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -136,7 +137,11 @@ def resample(
     aimed = saved(aimed)
     fitted = aimed.orderBy(F.xxhash64("id"), "id").limit(FITTED)
     fitted = F.broadcast(fitted.select(F.col("id").alias("__id"), F.lit(True).alias("aimed")))
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in carry)).alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    rows = in_small_batches(docs).select(
+        F.struct(*(F.col(f"`{c}`") for c in carry)).alias("row"),
+        F.col(id_col).cast("long").alias("id"),
+        F.col(text_col).alias("text"),
+    )
     rows = rows.join(fitted, F.col("id") == F.col("__id"), "left").drop("__id")
     counts = fit(rows, "text", "aimed")
     total = counts.sum(axis=1)
@@ -145,6 +150,7 @@ def resample(
 
     @F.pandas_udf("double")
     def weigh(texts: pd.Series, aims: pd.Series) -> pd.Series:
+        use_cache(_HASHES)
         return pd.Series([log_weight(t, a is True, model.value, share) for t, a in zip(texts, aims)], dtype=float)
 
     scored = rows.withColumn("log_weight", weigh("text", "aimed"))

@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import in_small_batches
+
 #: Kinds in the order of a list of spans; the first three are the plain patterns.
 KINDS = ("assign", "access", "hex", "pem", "key", "ssh", "jwt")
 ASSIGN = re.compile(
@@ -197,6 +199,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     ["doc_id", "spans"],
                 )
 
+    docs = in_small_batches(docs)
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(
         work, f"doc_id long, spans {SPANS}"
     )
@@ -209,5 +212,5 @@ def without_secrets(docs: DataFrame, text_col: str = "text") -> DataFrame:
     def clean(texts):
         return texts.map(lambda t: redact(t, spans(t)) if t else t)
 
-    return docs.withColumn(text_col, clean(F.col(text_col)))
+    return in_small_batches(docs).withColumn(text_col, clean(F.col(text_col)))
 

@@ -21,6 +21,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import in_small_batches, use_cache
+
 VOCABULARY = "byte_bpe_50k.json"
 #: White space and what follows it.
 CHUNK = re.compile(r"\s*\S+|\s+")
@@ -127,7 +129,10 @@ class Ids:
             self.fast = tiktoken.Encoding(
                 "own", pat_str=own.pattern, mergeable_ranks=own.tokens, special_tokens={}
             )
-        self.known = _Remembered(self.of_chunk, 2 * REMEMBERED)
+        self.known = _Remembered(self.of_chunk)
+
+    def caches(self) -> tuple[dict, ...]:
+        return (self.known,)
 
     def of_chunk(self, chunk: str) -> bytes:
         if self.fast is None or self.vocabulary.has_special(chunk):
@@ -163,6 +168,9 @@ class Prefixes:
         self.known = _Remembered(self.steps)
         self.known_pieces: dict[str, bytes] = {}
 
+    def caches(self) -> tuple[dict, ...]:
+        return self.known, self.known_pieces, self.may_follow
+
     def _formed(self, token: int) -> bool:
         """Whether the token's own bytes are encoded as the token."""
         if self.order[token] < 0:
@@ -284,6 +292,7 @@ def reader(kind, vocabulary: str):
     key = (kind, vocabulary)
     if key not in _MADE:
         _MADE[key] = kind(vocabulary_path(vocabulary))
+    use_cache(*_MADE[key].caches())
     return _MADE[key]
 
 
@@ -339,6 +348,7 @@ def prefix_counts(
                     ["doc_id", "n_bytes", "n_tokens", "fits_chars", "steps"],
                 )
 
+    docs = in_small_batches(docs)
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(
         work, "doc_id long, n_bytes long, n_tokens long, fits_chars long, steps binary"
     )
