@@ -99,6 +99,29 @@ def test_older_interim_table_is_backfilled(spark, tmp_path):
     assert {(r.level, r.name, r.dtv_kfz, r.dtv_sv) for r in rows} == {("bund", None, None, None)}
 
 
+def test_manifest_needs_no_merge_and_follows_the_builds(spark, tmp_path):
+    house = str(tmp_path / "house")
+    assert "n" not in json.loads(jobs.manifest(spark, house))["_sources"]["sl"]
+    land(tmp_path / "landing")
+    jobs.build_all(spark, str(tmp_path / "landing"), house, ["sl"], run="r1")
+    assert json.loads(jobs.manifest(spark, house))["_sources"]["sl"]["n"] == 1
+    put(tmp_path, "sources.json", json.dumps({"sl": {
+        "name": "S", "status": "live", "level": "land", "portal": "https://p.example",
+        "access": [{"label": "WFS", "url": "https://w.example"}]}}))
+    from trafficloom.operators import catalogue as cat
+
+    own = cat.read_source_table(spark, str(tmp_path / "sources.json"))
+    entry = json.loads(jobs.manifest(spark, house, own))["_sources"]["sl"]
+    assert (entry["portal"], entry["access"][0]["url"]) == ("https://p.example", "https://w.example")
+    assert [r.code for r in jobs.build_all(spark, str(tmp_path / "landing"), house, catalogue=own).collect()] == ["sl"]
+
+
+def test_empty_warehouse_names_the_missing_step(spark, tmp_path):
+    for job in (jobs.merge, jobs.build_tiles):
+        with pytest.raises(FileNotFoundError, match="first"):
+            job(spark, str(tmp_path / "none"))
+
+
 def test_nothing_built_is_an_error(spark, tmp_path):
     jobs.record(spark, str(tmp_path), [jobs.Run("build", 0, "by", "r1", None, None, "x")])
     with pytest.raises(FileNotFoundError):

@@ -35,6 +35,32 @@ def test_csv_points_keep_texts_and_drop_rows_without_coordinates(spark, tmp_path
     assert [tuple(r) for r in got] == [("001", "a, b", 9.5), ("004", "Straße", 9.25)]
 
 
+def test_csv_quotes_line_breaks_and_headers(spark, tmp_path):
+    put(tmp_path, "q/a.csv", 'id,note,y\n1,"say ""hi""",2\n3,"two\nlines",4\n')
+    rows = readers.read_table(spark, str(tmp_path / "q")).orderBy("id").collect()
+    assert [(r.id, r.note, r.y) for r in rows] == [("1", 'say "hi"', "2"), ("3", "two\nlines", "4")]
+    put(tmp_path, "h/a.csv", "id,x,y\n1,2,3\n")
+    put(tmp_path, "h/b.csv", "x,y,id\n9,50,1\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.read_table(spark, str(tmp_path / "h")).collect()
+    put(tmp_path, "u/a.csv", 'id,x,y\n1,"open,3\n4,5,6\n')
+    with pytest.raises(Exception, match="(?i)malformed|FAILFAST"):
+        readers.read_table(spark, str(tmp_path / "u")).collect()
+
+
+def test_pages_follow_their_numbers(spark, tmp_path):
+    for n in (1, 2, 10):
+        put(tmp_path, f"page_{n}.json", collection(feature({"k": str(n)}, "Point", [1, 1])))
+    rows = readers.read_geojson(spark, str(tmp_path), ["k"])
+    assert [r.k for r in rows.orderBy("_ord").collect()] == ["1", "2", "10"]
+
+
+def test_feature_id_beside_the_properties(spark, tmp_path):
+    own = {**feature({"dtv": 4}, "Point", [1, 2]), "id": "hh.7"}
+    put(tmp_path, "a.json", json.dumps({"type": "FeatureCollection", "features": [own]}))
+    assert readers.read_geojson(spark, str(tmp_path), ["id", "dtv"]).first().id == "hh.7"
+
+
 def test_csv_points_in_another_system(spark, tmp_path):
     put(tmp_path, "a.csv", "X,Y\n626677.117,6023913.142\n")
     rows = readers.read_csv_points(spark, str(tmp_path), "X", "Y", 25832)
@@ -127,6 +153,48 @@ def test_gml(spark, tmp_path):
     assert got[0].geometry.srid == 25833
 
 
+def gml_shapes(spark, folder, *shapes):
+    members = "".join(f"<m><road><k>{i}</k><shape>{g}</shape></road></m>" for i, g in enumerate(shapes))
+    put(folder, "g.gml", f'<c xmlns:gml="urn:gml">{members}</c>')
+    rows = readers.read_gml(spark, str(folder), "road", ["k"], srid=25833).orderBy("k").collect()
+    return [(r.geometry.kind, [[tuple(p) for p in part] for part in r.geometry.parts]) for r in rows]
+
+
+def test_gml_curves_points_and_dimension(spark, tmp_path):
+    seg = "<LineStringSegment><posList>{}</posList></LineStringSegment>"
+    curve = "<Curve{}><segments>" + seg.format("{}") + seg.format("{}") + "</segments></Curve>"
+    got = gml_shapes(
+        spark, tmp_path,
+        '<LineString srsDimension="3"><posList>1 2 0 3 4 0</posList></LineString>',
+        curve.format("", "1 2 3 4", "3 4 5 6"),
+        "<MultiPoint><pointMember><Point><pos>1 2</pos></Point></pointMember>"
+        "<pointMember><Point><pos>3 4</pos></Point></pointMember></MultiPoint>",
+        '<MultiCurve srsDimension="3"><curveMember>' + curve.format("", "1 2 9 3 4 9", "5 6 9 7 8 9")
+        + "</curveMember><curveMember><LineString><posList>0 0 0 1 1 0</posList></LineString></curveMember></MultiCurve>",
+    )
+    assert got == [
+        ("LineString", [[(1, 2), (3, 4)]]),
+        ("LineString", [[(1, 2), (3, 4), (5, 6)]]),
+        ("MultiPoint", [[(1, 2)], [(3, 4)]]),
+        ("MultiLineString", [[(1, 2), (3, 4), (5, 6), (7, 8)], [(0, 0), (1, 1)]]),
+    ]
+    with pytest.raises(Exception, match="groups of 3"):
+        gml_shapes(spark, tmp_path / "odd", '<LineString srsDimension="3"><posList>1 2 0 3</posList></LineString>')
+
+
+def test_the_highest_layer_wins_a_node_pair(spark, tmp_path):
+    from trafficloom.sources import states
+    from trafficloom.sources.landing import landed_layers
+
+    net = ('<c xmlns:gml="urn:gml"><m><{t}><vnk>1</vnk><nnk>2</nnk><geom><LineString><posList>{x} 5750000 '
+           "{x}.5 5750000</posList></LineString></geom></{t}></m></c>")
+    for at, name in enumerate(states.NETWORK_LAYERS):
+        put(tmp_path, f"st/net_{name}/a.gml", net.format(t=f"lsa_lbbau_{name}_feature", x=650000 + 1000 * at))
+    put(tmp_path, "st/values/Zeilenformat.csv", "VonNK,NachNK,Str,TKZST,DTV,DTVSV\n1,2,A 9,7,100,5\n")
+    got = states.st(landed_layers(spark, str(tmp_path), "st")).collect()
+    assert len(got) == 1 and got[0].geometry.parts[0][0].x < 11.19
+
+
 def test_sheet_and_feed(spark, tmp_path):
     put(tmp_path, "book/Zeilenformat.csv", "Str,DTV\nA 1,5\n")
     assert readers.read_sheet(spark, str(tmp_path / "book"), "Zeilenformat").first().Str == "A 1"

@@ -11,14 +11,11 @@ from trafficloom.functions import view
 from trafficloom.operators.keyed import first_per_key
 
 
-def median(df: DataFrame, by: str, value: Column, out: str, digits: int = 1) -> DataFrame:
-    """Median per group of a value rounded to ``digits``.
-
-    Equal values are counted first, so a group reaches its last task as a short table of
-    distinct rounded values, however many rows it has.
-    """
+def median(df: DataFrame, by: str, value: Column, out: str) -> DataFrame:
+    """Exact median per group. Equal values are counted first, so rows that repeat a value reach
+    the group's last task once."""
     counted = (
-        df.select(by, F.round(value, digits).alias("_v"))
+        df.select(by, value.alias("_v"))
         .filter(F.col("_v").isNotNull())
         .groupBy(by, "_v")
         .agg(F.count("*").alias("_n"))

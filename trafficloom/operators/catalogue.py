@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,15 +21,24 @@ from trafficloom.catalogue_data import (
 )
 from trafficloom.functions import geometry as geo
 from trafficloom.model import LEVELS
-from trafficloom.operators.grouping import check_sources
 
 SOURCE_KEYS = ("name", "level", "state", "status", "kind", "year", "metric", "license")
 
 
-def source_table(spark: SparkSession, sources: Sequence = SOURCES) -> DataFrame:
-    """The hand-kept source list as a table, with where to fetch each source."""
-    check_sources(sources)
-    rows = [(i, *s, portal(s.code), ACCESS.get(s.code)) for i, s in enumerate(sources)]
+def source_table(
+    spark: SparkSession, sources: Sequence = SOURCES, places: Mapping[str, Mapping] | None = None
+) -> DataFrame:
+    """The hand-kept source list as a table, with where to fetch each source: ``places`` has the
+    ``portal`` and ``access`` of those that state their own."""
+    places = places or {}
+
+    def place(code: str) -> tuple:
+        own = places.get(code, {})
+        access = own["access"] if "access" in own else ACCESS.get(code)
+        links = [(a["label"], a["url"]) if isinstance(a, Mapping) else a for a in access or ()]
+        return own["portal"] if "portal" in own else portal(code), links or None
+
+    rows = [(i, *s, *place(s.code)) for i, s in enumerate(sources)]
     return spark.createDataFrame(
         rows,
         "ord int, code string, status string, level string, name string, state string, "
@@ -46,6 +55,7 @@ def read_source_table(spark: SparkSession, path: str) -> DataFrame:
     return source_table(
         spark,
         [Source(code, **{f: s.get(f) for f in Source._fields[1:]}) for code, s in listed.items()],
+        listed,
     )
 
 
@@ -102,7 +112,7 @@ def dataset_years(routed: DataFrame) -> DataFrame:
 
 
 def vintage(date: Column, newest: Column) -> Column:
-    fixed = F.when(date.startswith("fixed:"), F.substring(date, 7, 1000))
+    fixed = F.when(date.startswith("fixed:"), F.substr(date, F.lit(7)))
     return F.when(date == "auto", newest.cast("string")).otherwise(fixed)
 
 

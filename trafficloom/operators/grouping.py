@@ -13,20 +13,8 @@ from trafficloom.functions.geometry import is_point
 from trafficloom.functions.roads import lookup
 from trafficloom.operators.canonical import canonical_columns, normalize_counts
 
-# A source list is written by hand. The limit is what makes it safe to send to every task.
-MAX_SOURCES = 10_000
-
-
-def check_sources(codes) -> list[str]:
-    codes = list(codes)
-    if len(codes) > MAX_SOURCES:
-        raise ValueError(f"{len(codes)} sources: too many for a lookup list")
-    return codes
-
-
 def backfill(df: DataFrame, levels: Mapping[str, str]) -> DataFrame:
     """Bring an older table up to the contract: level by source, empty name, clean counts."""
-    check_sources(levels)
     known = lookup(levels, F.col("source"))
     level = F.coalesce(F.col("level"), known) if "level" in df.columns else known
     name = F.col("name") if "name" in df.columns else F.lit(None).cast(T.StringType())
@@ -40,17 +28,15 @@ def group_name(level: Column, points: Column) -> Column:
     )
 
 
-def source_groups(features: DataFrame, codes) -> DataFrame:
-    """Group of every source: at most one row per listed code.
+def source_groups(features: DataFrame) -> DataFrame:
+    """Group of every source, by its own rows: listed or not, each gets one.
 
     A source goes as a whole: to the points only if each of its geometries is one.
     """
     # The level is a key of the large aggregate: a text cannot be updated in place in a hash
     # aggregate's buffer, and Spark would sort all features instead.
-    per_level = (
-        features.filter(F.col("source").isin(*check_sources(codes)))
-        .groupBy("source", "level")
-        .agg(F.bool_and(is_point(F.col("geometry"))).alias("points"))
+    per_level = features.groupBy("source", "level").agg(
+        F.bool_and(is_point(F.col("geometry"))).alias("points")
     )
     kinds = per_level.groupBy("source").agg(
         F.bool_and("points").alias("points"), F.min("level").alias("level")
@@ -58,12 +44,13 @@ def source_groups(features: DataFrame, codes) -> DataFrame:
     return kinds.select("source", group_name(F.col("level"), F.col("points")).alias("group"))
 
 
-def route(features: DataFrame, codes) -> DataFrame:
-    """Add ``group``. The lookup has at most as many rows as there are codes, so it is sent
-    along instead of shuffling the features by source."""
-    return features.join(F.broadcast(source_groups(features, codes)), "source", "left").select(
-        *features.columns, "group"
-    )
+def route(features: DataFrame) -> DataFrame:
+    """Add ``group``. Both sides of the join are exchanged unless the table of sources turns out
+    small, so a source with a large share of the features can be split."""
+    groups = source_groups(features).withColumnRenamed("source", "_source")
+    return features.join(
+        groups, features["source"].eqNullSafe(groups["_source"]), "left"
+    ).select(*features.columns, "group")
 
 
 def group_summary(routed: DataFrame) -> DataFrame:

@@ -20,6 +20,23 @@ REVERSE = r"^R_K_(\d{4})"
 # ----------------------------------------------------------------------------------------
 
 
+def read_date(text: Column) -> Column:
+    """ISO dates with or without time, and day.month.year; null for anything else."""
+    german = F.regexp_extract(text, r"^\s*(\d{1,2})\.(\d{1,2})\.(\d{4})", 0)
+    day, month, year = (
+        F.regexp_extract(text, r"^\s*(\d{1,2})\.(\d{1,2})\.(\d{4})", i) for i in (1, 2, 3)
+    )
+    turned = F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0"))
+    return F.coalesce(
+        text.try_cast("timestamp"), F.when(german != "", turned).try_cast("timestamp")
+    )
+
+
+def both_directions(forward: Column, reverse: Column) -> Column:
+    """Cross-section count: both directions added, a missing one as zero."""
+    return F.coalesce(forward, F.lit(0.0)) + F.coalesce(reverse, F.lit(0.0))
+
+
 def upper_names(df: DataFrame) -> DataFrame:
     """Column names without surrounding blanks, in capitals."""
     return df.toDF(*[c.strip().upper() for c in df.columns])
@@ -29,7 +46,23 @@ def blocks_to_long(df: DataFrame, keys: Sequence[str] = STATION_KEY) -> DataFram
     """One row per count out of the blocks ``KFZ_n``, ``SV_n``, ``DATUM_n``.
 
     A block that lacks a column is left out; counts without value, date or position drop out.
+    ``unread_dates`` lists those whose date is there but can't be read.
     """
+    long = _all_blocks(df, keys)
+    known = F.col("kfz").isNotNull() & F.col("datum").isNotNull()
+    for place in ("BREITENGRAD", "LAENGENGRAD"):
+        if place in keys:
+            known = known & F.col(place).isNotNull()
+    return long.filter(known).drop("datum_text")
+
+
+def unread_dates(df: DataFrame, keys: Sequence[str] = STATION_KEY) -> DataFrame:
+    """Counts that ``blocks_to_long`` rejects because of the form of their date."""
+    unread = F.col("datum").isNull() & (F.trim("datum_text") != "")
+    return _all_blocks(df, keys).filter(F.col("kfz").isNotNull() & unread).drop("datum")
+
+
+def _all_blocks(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     wide = upper_names(df)
     blocks = [
         n
@@ -44,7 +77,8 @@ def blocks_to_long(df: DataFrame, keys: Sequence[str] = STATION_KEY) -> DataFram
                 F.lit(n).alias("block"),
                 v.number(wide, f"KFZ_{n}").alias("kfz"),
                 v.number(wide, f"SV_{n}").alias("sv"),
-                F.col(f"DATUM_{n}").try_cast("timestamp").alias("datum"),
+                read_date(F.col(f"DATUM_{n}").cast("string")).alias("datum"),
+                F.col(f"DATUM_{n}").cast("string").alias("datum_text"),
             )
             for n in blocks
         ]
@@ -53,11 +87,7 @@ def blocks_to_long(df: DataFrame, keys: Sequence[str] = STATION_KEY) -> DataFram
     key_columns = [
         v.number(wide, k).alias(k) if k in places else F.col(k) for k in keys
     ]
-    long = wide.select(*key_columns, F.inline(counts))
-    known = F.col("kfz").isNotNull() & F.col("datum").isNotNull()
-    for place in places:
-        known = known & F.col(place).isNotNull()
-    return long.filter(known)
+    return wide.select(*key_columns, F.inline(counts))
 
 
 def latest_count(long: DataFrame, key: str = "ID") -> DataFrame:

@@ -13,11 +13,9 @@ from trafficloom.catalogue_data import DATASETS, PROFILES, Profile
 from trafficloom.functions import geometry as geo
 from trafficloom.functions import tiling
 from trafficloom.model import POINT_KINDS
-from trafficloom.operators.keyed import attach
 
 TILE = ("layer", "z", "x", "y")
-SALTS = 64  # first ranking round of a crowded tile
-CHUNK = 10_000  # features merged into one row at most
+SALTS = 64  # shares of a tile in the first ranking round
 
 
 def cast_attributes(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
@@ -124,64 +122,33 @@ def tile_index(
 def cap_per_tile(df: DataFrame, limit: int, tie: Column) -> DataFrame:
     """The ``limit`` busiest features of each tile.
 
-    A low-zoom tile may hold a large share of everything. Up to a limit set in the session,
-    Spark ranks inside each map task first and sends on at most ``limit`` rows per tile. Beyond
-    it, features are ranked in ``SALTS`` shares of the tile before the best of each share meet.
+    A low-zoom tile may hold a large share of everything: features are ranked in ``SALTS`` shares
+    of the tile before the best of each share meet.
     """
     order = [F.desc_nulls_last("dtv_kfz"), tie]
-    ahead = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
-    rounds = [list(TILE)] if limit <= ahead else [[*TILE, "_salt"], list(TILE)]
-    out = df if limit <= ahead else df.withColumn("_salt", F.pmod(F.xxhash64(tie), F.lit(SALTS)))
-    for place in rounds:
+    out = df.withColumn("_salt", F.pmod(F.xxhash64(tie), F.lit(SALTS)))
+    for place in ([*TILE, "_salt"], list(TILE)):
         rank = F.row_number().over(Window.partitionBy(*place).orderBy(*order))
         out = out.withColumn("_rank", rank).filter(F.col("_rank") <= limit).drop("_rank")
     return out.drop("_salt")
 
 
-def coalesce_features(
-    df: DataFrame, attributes: Sequence[str], chunk: int = CHUNK
-) -> DataFrame:
-    """Features of one tile with the same attributes become one multi-part feature.
+def coalesce_features(df: DataFrame, attributes: Sequence[str]) -> DataFrame:
+    """Features of one tile with the same attributes become one: the rows with its key are its
+    parts, each different part once, with the number of its ``copies``.
 
-    A row holds about ``chunk`` features at most; a larger set is spread over several rows, and
-    all parts are kept. Copies of one shape are counted before the shuffle and travel as a
-    number, so neither a crowded tile nor a shape that repeats endlessly meets in one task.
+    A merged feature is never held in one row, so its size is no matter, and parts that repeat
+    are counted before the shuffle.
     """
     keys = [*TILE, *attributes]
-    geometry = F.col("geometry")
-    shapes = df.groupBy(*keys, geometry["kind"].alias("_kind"), geometry["parts"].alias("_parts"))
-    counted = shapes.agg(F.count("*").alias("_n"), F.min("geometry.srid").alias("_srid"))
-
-    # Copies in portions small beside a chunk; a portion's number is part of its hash.
-    portion = max(chunk // 10, 1)
-    numbers = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_n") - 1) / portion))
-    pieces = counted.withColumn("_i", F.explode(numbers)).withColumns(
-        {
-            "_copies": F.least(F.lit(portion), F.col("_n") - F.col("_i") * portion).cast("int"),
-            "_hash": F.xxhash64("_parts", "_i"),
-        }
-    )
-    large = counted.groupBy(*keys).agg(F.sum("_n").alias("_total"))
-    large = large.filter(F.col("_total") > chunk)
-    rows = F.coalesce(F.ceil(F.col("_total") / chunk), F.lit(1)).cast("bigint")
-    merged = (
-        attach(pieces, large, keys)
-        .withColumn("_chunk", F.pmod("_hash", rows))
-        .groupBy(*keys, "_chunk")
-        .agg(
-            F.sort_array(F.collect_list(F.struct("_parts", "_copies"))).alias("_all"),
-            F.bool_and(F.col("_kind").isin(*POINT_KINDS)).alias("_points"),
-            F.min("_srid").alias("_srid"),
-            F.min("_kind").alias("_kind"),
-            F.sum("_copies").alias("_features"),
-        )
-    )
-    parts = F.flatten(
-        F.transform("_all", lambda p: F.flatten(F.array_repeat(p["_parts"], p["_copies"])))
+    shape = F.col("geometry")
+    kind = F.when(shape["kind"].isin(*POINT_KINDS), "Point").otherwise("LineString")
+    parts = df.select(
+        *keys, kind.alias("_kind"), shape["srid"].alias("_srid"), F.explode(shape["parts"]).alias("_part")
     )
-    multi = F.when(F.col("_points"), "MultiPoint").otherwise("MultiLineString")
-    kind = F.when(F.col("_features") == 1, F.col("_kind")).otherwise(multi)
-    return merged.select(*keys, geo.geometry(kind, F.col("_srid"), parts).alias("geometry"))
+    merged = parts.groupBy(*keys, "_kind", "_srid", "_part").agg(F.count("*").alias("copies"))
+    one = geo.geometry(F.col("_kind"), F.col("_srid"), F.array("_part"))
+    return merged.select(*keys, one.alias("geometry"), "copies")
 
 
 def combine(layers: Sequence[DataFrame]) -> DataFrame:

@@ -13,10 +13,12 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 from typing import NamedTuple
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trafficloom.catalogue_data import DATASETS, LEVEL_OF, live_codes
+from trafficloom.model import CANONICAL
 from trafficloom.operators import catalogue as cat
 from trafficloom.operators import contract
 from trafficloom.operators.canonical import canonical_columns, write_ready
@@ -56,7 +58,13 @@ def run_table(spark: SparkSession, warehouse: str) -> DataFrame:
 
 def newest(spark: SparkSession, warehouse: str, stage: str) -> dict[str, str]:
     """Path of the newest good run per code: one entry per source or dataset."""
-    good = run_table(spark, warehouse).filter((F.col("stage") == stage) & F.col("error").isNull())
+    try:
+        runs = run_table(spark, warehouse)
+    except AnalysisException as missing:  # nothing has been recorded in this warehouse yet
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
+    good = runs.filter((F.col("stage") == stage) & F.col("error").isNull())
     paths = good.groupBy("code").agg(F.max_by("path", "run").alias("path")).collect()
     return {r["code"]: r["path"] for r in sorted(paths, key=lambda r: r["code"])}
 
@@ -101,8 +109,15 @@ def build_all(
     codes: Sequence[str] | None = None,
     run: str | None = None,
     threads: int = 4,
+    catalogue: DataFrame | None = None,
 ) -> DataFrame:
-    """Build all live sources; one that fails is recorded and does not stop the others."""
+    """Build all live sources; one that fails is recorded and does not stop the others.
+
+    ``catalogue`` is a source list read from a file; without one the built-in list counts.
+    """
+    if codes is None and catalogue is not None:
+        live = catalogue.filter("status = 'live'").orderBy("ord").select("code")
+        codes = [r["code"] for r in live.collect()]
     codes = live_codes() if codes is None else list(codes)
     run = run or new_run()
 
@@ -122,7 +137,10 @@ def build_all(
 
 
 def build_summary(runs: DataFrame) -> DataFrame:
-    """Built and failed codes in build order; a run has one row per catalogued source."""
+    """Built and failed codes of the newest build, in build order: one row per source of it."""
+    runs = runs.filter("stage = 'build'")
+    newest_run = runs.agg(F.max("run").alias("_newest"))
+    runs = runs.join(newest_run, F.col("run") == F.col("_newest")).drop("_newest")
     state = F.when(F.col("error").isNull(), "ok").otherwise("failed")
     entry = F.struct("ord", "code", "n", "error")
     return (
@@ -157,7 +175,7 @@ def merge(spark: SparkSession, warehouse: str, run: str | None = None) -> DataFr
     """All sources in one table, split by group and source; returns the group summary."""
     run = run or new_run()
     path = f"{warehouse}/features/{run}"
-    routed = route(read_interim(spark, warehouse), LEVEL_OF)
+    routed = route(read_interim(spark, warehouse))
     n = checked_write(routed, path, "merge", ["group", "source"])
     record(spark, warehouse, [Run("merge", 0, "features", run, path, n, None)])
     return group_summary(read_features(spark, warehouse))
@@ -216,15 +234,27 @@ def build_tiles(
 # ---------------------------------------------------------------------------- manifest
 
 
-def manifest(spark: SparkSession, warehouse: str) -> str:
-    """Write ``<warehouse>/manifest``: one JSON text with datasets and sources."""
-    features = read_features(spark, warehouse)
+def built_features(spark: SparkSession, warehouse: str) -> DataFrame:
+    """The newest table of every built source with its group, merged or not; maybe none."""
+    if newest(spark, warehouse, "build"):
+        return route(read_interim(spark, warehouse))
+    return spark.createDataFrame([], CANONICAL).withColumn("group", F.lit(None).cast("string"))
+
+
+def manifest(spark: SparkSession, warehouse: str, catalogue: DataFrame | None = None) -> str:
+    """Write ``<warehouse>/manifest``: one JSON text with datasets and sources.
+
+    Numbers are those of the newest build of each source; sources never built have none.
+    """
+    features = built_features(spark, warehouse)
     present = [d.key for d in DATASETS if d.key in newest(spark, warehouse, "tiles")]
     datasets = cat.dataset_json(
         cat.dataset_entries(cat.dataset_table(spark), cat.dataset_years(features), present)
     )
     sources = cat.source_json(
-        cat.source_entries(cat.source_table(spark), cat.source_stats(features))
+        cat.source_entries(
+            cat.source_table(spark) if catalogue is None else catalogue, cat.source_stats(features)
+        )
     )
 
     def entries(df: DataFrame) -> dict:  # at most one row per catalogue entry

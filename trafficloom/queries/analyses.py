@@ -21,7 +21,7 @@ def motorway_sections_per_state(spark, folder):
 
 @query(f"""
     with {s.FEATURES_SQL}
-    select source, round(quantile_cont(round(cast({SHARE_SQL} as decimal(38, 18)), 1)::double, 0.5), 6)
+    select source, round(quantile_cont(({SHARE_SQL})::double, 0.5), 6)
         as median_share
     from features where {SHARE_SQL} is not null group by source
 """)
@@ -99,7 +99,7 @@ def release_comparison(spark, folder):
 
 @query(f"""
     with {COMPARED_SQL}
-    select fate, round(quantile_cont(round((new_value - old_value) / old_value * 100, 1), 0.5), 6)
+    select fate, round(quantile_cont((new_value - old_value) / old_value * 100, 0.5), 6)
         as median_change
     from compared where old_value > 0 and new_value is not null group by fate
 """)

@@ -304,8 +304,7 @@ def source_st(spark, folder):
     rows = lines(spark, folder).withColumn("layer", F.expr(NET_LAYER))
     net = {
         f"net_{name}": shaped(
-            rows.filter(F.col("layer") == at), NET, 25832, LINE_EAST, LINE_NORTH,
-            keep=[F.struct(F.lit(at).alias("file"), F.col(ORDINAL).alias("row")).alias(ORDINAL)],
+            rows.filter(F.col("layer") == at), NET, 25832, LINE_EAST, LINE_NORTH, keep=[ORDINAL],
         )
         for at, name in enumerate(states.NETWORK_LAYERS)
     }
@@ -545,7 +544,7 @@ STATION_NAME = """case nr % 3 when 0 then 'B' || cast(nr as string) || '_Ulmerst
 
 
 def _cell(n, what):
-    return f"max(case when event_id % 7 = {n - 1} then {what} end)"
+    return f"max(case when event_id % 4 = {n - 1} then {what} end)"
 
 
 SHEET = {}
@@ -628,7 +627,7 @@ def merged(spark, folder):
 """)
 def all_sources_by_group(spark, folder):
     """Every source from its landed layers to the merged groups."""
-    return grouping.group_summary(grouping.route(merged(spark, folder), LEVEL_OF))
+    return grouping.group_summary(grouping.route(merged(spark, folder)))
 
 
 @query(f"""

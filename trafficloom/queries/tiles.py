@@ -131,24 +131,27 @@ def busiest_features_per_tile(spark, folder):
 @query(f"""
     with {s.FEATURES_SQL}, {TILES_SQL}
     select cast(z as integer) as z, cast(x as integer) as x, cast(y as integer) as y,
-        road_class, year, level, count(*) as parts,
-        cast(sum(case when is_point then 1 else 2 end) as bigint) as vertices
-    from tiles group by z, x, y, road_class, year, level
+        road_class, year, level, is_point, count(*) as copies,
+        round(lon1, 6) as lon1, round(lat1, 6) as lat1,
+        round(case when not is_point then lon2 end, 6) as lon2,
+        round(case when not is_point then lat2 end, 6) as lat2
+    from tiles group by z, x, y, road_class, year, level, is_point, lon1, lat1,
+        case when not is_point then lon2 end, case when not is_point then lat2 end
 """)
 def coalesced_features(spark, folder):
     """Features of a tile with equal attributes as one multi-part feature; no part is lost."""
     attributes = ["road_class", "year", "level"]
     rows = s.features(spark, folder).select(*attributes, "dtv_kfz", "geometry")
     cut = ops.tile_index(rows, PROFILES["lines"], key=F.lit(0))
-    merged = ops.coalesce_features(cut.drop("dtv_kfz"), attributes, chunk=50)
-    parts = merged.select(
-        "z", "x", "y", *attributes, F.size("geometry.parts").alias("parts"),
-        geo.point_count(F.col("geometry")).alias("vertices"),
-    )
-    return parts.groupBy("z", "x", "y", *attributes).agg(
-        F.sum("parts").cast("bigint").alias("parts"),
-        F.sum("vertices").cast("bigint").alias("vertices"),
-    )
+    merged = ops.coalesce_features(cut.drop("dtv_kfz"), attributes)
+    points = F.col("geometry.parts")[0]
+    ends = [
+        F.round(F.get(points, F.lit(i))[axis], 6).alias(f"{name}{i + 1}")
+        for i in (0, 1)
+        for axis, name in (("x", "lon"), ("y", "lat"))
+    ]
+    is_point = (F.col("geometry.kind") == "Point").alias("is_point")
+    return merged.select("z", "x", "y", *attributes, is_point, "copies", *ends)
 
 
 @query(f"""
@@ -162,7 +165,7 @@ def coalesced_features(spark, folder):
 """)
 def tile_datasets(spark, folder):
     """All datasets with their layers, counted per zoom."""
-    routed = grouping.route(s.features(spark, folder), s.levels(spark, folder))
+    routed = grouping.route(s.features(spark, folder))
     cut = ops.dataset_tiles(routed, list(PROFILES))
     return cut.groupBy("dataset", "layer", "z").agg(
         F.count("*").alias("n"), F.count_distinct("x", "y").alias("tiles")
@@ -176,7 +179,7 @@ def tile_datasets(spark, folder):
 """)
 def one_dataset_only(spark, folder):
     """Rebuilding a single dataset reads only its groups; its first zoom is 8, without ladder."""
-    routed = grouping.route(s.features(spark, folder), s.levels(spark, folder))
+    routed = grouping.route(s.features(spark, folder))
     parts = [
         ops.zoom_rows(routed.filter(F.col("group") == g), PROFILES[g])
         for g in ("kommunal_lines", "kommunal_points")

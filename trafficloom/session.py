@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -44,7 +43,4 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        # A cluster names a shared folder; only a local run may fall back to its own disk.
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="trafficloom-ckpt-"))
     return spark

@@ -30,10 +30,19 @@ class LandingError(ValueError):
     """The landed payload is not what the source promises."""
 
 
+def natural(text: Column) -> Column:
+    """A text whose order takes runs of digits as numbers: page 2 comes before page 10."""
+    parts = F.regexp_extract_all(text, F.lit(r"\d+|\D+"), F.lit(0))
+    padded = F.transform(
+        parts, lambda p: F.when(p.rlike(r"^\d{1,20}$"), F.lpad(p, 20, "0")).otherwise(p)
+    )
+    return F.array_join(padded, "")
+
+
 def _place(*inside: Column) -> Column:
-    """Total input order: file, block of the file, row."""
+    """Total input order: file (by the numbers in its name), block of the file, row."""
     return F.struct(
-        F.col("_metadata.file_path").alias("file"),
+        natural(F.col("_metadata.file_path")).alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         *inside,
     )
@@ -42,9 +51,26 @@ def _place(*inside: Column) -> Column:
 # ------------------------------------------------------------------------------ tables
 
 
+# Doubled quotes stand for one, a quoted cell may run over lines. Rows that do not have the
+# header's cells (an unclosed quote shifts them) and files with another header fail the load.
+CSV = {
+    "header": "true",
+    "encoding": "UTF-8",
+    "quote": '"',
+    "escape": '"',
+    "multiLine": "true",
+    "mode": "FAILFAST",
+    "enforceSchema": "false",
+}
+
+
 def read_table(spark: SparkSession, paths: str | Sequence[str], **options: str) -> DataFrame:
-    """CSV files with a header, every column a text; the usual words for "missing" are null."""
-    raw = spark.read.options(header="true", encoding="UTF-8", **options).csv(paths)
+    """CSV files with a header, every column a text; the usual words for "missing" are null.
+
+    A file is read by one task, because a cell may hold line breaks; ``multiLine="false"`` splits
+    large files that are known to have none.
+    """
+    raw = spark.read.options(**{**CSV, **options}).csv(paths)
     row = F.monotonically_increasing_id().alias("row")
     return raw.select(
         *[v.null_tokens(F.col(f"`{c}`")).alias(c) for c in raw.columns],
@@ -95,6 +121,12 @@ def geojson_geometry(g: Column, srid: int) -> Column:
     return F.when(kind.isNotNull(), shape)
 
 
+def _property(name: str) -> Column:
+    """A property; the feature's own ``id`` where no property has that name."""
+    own = F.col("f.properties")[name]
+    return F.coalesce(own, F.col("f.id")) if name == "id" else own
+
+
 def read_geojson(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -130,7 +162,7 @@ def read_geojson(
         ).select("f", F.col("_page").withField("at", F.col("at")).alias(ORDINAL))
     shape = geojson_geometry(F.col("f.geometry"), srid)
     out = rows.select(
-        *[F.col("f.properties")[p].alias(p) for p in properties],
+        *[_property(p).alias(p) for p in properties],
         (geo.swap_axes(shape) if swap else shape).alias("geometry"),
         ORDINAL,
     )
@@ -163,58 +195,91 @@ def missing_pages(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 
 def read_paged(spark: SparkSession, paths: str | Sequence[str], *args, **kwargs) -> DataFrame:
     """All pages of a paged service; an incomplete landing is an error."""
-    gaps = missing_pages(spark, paths).limit(3).collect()
-    if gaps:
-        raise LandingError(f"pages not landed: {[g['href'] for g in gaps]}")
+    gaps = missing_pages(spark, paths).agg(F.count("*").alias("n"), F.min("href").alias("href"))
+    gap = gaps.first()
+    if gap["n"]:
+        raise LandingError(
+            f"{gap['n']} pages not landed, among them {gap['href']}; missing_pages() lists all"
+        )
     return read_geojson(spark, paths, *args, **kwargs)
 
 
 # --------------------------------------------------------------------------------- GML
 
-_TEXT = "struct<_VALUE:string,_srsDimension:string>"
-_CURVE = f"struct<LineString:struct<posList:{_TEXT}>>"
+_DIM = "_srsDimension:string"
+_TEXT = f"struct<_VALUE:string,{_DIM}>"
+_POINT = f"struct<pos:{_TEXT},{_DIM}>"
+_LINE = f"struct<posList:{_TEXT},{_DIM}>"
+_ARCS = f"struct<segments:struct<LineStringSegment:array<{_LINE}>>,{_DIM}>"
+_CURVE = f"struct<LineString:{_LINE},Curve:{_ARCS}>"
 GML_GEOMETRY = (
-    f"struct<Point:struct<pos:{_TEXT}>,LineString:struct<posList:{_TEXT}>,"
-    f"MultiCurve:struct<curveMember:array<{_CURVE}>>,"
-    f"MultiLineString:struct<lineStringMember:array<{_CURVE}>>>"
+    f"struct<Point:{_POINT},LineString:{_LINE},Curve:{_ARCS},"
+    f"MultiPoint:struct<pointMember:array<struct<Point:{_POINT}>>,{_DIM}>,"
+    f"MultiCurve:struct<curveMember:array<{_CURVE}>,{_DIM}>,"
+    f"MultiLineString:struct<lineStringMember:array<{_CURVE}>,{_DIM}>>"
 )
+# Names a geometry property goes by.
+GML_NAMES = ("geom", "geometry", "the_geom", "shape", "wkb_geometry", "msGeometry")
 
 
-def _positions(pos: Column) -> Column:
-    """``x y x y …`` as points, two or three numbers each."""
-    step = F.coalesce(pos["_srsDimension"].try_cast("int"), F.lit(2))
+def _positions(pos: Column, *around: Column) -> Column:
+    """``x y x y …`` as points. The number of coordinates is the one stated nearest to them, two
+    if none is; a list it does not divide fails."""
+    stated = [c["_srsDimension"].try_cast("int") for c in (pos, *around)]
+    step = F.coalesce(*stated, F.lit(2))
     numbers = F.transform(
         F.filter(F.split(v.strip(pos["_VALUE"]), r"\s+"), lambda t: t != ""),
         lambda t: v.parse_number(t),
     )
+    whole = F.size(numbers) % step == 0
     starts = F.sequence(F.lit(0), F.greatest(F.size(numbers) - step, F.lit(0)), step)
-    points = F.transform(
-        starts, lambda i: geo.xy(F.get(numbers, i), F.get(numbers, i + 1))
+    points = F.transform(starts, lambda i: geo.xy(F.get(numbers, i), F.get(numbers, i + 1)))
+    odd = F.raise_error(F.concat(F.lit("coordinates do not come in groups of "), step))
+    return F.when(F.size(numbers) >= 2, F.when(whole, points).otherwise(odd))
+
+
+def _line(line: Column, *around: Column) -> Column:
+    return _positions(line["posList"], line, *around)
+
+
+def _arcs(curve: Column, *around: Column) -> Column:
+    """The segments of a curve as one line; a shared end counts once."""
+    parts = F.transform(
+        curve["segments"]["LineStringSegment"], lambda seg: _line(seg, curve, *around)
     )
-    return F.when(F.size(numbers) >= 2, points)
+
+    def add(line: Column, part: Column) -> Column:
+        same = F.get(line, F.size(line) - 1) == F.get(part, F.lit(0))
+        joined = F.concat(line, F.slice(part, 2, F.greatest(F.size(part) - 1, F.lit(0))))
+        return F.when(F.coalesce(same, F.lit(False)), joined).otherwise(F.concat(line, part))
+
+    points = F.filter(parts, lambda p: p.isNotNull())
+    empty = F.slice(F.get(points, F.lit(0)), 1, 0)
+    return F.when(F.size(points) > 0, F.aggregate(points, empty, add))
 
 
 def gml_geometry(g: Column, srid: int, swap: bool = False) -> Column:
-    def members(m: Column) -> Column:
-        return F.transform(m, lambda c: _positions(c["LineString"]["posList"]))
-
-    curves = g["MultiCurve"]["curveMember"]
-    strings = g["MultiLineString"]["lineStringMember"]
-    kind = (
-        F.when(g["Point"].isNotNull(), "Point")
-        .when(g["LineString"].isNotNull(), "LineString")
-        .when(curves.isNotNull() | strings.isNotNull(), "MultiLineString")
-    )
-    parts = F.coalesce(
-        F.array(_positions(g["Point"]["pos"])),
-        F.array(_positions(g["LineString"]["posList"])),
+    def members(many: Column, name: str) -> Column:
+        def one(c: Column) -> Column:
+            arcs = F.when(c["Curve"].isNotNull(), _arcs(c["Curve"], many))
+            return F.coalesce(F.when(c["LineString"].isNotNull(), _line(c["LineString"], many)), arcs)
+
+        return F.transform(many[name], one)
+
+    dots = F.transform(
+        g["MultiPoint"]["pointMember"],
+        lambda m: _positions(m["Point"]["pos"], m["Point"], g["MultiPoint"]),
     )
-    parts = (
-        F.when(g["Point"].isNotNull(), F.array(_positions(g["Point"]["pos"])))
-        .when(g["LineString"].isNotNull(), F.array(_positions(g["LineString"]["posList"])))
-        .when(curves.isNotNull(), members(curves))
-        .when(strings.isNotNull(), members(strings))
+    shapes = (
+        ("Point", "Point", F.array(_positions(g["Point"]["pos"], g["Point"]))),
+        ("LineString", "LineString", F.array(_line(g["LineString"]))),
+        ("Curve", "LineString", F.array(_arcs(g["Curve"]))),
+        ("MultiPoint", "MultiPoint", dots),
+        ("MultiCurve", "MultiLineString", members(g["MultiCurve"], "curveMember")),
+        ("MultiLineString", "MultiLineString", members(g["MultiLineString"], "lineStringMember")),
     )
+    kind = F.coalesce(*(F.when(g[element].isNotNull(), F.lit(name)) for element, name, _ in shapes))
+    parts = F.coalesce(*(F.when(g[element].isNotNull(), value) for element, _, value in shapes))
     whole = F.filter(parts, lambda p: p.isNotNull())
     shape = geo.geometry(kind, srid, whole)
     shape = geo.swap_axes(shape) if swap else shape
@@ -226,21 +291,24 @@ def read_gml(
     paths: str | Sequence[str],
     row_tag: str,
     fields: Sequence[str],
-    geometry: str | None = "geom",
+    geometry: str | Sequence[str] | None = GML_NAMES,
     srid: int = SRID,
     swap: bool = False,
 ) -> DataFrame:
-    """Feature members of GML documents; name prefixes are ignored."""
+    """Feature members of GML documents; name prefixes are ignored. ``geometry`` names the element
+    of the shape, or those it may be: the first that is there counts."""
+    names = [geometry] if isinstance(geometry, str) else list(geometry or ())
     schema = ", ".join([f"`{f}` string" for f in fields])
-    if geometry:
-        schema += f", `{geometry}` {GML_GEOMETRY}"
+    for name in names:
+        schema += f", `{name}` {GML_GEOMETRY}"
     raw = (
         spark.read.schema(schema)
         .options(rowTag=row_tag, ignoreNamespace="true", attributePrefix="_")
         .xml(paths)
     )
     place = _place(F.monotonically_increasing_id().alias("row")).alias(ORDINAL)
-    shape = [gml_geometry(F.col(geometry), srid, swap).alias("geometry")] if geometry else []
+    found = F.coalesce(*[F.col(f"`{n}`") for n in names]) if names else None
+    shape = [gml_geometry(found, srid, swap).alias("geometry")] if names else []
     return raw.select(*[F.col(f"`{f}`") for f in fields], *shape, place)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from trafficloom.catalogue_data import BY_CODE, LEVEL_OF
 from trafficloom.functions import roads
 from trafficloom.functions import values as v
+from trafficloom.model import ORDINAL
 from trafficloom.operators.canonical import Spec, points_from_xy, to_canonical
 from trafficloom.operators.keyed import attach_first, join_node_pairs
 from trafficloom.operators.tiles import combine
@@ -111,8 +112,18 @@ def sn(layers: Layers) -> DataFrame:
 
 
 def st(layers: Layers) -> DataFrame:
-    """Road network joined with the count sheet by start and end node."""
-    net = combine([layers[f"net_{c}"] for c in NETWORK_LAYERS])
+    """Road network joined with the count sheet by start and end node.
+
+    A node pair that several layers hold counts in the layer of the highest class.
+    """
+    net = combine(
+        [
+            layers[f"net_{c}"].withColumn(
+                ORDINAL, F.struct(F.lit(at).alias("layer"), F.col(ORDINAL).alias("place"))
+            )
+            for at, c in enumerate(NETWORK_LAYERS)
+        ]
+    )
     joined = join_node_pairs(
         net, layers["values"], ("vnk", "nnk"), ("VonNK", "NachNK"),
         ["Str", "TKZST", "DTV", "DTVSV"],
