@@ -120,24 +120,25 @@ def pack(
     A document is the ids of its whole text and an end id 0; null and empty texts are the end id
     alone. Every id lies in exactly one piece, pieces of a sequence follow each other without gap.
     Rows are packed one by one, so repeated and null ids stay. Padding is left at the end of a
-    pool only. An empty table gives no rows; other columns are not read. Reruns pack alike: a
-    pool is a hash share of the pieces, taken in a fixed order.
+    pool only. An empty table gives no rows; other columns are not read. Reruns pack the remainders
+    alike: a pool is a hash share of them, taken in a fixed order; whole windows have sequences of
+    their own, whose numbers start at 2^62.
     """
     cut = saved(pieces(docs, capacity, id_col, text_col, vocabulary, with_ids))
-    pools = math.ceil(max(1, cut.count()) / pool)
-    names = [c for c in cut.columns]
-    cut = cut.withColumn("pool", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(pools)))
+    pools = math.ceil(max(1, cut.filter(F.col("length") < capacity).count()) / pool)
+    names = cut.columns
+    # A whole window needs no company, so its ids stay where they were written.
+    number = F.monotonically_increasing_id() + F.lit(1 << 62)
+    whole = cut.filter(F.col("length") == capacity).withColumns({"sequence_id": number, "offset": F.lit(0).cast("long")})
+    rest = cut.filter(F.col("length") < capacity)
+    rest = rest.withColumn("pool", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(pools)))
 
     def place(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["doc_id", "start", "ids_crc32"], kind="stable", ignore_index=True)
         lengths = group["length"].tolist()
-        whole = [i for i, n in enumerate(lengths) if n == capacity]
-        rest = [i for i, n in enumerate(lengths) if n < capacity]
-        windows = [[i] for i in whole]
-        windows += [[rest[j] for j in w] for w in pack_lengths([lengths[i] for i in rest], capacity)]
         sequence, offset = [0] * len(lengths), [0] * len(lengths)
         base = int(group["pool"].iloc[0]) << 32
-        for number, window in enumerate(windows):
+        for number, window in enumerate(pack_lengths(lengths, capacity)):
             at = 0
             for i in window:
                 sequence[i], offset[i] = base + number, at
@@ -145,4 +146,4 @@ def pack(
         return group[names].assign(sequence_id=sequence, offset=offset)
 
     schema = PIECE + (", ids binary" if with_ids else "") + ", sequence_id long, offset long"
-    return cut.groupBy("pool").applyInPandas(place, schema)
+    return whole.unionByName(rest.groupBy("pool").applyInPandas(place, schema))
