@@ -12,7 +12,8 @@ import __spark_entry__ as entry  # noqa: E402
 import check  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES = {n: q for n, q in entry.queries().items() if n not in entry.LLM_QUERIES}
+SQL = entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
