@@ -124,11 +124,11 @@ SQL = {
             select a, b from shared join heads x on x.doc_id = a join heads y on y.doc_id = b
             where 100 * c >= 85 * (x.n + y.n - c)
         ),
-        both as (select a, b from links union all select b, a from links),
+        ways as (select a, b from links union all select b, a from links),
         reach as (
             select doc_id node, doc_id r from heads
             union
-            select both.b, reach.r from reach join both on both.a = reach.node
+            select ways.b, reach.r from reach join ways on ways.a = reach.node
         ),
         least as (select node, min(r) r from reach group by node)
         select s.doc_id, cast(s.n as bigint) n_shingles, coalesce(r, s.doc_id) component_id,
