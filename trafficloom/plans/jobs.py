@@ -14,7 +14,7 @@ from datetime import datetime, timezone
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trafficloom.catalogue_data import DATASETS, LEVEL_OF, live_codes
@@ -139,8 +139,8 @@ def build_all(
 def build_summary(runs: DataFrame) -> DataFrame:
     """Built and failed codes of the newest build, in build order: one row per source of it."""
     runs = runs.filter("stage = 'build'")
-    newest_run = runs.agg(F.max("run").alias("_newest"))
-    runs = runs.join(newest_run, F.col("run") == F.col("_newest")).drop("_newest")
+    last = F.max("run").over(Window.partitionBy("stage"))  # a short table: a row per source and run
+    runs = runs.withColumn("_newest", last).filter(F.col("run") == F.col("_newest")).drop("_newest")
     state = F.when(F.col("error").isNull(), "ok").otherwise("failed")
     entry = F.struct("ord", "code", "n", "error")
     return (
