@@ -101,6 +101,14 @@ def test_contract_refuses(layer, change, text):
         contract.validate(good(layer, **change), "here")
 
 
+def test_contract_says_how_many_values_it_does_not_quote(layer):
+    df = layer("a int", [(i, dot(9, 48)) for i in range(contract.EXAMPLES + 3)])
+    df = canonical.to_canonical(df, canonical.Spec({}, year=2021, road_class="B", **SPEC))
+    df = df.withColumn("level", F.concat(F.lit("x"), F.uuid()))
+    with pytest.raises(contract.ContractError, match="and 3 other values"):
+        contract.validate(df, "here")
+
+
 def test_contract_accepts_quarantines_and_names_missing_columns(layer):
     df = good(layer)
     assert contract.validate(df) is df

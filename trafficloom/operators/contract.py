@@ -86,8 +86,12 @@ def describe(counts: dict[str, int], where: str, df: DataFrame | None = None) ->
         return None
     text = f"{where}: " + ", ".join(f"{rule} in {n} rows" for rule, n in broken.items())
     if df is not None and any(rule.startswith("enum:") for rule in broken):
-        worst = invalid_values(df).orderBy(F.desc("n"), "column", "value").limit(EXAMPLES)
-        text += "; e.g. " + ", ".join(f"{r['column']}={r['value']!r}" for r in worst.collect())
+        values = invalid_values(df)
+        worst = values.orderBy(F.desc("n"), "column", "value").limit(EXAMPLES).collect()
+        text += "; e.g. " + ", ".join(f"{r['column']}={r['value']!r}" for r in worst)
+        more = values.count() - len(worst)
+        if more:
+            text += f" and {more} other values (invalid_values lists all)"
     return text
 
 

@@ -102,18 +102,10 @@ def catalogue(spark: SparkSession, folder: str) -> DataFrame:
     return derive(both, NATION)
 
 
-_LEVELS: dict[str, dict[str, str]] = {}
-
-
 def levels(spark: SparkSession, folder: str) -> dict[str, str]:
-    """The hand-kept catalogue as the mapping sees it: code to level, one entry per nation.
-
-    Loaded once per folder, as a catalogue file would be.
-    """
-    if folder not in _LEVELS:
-        rows = catalogue(spark, folder).select("code", "level").collect()
-        _LEVELS[folder] = {r["code"]: r["level"] for r in rows}
-    return _LEVELS[folder]
+    """The hand-kept catalogue as the mapping sees it: code to level, one entry per nation."""
+    rows = catalogue(spark, folder).select("code", "level").collect()
+    return {r["code"]: r["level"] for r in rows}
 
 
 # --------------------------------------------------------------------- reprojection SQL
