@@ -272,6 +272,17 @@ def check_packed(rows, want, capacity):
     return 1 - used / (capacity * len(by_sequence))
 
 
+def test_packing_keeps_large_ids_beside_null_ids(spark):
+    large = 2**60 + 1
+    docs = spark.createDataFrame([(large, "a b"), (None, "c"), (None, None), (large + 2, "")], "doc_id long, text string")
+    got = packing.pack(docs, 256).collect()
+    assert sorted(r.doc_id or 0 for r in got) == [0, 0, large, large + 2]
+    ends: dict = {}
+    for r in sorted(got, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == ends.get(r.sequence_id, 0)
+        ends[r.sequence_id] = r.offset + r.length
+
+
 def test_packing(spark, texts, awkward):
     lib = library()
 

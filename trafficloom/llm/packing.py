@@ -119,19 +119,26 @@ def pack(
 
     A document is the ids of its whole text and an end id 0; null and empty texts are the end id
     alone. Every id lies in exactly one piece, pieces of a sequence follow each other without gap.
-    Rows are packed one by one, so repeated and null ids stay. Padding is left at the end of a
+    Rows are packed one by one, so repeated and null ids stay; rows without id share sequences with
+    each other only. Padding is left at the end of a
     pool only. An empty table gives no rows; other columns are not read. Reruns pack the remainders
     alike: a pool is a hash share of them, taken in a fixed order; whole windows have sequences of
     their own, whose numbers start at 2^62.
     """
     cut = saved(pieces(docs, capacity, id_col, text_col, vocabulary, with_ids))
-    pools = math.ceil(max(1, cut.filter(F.col("length") < capacity).count()) / pool)
+    left = cut.filter(F.col("length") < capacity)
+    left = left.agg(F.count("doc_id").alias("named"), F.count_if(F.isnull("doc_id")).alias("unnamed")).first()
+    pools, more = (math.ceil(max(1, n) / pool) for n in left)
     names = cut.columns
     # A whole window needs no company, so its ids stay where they were written.
     number = F.monotonically_increasing_id() + F.lit(1 << 62)
     whole = cut.filter(F.col("length") == capacity).withColumns({"sequence_id": number, "offset": F.lit(0).cast("long")})
     rest = cut.filter(F.col("length") < capacity)
-    rest = rest.withColumn("pool", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(pools)))
+    # Rows without id have pools of their own, dealt by place: they may all be alike, and pandas
+    # would turn the ids beside them into floating-point numbers.
+    by_id = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(pools))
+    by_place = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(more)) + pools
+    rest = rest.withColumn("pool", F.when(F.isnull("doc_id"), by_place).otherwise(by_id))
 
     def place(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["doc_id", "start", "ids_crc32"], kind="stable", ignore_index=True)
