@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from trafficloom.llm import mixing, near_dedup, packing, quality, secret_scan
 from trafficloom.llm.common import saved, table
-from trafficloom.llm.queries import is_target
+from trafficloom.llm.queries import is_target, is_toxic
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Near duplicates share this many hundredths of their shingles.
@@ -20,8 +20,9 @@ PERCENT = 80
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Quality classifier: documents outside the sample go."""
-    made = quality.resample(docs, table(spark, sf_dir, "labels"), is_target(), carry=COLUMNS)
+    """Quality classifier: documents outside the sample and toxic ones go."""
+    labels = table(spark, sf_dir, "labels")
+    made = quality.resample(docs, labels, is_target(), carry=COLUMNS, unwanted=is_toxic())
     return made.filter("quality.kept").select(*COLUMNS)
 
 

@@ -339,6 +339,27 @@ def test_quality_tells_labelled_documents_apart(spark):
     assert good["kept"].mean() > 0.985 and bad["kept"].mean() < 0.2
 
 
+def test_quality_rejects_toxic_documents(spark):
+    """Fitted and calibrated on one half of the labels, judged on the other."""
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    half = F.xxhash64("doc_id") % 2 == 0
+    made = quality.resample(docs, labels.filter(half), queries.is_target(), unwanted=queries.is_toxic())
+    held = made.select("doc_id", "quality.kept").join(labels.filter(~half), "doc_id").toPandas()
+    good = held[held["quality"] == 1]
+    toxic, clean = (good[good["toxic"] == t]["kept"] for t in (1, 0))
+    print("toxic rejected", 1 - toxic.mean(), "of", len(toxic), "clean kept", clean.mean(), "of", len(clean))
+    assert toxic.mean() < 0.15 and clean.mean() > 0.98
+
+
+def test_toxic_needs_labels_of_both_sorts(spark):
+    docs = spark.createDataFrame([(i, f"word{i} some text") for i in range(20)], "doc_id long, text string")
+    for toxic in (0, 1, None):
+        labels = spark.createDataFrame([(i, 1, toxic) for i in range(9)], "doc_id long, quality int, toxic int")
+        got = quality.resample(docs, labels, F.lit(False), unwanted=queries.is_toxic())
+        assert got.filter("quality.kept").count() == 20
+
+
 def test_quality_on_awkward_rows(spark, awkward):
     labels = spark.createDataFrame([(1, 1, 0), (1, 0, 0), (None, 1, 0), (7, None, None)], "doc_id long, quality int, toxic int")
     got = quality.resample(awkward, labels, queries.is_target())

@@ -37,8 +37,14 @@ def is_target() -> Column:
     return (F.col("quality") == 1) & (F.col("toxic") == 0)
 
 
+def is_toxic() -> Column:
+    """What the sample is to be free of, however good the rest of its text."""
+    return F.col("toxic") == 1
+
+
 def quality_sample(spark: SparkSession, folder: str) -> DataFrame:
-    sample = quality.resample(table(spark, folder, "documents"), table(spark, folder, "labels"), is_target())
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    sample = quality.resample(docs, labels, is_target(), unwanted=is_toxic())
     return sample.select("doc_id", "quality.*")
 
 
