@@ -195,6 +195,34 @@ def test_exact_top_on_awkward_rows(spark, awkward_vectors):
     assert topk.top_inner_products(empty(awkward_vectors), F.col("id") == 0).count() == 0
 
 
+@pytest.mark.parametrize("outlier", [3e3, 1e7, 1e13, 1e200, 1.7e308])
+def test_exact_top_with_large_components(spark, outlier):
+    """Outlier dimensions, products that no long holds, and scores that differ in their last units."""
+    rng = random.Random(3)
+
+    def vector():
+        v = [rng.gauss(0, 1) for _ in range(6)]
+        v[rng.randrange(3)] = rng.choice((1.0, -1.0, 0.5)) * outlier * rng.choice((1.0, 1.0, 1 - rng.random()))
+        return v
+
+    rows = [(i, vector()) for i in range(500)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.top_inner_products(df, F.col("id") % 20 == 0, k=10, shard_size=120).collect()
+    whole = {i: [math.floor(1024 * Fraction(x)) for x in v] for i, v in rows}
+    want = set()
+    for q in range(0, 500, 20):
+        scores = {i: sum(a * b for a, b in zip(v, whole[q])) for i, v in whole.items() if i != q}
+        best = sorted(scores, key=lambda i: (-scores[i], i))[:10]
+        want |= {(q, r, i, min(max(scores[i], -(2**63)), 2**63 - 1)) for r, i in enumerate(best, 1)}
+    assert {tuple(r) for r in got} == want and len(got) == len(want)
+
+
+def test_exact_top_orders_what_is_beyond_a_long():
+    scores = [-(2**200), -(2**80) - 1, -(2**80), -(2**63) - 1, -(2**63), -1, 0, 2**63 - 1, 2**63, 2**80, 2**200]
+    shown = [(min(max(s, -(2**63)), 2**63 - 1), topk.beyond(s)) for s in scores]
+    assert shown == sorted(shown) and len(set(shown)) == len(scores)
+
+
 def test_reading_stops_early_where_it_can():
     rng = np.random.default_rng(1)
     values = rng.integers(0, 5, (4000, 3))

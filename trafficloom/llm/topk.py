@@ -4,11 +4,15 @@ A shard keeps one sorted list per component. A query reads all its lists from th
 most, in stretches that double; every entry has a lower bound (what it has shown, and the least
 the rest can add) and an upper bound (what it has shown, and what its unread lists show now).
 Reading stops when no outsider's upper bound reaches the k-th lower bound; the few entries left
-are then scored in full. Ties at the end stay inside, so equal scores go to the smaller id.
+are then scored in full, in exact integers. Ties at the end stay inside, so equal scores go to the
+smaller id. Bounds are doubles; where their sums are not exact they are widened by the rounding error.
 """
 
 from __future__ import annotations
 
+import math
+import operator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -21,19 +25,47 @@ SCALE = 1024
 SHARD = 8_192
 QUERY_BLOCK = 128
 FIRST_STRETCH = 128
-#: Scaled components stay within this: sums over thousands of them are exact in a double.
-LARGEST = 2**20
+#: Ends of a long.
+LEAST, LARGEST = -(2**63), 2**63 - 1
+
+
+def rounded(v: np.ndarray) -> np.ndarray:
+    """floor(SCALE * component) / SCALE, which a double holds exactly for every finite component."""
+    small = np.abs(v) < 2.0**53  # larger ones have no fraction
+    return np.where(small, np.floor(SCALE * np.where(small, v, 0.0)) / SCALE, v) + 0.0
+
+
+def units(v: np.ndarray) -> tuple[np.ndarray, int]:
+    """v by a power of two that leaves nothing above 1, and the exponent."""
+    exponent = int(np.frexp(np.abs(v).max(initial=0.0))[1])
+    return np.ldexp(v, -exponent), exponent
+
+
+def products(values: np.ndarray, query: np.ndarray) -> list[int]:
+    """Exact inner products of rounded vectors, in units of 1 / SCALE^2."""
+
+    def whole(v):  # the fraction first: SCALE times a large double may be infinite
+        return [int(x) * SCALE + int((x - math.trunc(x)) * SCALE) for x in v.tolist()]
+
+    asked = whole(query)
+    return [sum(map(operator.mul, whole(v), asked)) for v in values]
 
 
-def integers(v: np.ndarray) -> np.ndarray:
-    return np.clip(np.floor(SCALE * v), -LARGEST, LARGEST).astype(np.int64)
+def beyond(score: int) -> bytes:
+    """Orders scores that the same end of a long stands for, larger ones last."""
+    if LEAST <= score <= LARGEST:
+        return b"" if score >= 0 else b"\xff" * 4
+    size = (score.bit_length() + 7) // 8
+    key = size.to_bytes(4, "big") + abs(score).to_bytes(size, "big")
+    return key if score > 0 else bytes(255 - x for x in key)
 
 
 def candidates(
-    columns: np.ndarray, lists: np.ndarray, query: np.ndarray, k: int
+    columns: np.ndarray, lists: np.ndarray, query: np.ndarray, k: int, slack: float = 0.0
 ) -> tuple[np.ndarray, int]:
     """Entries that may be among the k best (all that tie with the last included), and the depth
-    read. columns: (dim, entries); lists: entry numbers by rising value, for each component."""
+    read. columns: (dim, entries); lists: entry numbers by rising value, for each component. slack:
+    what an upper and a lower bound may be off by together."""
     n = columns.shape[1]
     used = np.flatnonzero(query)
     if n <= k or not len(used):
@@ -55,19 +87,19 @@ def candidates(
         at, stretch = until, 2 * stretch
         low = shown + least @ unread
         reached = np.partition(low, n - k)[n - k]
-        left = np.flatnonzero(shown + front @ unread >= reached)
+        left = np.flatnonzero(shown + front @ unread >= reached - slack)
         if len(left) <= 4 * k:
             return left, at
     return left, at
 
 
 def sorted_lists(vectors: DataFrame) -> DataFrame:
-    """One row per shard and length of vector: dim, shard, entries (ids of each), data (scaled
+    """One row per shard and length of vector: dim, shard, entries (ids of each), data (rounded
     components), lists (entry numbers by rising value, component by component)."""
 
     def build(group: pd.DataFrame) -> pd.DataFrame:
         group = group.assign(first=[i[0] for i in group["ids"]]).sort_values("first")
-        values = integers(matrix(group["v"]))
+        values = rounded(matrix(group["v"]))
         lists = np.argsort(values.T, axis=1, kind="stable").astype(np.int32)
         return pd.DataFrame(
             {
@@ -97,8 +129,8 @@ def top_inner_products(
     condition on id (long).
 
     Vectors null, empty or with null or non-finite components, and rows without id, take no part;
-    zero vectors do. Scaled components beyond 2^20 count as 2^20. Repeated ids count once; only
-    vectors of the query's length are its candidates. Fewer candidates than k: all of them. No
+    zero vectors do. Ranks are those of the exact integer product, however large; a score that a
+    long can't hold is shown as the end of its range. Repeated ids count once; only vectors of the query's length are its candidates. Fewer candidates than k: all of them. No
     rows or no queries: no rows. Other columns are not read.
     """
     rows = saved(clean(df, id_col, vec_col, nonzero=False))
@@ -108,17 +140,29 @@ def top_inner_products(
 
     def search(row) -> pd.DataFrame:
         own = np.frombuffer(row.ids, np.int64)
-        asked = integers(np.frombuffer(row.vectors, np.float64).reshape(len(own), row.dim))
-        values = np.frombuffer(row.data, np.int64).reshape(-1, row.dim)
+        asked = rounded(np.frombuffer(row.vectors, np.float64).reshape(len(own), row.dim))
+        values = np.frombuffer(row.data, np.float64).reshape(-1, row.dim)
         lists = np.frombuffer(row.lists, np.int32).reshape(row.dim, -1)
-        columns = np.ascontiguousarray(values.T)
+        scaled, exponent = units(values)
+        columns = np.ascontiguousarray(scaled.T)
+        widest = np.abs(columns).max(axis=1)
         out = []
         for q, query in zip(own, asked):
+            sent, own_exponent = units(query)
+            # All sums of products are integers of units below 2^53: exact in a double.
+            exact = row.dim * SCALE**2 * 2.0 ** min(exponent + own_exponent, 99) < 2.0**53
+            reach = float(np.abs(sent) @ widest) + 2.0**-900
+            slack = 0.0 if exact else 16 * (row.dim + 8) * 2.0**-52 * reach
             # One more than k: the query's own entry may be among them.
-            left, _ = candidates(columns, lists, query, k + 1)
-            scores = dict(zip(left.tolist(), (values[left] @ query).tolist()))
+            left, _ = candidates(columns, lists, sent, k + 1, slack)
+            if exact:
+                found = map(int, ((SCALE * values[left]) @ (SCALE * query)).tolist())
+            else:
+                found = products(values[left], query)
+            scores = dict(zip(left.tolist(), found))
             order = sorted(scores, key=lambda e: -scores[e])
-            out += [(int(q), i, s) for i, s in best_rows(row.entries, q, order, scores, k)]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
+            best = best_rows(row.entries, q, order, scores, k)
+            out += [(int(q), i, min(max(s, LEAST), LARGEST), beyond(s)) for i, s in best]
+        return pd.DataFrame(out, columns=["query_id", "vec_id", "score", "beyond"])
 
-    return search_shards(index, blocks, shards, search, "long", k)
+    return search_shards(index, blocks, shards, search, "long", k, among_equal="beyond")

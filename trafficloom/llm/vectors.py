@@ -74,10 +74,17 @@ def query_blocks(rows: DataFrame, queries: Column, block: int) -> DataFrame:
 
 
 def search_shards(
-    index: DataFrame, blocks: DataFrame, shards: int, search: Callable, score: str, k: int
+    index: DataFrame,
+    blocks: DataFrame,
+    shards: int,
+    search: Callable,
+    score: str,
+    k: int,
+    among_equal: str | None = None,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the k best of what search(row) yields for each block and
-    shard, larger scores first, ties to smaller ids. index: dim, shard and what search reads."""
+    shard, larger scores first, ties to smaller ids. index: dim, shard and what search reads.
+    among_equal: a column (binary) that search yields too; of equal scores, larger ones are first."""
     asked = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     met = join_hot(asked, index, ["dim", "shard"])
 
@@ -86,8 +93,10 @@ def search_shards(
             for row in pdf.itertuples(index=False):
                 yield search(row)
 
-    found = met.mapInPandas(work, f"query_id long, vec_id long, score {score}")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id"))
+    more = [among_equal] if among_equal else []
+    made = ", ".join(["query_id long", "vec_id long", f"score {score}", *(f"{c} binary" for c in more)])
+    found = met.mapInPandas(work, made)
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), *map(F.desc, more), F.asc("vec_id"))
     found = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     return found.select("query_id", "rank", "vec_id", "score")
 
