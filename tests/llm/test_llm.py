@@ -167,6 +167,31 @@ def test_neighbours_have_recall_and_exact_scores(spark):
     assert hits >= 0.95 * 20 * got["query_id"].nunique()
 
 
+def graph_recall(v, ef, k=20):
+    """Of every twentieth vector's k nearest others in the shard."""
+    graph = ann.Graph.build(ann.equal_length(v))
+    asked = v[::20]
+    length = np.linalg.norm(asked, axis=1, keepdims=True)
+    found, _ = graph.search(np.hstack([asked / length, 0 * length]).astype(np.float32), ef)
+    scores = asked @ v.T
+    scores[np.arange(len(asked)), np.arange(0, len(v), 20)] = -np.inf
+    hits = 0
+    for row, entries in zip(scores, found):
+        entries = entries[entries >= 0]
+        hits += len({*entries[np.argsort(-row[entries])][:k]} & {*np.argsort(-row)[:k]})
+    return hits / (k * len(asked))
+
+
+def test_recall_in_a_full_shard():
+    """Vectors without any structure are the hardest: the given ones have more recall."""
+    v = np.random.default_rng(0).standard_normal((ann.SHARD, 64))
+    recall = graph_recall(v, ann.EF_SEARCH)
+    given = pq.read_table("/root/testdata/check_l/embeddings.parquet").column("embedding").slice(0, ann.SHARD)
+    of_given = graph_recall(np.stack(given.to_numpy()).astype(float), ann.EF_SEARCH)
+    print("recall", recall, "given", of_given)
+    assert recall > 0.9 and of_given > 0.95
+
+
 def test_neighbours_on_awkward_rows(spark, awkward_vectors):
     got = ann.nearest_neighbours(awkward_vectors, F.col("id") % 100 == 0, k=3).collect()
     by = {q: [r.vec_id for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == q] for q in (0, 100, 200)}

@@ -21,7 +21,7 @@ from .vectors import best_rows, clean, distinct_vectors, matrix, query_blocks, s
 
 LINKS = 16
 EF_BUILD = 64
-EF_SEARCH = 120
+EF_SEARCH = 240
 SHARD = 8_192
 QUERY_BLOCK = 512
 #: Best open candidates that are expanded together in a step.
