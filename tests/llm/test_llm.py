@@ -192,6 +192,26 @@ def test_recall_in_a_full_shard():
     assert recall > 0.9 and of_given > 0.95
 
 
+def test_neighbours_among_lengths_of_all_magnitudes(spark):
+    """A few vectors thousands of times longer, shorter ones, and some whose squares overflow."""
+    rng = np.random.default_rng(4)
+    v = rng.standard_normal((1500, 12))
+    v[:3] *= 5000.0
+    v[3:6] *= 1e200
+    v[6:9] *= 1e-200
+    v[700:1000] *= 1e-3
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    got = ann.nearest_neighbours(df, F.col("id") % 20 == 10, k=20).toPandas()
+    hits = asked = 0
+    for q in range(10, 1500, 20):
+        scores = v @ v[q]
+        scores[q] = -np.inf
+        hits += len({*got[got["query_id"] == q]["vec_id"]} & {*np.argsort(-scores, kind="stable")[:20].tolist()})
+        asked += 20
+    print("recall", hits / asked)
+    assert hits / asked > 0.95
+
+
 def test_neighbours_on_awkward_rows(spark, awkward_vectors):
     got = ann.nearest_neighbours(awkward_vectors, F.col("id") % 100 == 0, k=3).collect()
     by = {q: [r.vec_id for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == q] for q in (0, 100, 200)}

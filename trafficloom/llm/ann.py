@@ -1,7 +1,8 @@
 """Approximate nearest neighbours: a hierarchical navigable small-world graph per shard.
 
 Vectors get one more component that makes their lengths equal, which turns the largest inner
-product into the smallest distance; the graph is built and walked on these. A shard's graph is a
+product into the smallest distance; the graph is built and walked on these. A shard holds vectors of
+one magnitude only: beside a far longer one the others would all look alike. A shard's graph is a
 row of flat neighbour arrays, one per layer. Construction inserts in growing batches: a batch
 searches the graph so far and its own rows, links by the diversity rule, and full neighbour lists
 are cut by the same rule. Searches walk many queries in step.
@@ -160,6 +161,7 @@ class Graph:
 def equal_length(v: np.ndarray) -> np.ndarray:
     """Unit vectors, by one more component, whose order of inner products with a query (which has
     0 there) is that of v."""
+    v = v / np.abs(v).max()  # squares of very large or small ones leave the doubles' range
     norms = np.linalg.norm(v, axis=1)
     longest = norms.max()
     rest = np.sqrt(np.maximum(longest**2 - norms**2, 0.0))
@@ -221,7 +223,7 @@ def nearest_neighbours(
     No rows or no queries: no rows. Other columns are not read.
     """
     rows = saved(clean(df, id_col, vec_col, nonzero=True))
-    vectors, shards = sharded(saved(distinct_vectors(rows, k + 1)), shard_size)
+    vectors, shards = sharded(saved(distinct_vectors(rows, k + 1)), shard_size, by_length=True)
     index = saved(build_index(vectors))
     blocks = saved(query_blocks(rows, queries, QUERY_BLOCK))
 
@@ -230,8 +232,9 @@ def nearest_neighbours(
         asked = np.frombuffer(row.vectors, np.float64).reshape(len(own), row.dim)
         data = np.frombuffer(row.data, np.float64).reshape(-1, row.dim)
         graph = load_graph(data, row.levels, row.neighbours)
-        length = np.linalg.norm(asked, axis=1, keepdims=True)
-        sent = np.hstack([asked / length, np.zeros_like(length)]).astype(np.float32)
+        unit = asked / np.abs(asked).max(axis=1, keepdims=True)
+        length = np.linalg.norm(unit, axis=1, keepdims=True)
+        sent = np.hstack([unit / length, np.zeros_like(length)]).astype(np.float32)
         found, _ = graph.search(sent, max(ef, 2 * k))
         out = []
         for q, entries in zip(range(len(own)), found):

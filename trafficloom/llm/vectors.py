@@ -41,11 +41,31 @@ def distinct_vectors(rows: DataFrame, most: int) -> DataFrame:
     return kept.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids"))
 
 
-def sharded(vectors: DataFrame, shard_size: int) -> tuple[DataFrame, int]:
-    """The vectors with dim and shard, and the number of shards: it grows with the table."""
-    count = math.ceil(max(1, vectors.count()) / shard_size)
-    shard = F.pmod(F.xxhash64("v"), F.lit(count)).cast("int")
-    return vectors.withColumn("dim", F.size("v")).withColumn("shard", shard), count
+def magnitude() -> Column:
+    """A number for the length of v: lengths within a factor of 4 share it, unit vectors are mid-range.
+    Squares are of components relative to the largest, so nothing leaves the doubles' range."""
+    largest = F.array_max(F.transform("v", F.abs))
+    squares = F.aggregate("v", F.lit(0.0), lambda total, x: total + (x / largest) * (x / largest))
+    return F.floor((F.log2(largest) + F.log2(squares) / 2) / 2 + 0.5).cast("int")
+
+
+def sharded(vectors: DataFrame, shard_size: int, by_length: bool = False) -> tuple[DataFrame, int]:
+    """The vectors with dim and shard, and the number of shards: it grows with the table. by_length
+    (no zero vectors): a shard has vectors of one magnitude."""
+    if not by_length:
+        count = math.ceil(max(1, vectors.count()) / shard_size)
+        shard = F.pmod(F.xxhash64("v"), F.lit(count)).cast("int")
+        return vectors.withColumn("dim", F.size("v")).withColumn("shard", shard), count
+    vectors = saved(vectors.withColumn("magnitude", magnitude()))
+    # Doubles have some 1,050 magnitudes at most, whatever the table.
+    first, shards = [], 0
+    for r in vectors.groupBy("magnitude").count().orderBy("magnitude").collect():
+        first.append((r["magnitude"], shards, math.ceil(r["count"] / shard_size)))
+        shards += first[-1][2]
+    placed = vectors.sparkSession.createDataFrame(first, "magnitude int, first int, parts int")
+    vectors = vectors.join(F.broadcast(placed), "magnitude")
+    shard = (F.col("first") + F.pmod(F.xxhash64("v"), F.col("parts"))).cast("int")
+    return vectors.select("v", "ids", F.size("v").alias("dim"), shard.alias("shard")), max(1, shards)
 
 
 def matrix(column: pd.Series) -> np.ndarray:
