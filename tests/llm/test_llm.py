@@ -607,6 +607,30 @@ def test_structures_are_confirmed():
         assert not secret_scan.structural_spans(text)
 
 
+def test_structures_in_other_forms():
+    def wrap(t, n=64):
+        return "\n".join(re.findall(f".{{1,{n}}}", t))
+
+    def token(header, payload):
+        return ".".join(b64(x, True).rstrip("=") for x in (header, payload)) + ".abc-_1"
+
+    large = der(0x30, number(0) + der(0x30, der(6, b"\x2a\x86\x48\x86\xf7\x0d\x01\x01\x01") + der(5, b"")) + der(4, bytes(90_000)))
+    pem = "-----BEGIN PRIVATE KEY-----\n{}\n-----END PRIVATE KEY-----"
+    framed = pem.format(wrap(b64(PKCS8)))
+    cases = [
+        (pem.format(wrap(b64(large))), "pem"), (framed, "pem"),
+        (token(b' {"alg": "HS256"}', b'{"sub": "1"}'), "jwt"), (token(b'{\n"alg": "HS256"}', b"any bytes"), "jwt"),
+        (wrap(b64(EC)), "key"), (wrap(b64(PKCS8)), "key"), (wrap(b64(SSH), 70), "ssh"),
+        (b64(framed.encode()), "pem"), (wrap(b64(framed.encode()), 76), "pem"),
+    ]
+    for text, kind in cases:
+        for before, after in (("é see ", " after"), ("-----BEGIN PRIVATE KEY-----?\n", "\nwords follow"), ("long-enough-prefix.", "\n")):
+            found = secret_scan.structural_spans(before + text + after)
+            want = (len(before), len(before) + len(text), kind)
+            assert want in found, (kind, text[:40], before, found)
+    assert not secret_scan.structural_spans(wrap(b64(RSA[:-1])) + "\n" + wrap(b64(bytes(range(200)))))
+
+
 def test_base_spans_drop_what_fails():
     cases = {
         "password: token = abcdefgh": [],  # the first match takes the second word with it

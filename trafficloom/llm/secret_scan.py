@@ -29,12 +29,17 @@ ASSIGN = re.compile(
 HINTS = ("passw", "secret", "token", "api")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
-PEM = re.compile(
-    r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----([A-Za-z0-9+/=\s:,.-]{1,100000}?)-----END \1-----"
-)
+FRAME = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]{0,40}PRIVATE KEY)-----")
+BODY = re.compile(r"[A-Za-z0-9+/=\s:,.-]+")
 RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
 HEX_RUN = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{64,}")
-JWT = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]*")
+#: Lines of a wrapped run; a short last one may be a word that follows.
+LINES = re.compile(
+    r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}+(?:[\x20\t]*\r?\n[\x20\t]*[A-Za-z0-9+/_-]++)++={0,2}"
+)
+LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
+#: Looked at from every start of a run, so a dotted word before a token hides nothing.
+JWT = re.compile(r"(?<![A-Za-z0-9_-])(?=([A-Za-z0-9_-]{15,}+)\.([A-Za-z0-9_-]++)\.([A-Za-z0-9_-]*+))")
 
 SPANS = "array<struct<kind:string,start:long,end:long>>"
 
@@ -125,11 +130,82 @@ def is_openssh(data: bytes | None) -> bool:
 
 
 def is_token(header: str, payload: str) -> bool:
+    """A header that names its algorithm; the payload may be any bytes. Encrypted tokens (five
+    parts) aren't signed ones."""
     try:
-        head, body = (json.loads(unbase64(x) or b"") for x in (header, payload))
+        head = json.loads(unbase64(header) or b"")
     except (ValueError, RecursionError):
         return False
-    return isinstance(head, dict) and isinstance(head.get("alg"), str) and isinstance(body, dict)
+    signed = isinstance(head, dict) and isinstance(head.get("alg"), str) and "enc" not in head
+    return signed and unbase64(payload) is not None
+
+
+def pem_spans(text: str) -> list[tuple[int, int]]:
+    """Each END with the last BEGIN before it that has its label and no END yet."""
+    found, begun = [], {}
+    for m in FRAME.finditer(text):
+        if m[1] == "BEGIN":
+            begun[m[2]] = m
+        elif begin := begun.pop(m[2], None):
+            body = text[begin.end() : m.start()]
+            if BODY.fullmatch(body):
+                body = "\n".join(x for x in body.split("\n") if ":" not in x)  # without old headers
+                data = unbase64(body)
+                if is_private_der(data) or is_openssh(data) or "ENCRYPTED" in m[2] and data:
+                    found.append((begin.start(), m.end()))
+    return found
+
+
+def pem_end(data: bytes | None) -> int:
+    """Where the last PEM frame in decoded text ends; 0 without one."""
+    frames = pem_spans(data.decode("latin-1")) if data and b"-----BEGIN " in data else []
+    return max((end for _, end in frames), default=0)
+
+
+def claimed(data: bytes) -> int:
+    """Bytes that a DER item or an OpenSSH key file at the start of data says it has; 0 if neither."""
+    if len(data) > 6 and data[0] == SEQUENCE:
+        n = data[1] & 0x7F if data[1] >= 0x80 else 0
+        return 2 + n + (int.from_bytes(data[2 : 2 + n], "big") if n else data[1]) if n <= 4 else 0
+    magic = b"openssh-key-v1\0"
+    at = len(magic)
+    if not data.startswith(magic):
+        return 0
+    for _ in range(3):
+        at += 4 + int.from_bytes(data[at : at + 4], "big")
+    keys = int.from_bytes(data[at : at + 4], "big")
+    at += 4
+    for _ in range(min(keys, 16) + 1):
+        at += 4 + int.from_bytes(data[at : at + 4], "big")
+    return at
+
+
+def wrapped_spans(text: str) -> list[tuple[int, int, str]]:
+    """Keys in base64 over several lines: they end with the line that holds their last byte."""
+    found = []
+    for m in LINES.finditer(text):
+        lines = list(LINE.finditer(text, m.start(), m.end()))
+        whole = "".join(x[0].rstrip("=") for x in lines)
+        data = unbase64(whole[: len(whole) - (len(whole) % 4 == 1)])
+        if not data:
+            continue
+        framed = pem_end(data)
+        need = -(-(framed or claimed(data)) * 4 // 3)
+        if not need:
+            continue
+        seen = 0
+        for x in lines:
+            seen += len(x[0].rstrip("="))
+            if seen >= need:
+                key = unbase64(whole[:seen])
+                if framed:
+                    found.append((m.start(), x.end(), "pem"))
+                elif is_private_der(key):
+                    found.append((m.start(), x.end(), "key"))
+                elif is_openssh(key):
+                    found.append((m.start(), x.end(), "ssh"))
+                break
+    return found
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -145,19 +221,19 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 def structural_spans(text: str) -> list[tuple[int, int, str]]:
     found = []
     if "-----BEGIN " in text:
-        for m in PEM.finditer(text):
-            body = "\n".join(x for x in m[2].split("\n") if ":" not in x)  # without old headers
-            data = unbase64(body)
-            if is_private_der(data) or is_openssh(data) or "ENCRYPTED" in m[2] and data:
-                found.append((m.start(), m.end(), "pem"))
-    if "eyJ" in text:
-        found += [(m.start(), m.end(), "jwt") for m in JWT.finditer(text) if is_token(m[1], m[2])]
+        found += [(start, end, "pem") for start, end in pem_spans(text)]
+    found += [(m.start(1), m.end(3), "jwt") for m in JWT.finditer(text) if is_token(m[1], m[2])]
     for m in RUN.finditer(text):
-        if m[0].startswith("M"):  # the first byte is that of a sequence
-            if is_private_der(unbase64(m[0])):
-                found.append((m.start(), m.end(), "key"))
-        elif m[0].startswith("b3BlbnNzaC1rZXktdjEA") and is_openssh(unbase64(m[0])):
+        data = unbase64(m[0])
+        if is_private_der(data):
+            found.append((m.start(), m.end(), "key"))
+        elif is_openssh(data):
             found.append((m.start(), m.end(), "ssh"))
+        elif pem_end(data):
+            found.append((m.start(), m.end(), "pem"))
+    if "\n" in text:
+        framed = [x[:2] for x in found if x[2] == "pem"]
+        found += [x for x in wrapped_spans(text) if not any(a <= x[0] and x[1] <= b for a, b in framed)]
     for m in HEX_RUN.finditer(text):
         if m[0].startswith("30") and len(m[0]) % 2 == 0 and is_private_der(bytes.fromhex(m[0])):
             found.append((m.start(), m.end(), "key"))
