@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, mixing, near_dedup, packing, pii, quality, secret_scan, tokens, topk
+from . import (
+    ann, chat, codebooks, filter_audit, mixing, near_dedup, packing, page_diff, pii, quality, secret_scan, tokens, topk,
+)
 from .common import WORD, table
 
 #: The pseudonyms' key; a real run takes it from where it keeps its secrets.
@@ -88,6 +90,18 @@ def secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def filter_interactions(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return codebooks.compress(table(spark, folder, "embeddings"))
+
+
+def page_texts(spark: SparkSession, folder: str) -> DataFrame:
+    return page_diff.main_text(table(spark, folder, "pages")).drop("n_shared")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": near_duplicates,
     "op2_nearest_neighbours": nearest_neighbours,
@@ -99,10 +113,36 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": mixture,
     "op9_conversations": conversations,
     "op10_secrets": secrets,
+    "op11_filter_interactions": filter_interactions,
+    "op12_vector_codes": vector_codes,
+    "op13_page_texts": page_texts,
 }
 
 _LOWER = f"translate(text, '{'ABCDEFGHIJKLMNOPQRSTUVWXYZ'}', '{'abcdefghijklmnopqrstuvwxyz'}')"
 
+
+def _assigned(n: int) -> str:
+    """The nearest entry of every part in codebook b<n>, ties to the lower index."""
+    return f"""
+        a{n} as (
+            select vec_id, p, min({{'d': list_sum([(x[1] - x[2]) * (x[1] - x[2]) for x in list_zip(q, c)]), 'e': e}}) best
+            from parts join b{n} using (p) group by all
+        )"""
+
+
+def _refitted(n: int) -> str:
+    """Codebook b<n> from the parts assigned in b<n - 1>."""
+    return f"""
+        m{n} as (
+            select p, best.e e, i, cast(floor(sum(q[i]) / count(*)) as bigint) x
+            from parts join a{n - 1} using (vec_id, p), range(1, 5) r(i) group by all
+        ),
+        b{n} as (
+            select p, e, coalesce(any_value(o.q), any_value(b.c)) c from b{n - 1} b
+            left join (select p, e, list(x order by i) q from m{n} group by all) o using (p, e) group by all
+        )"""
+
+
 SQL = {
     "op1_near_duplicates": f"""
         with recursive words as (
@@ -174,4 +214,85 @@ SQL = {
             select 1 from whole o where o.n > w.n and o.turns[1] is not distinct from w.turns[1]
                 and o.turns[1:w.n] = w.turns)
         """,
+    "op11_filter_interactions": f"""
+        with texts as (
+            select doc_id, coalesce(lang, '') part, coalesce(text, '') t, min(doc_id) over (partition by coalesce(text, '')) first_id
+            from documents
+        ),
+        worded as (select *, regexp_extract_all(t, '{WORD}') w from texts),
+        failing as (
+            select doc_id, part, [
+                len(w) < 200,
+                100 * len(list_distinct(w)) < 50 * len(w),
+                100 * len(regexp_extract_all(t, '[A-Z]')) > 3 * length(t),
+                regexp_matches(t, '[#$%&*|]'),
+                coalesce(first_id < doc_id, false)] f
+            from worded
+        ),
+        cells as (
+            select part, f, count(*) n, count(*) filter (quality = 1) good, count(*) filter (toxic = 1) toxic
+            from failing left join labels using (doc_id) group by all
+        ),
+        letters as (select unnest(['A', 'B', 'C', 'D', 'E']) l, generate_subscripts(['A', 'B', 'C', 'D', 'E'], 1) i),
+        orders as (
+            select a.l || b.l || c.l || d.l || e.l o, [a.i, b.i, c.i, d.i, e.i] places
+            from letters a, letters b, letters c, letters d, letters e
+            where len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5
+        ),
+        met as (
+            select part, o, step, places[step] filter_place, n, good, toxic, f[places[step]] fails,
+                len([x for x in places[:step - 1] if f[x]]) > 0 gone,
+                f[places[step]] and len([x for x in f if x]) = 1 alone
+            from cells, orders, range(1, 6) s(step)
+        ),
+        counted as (
+            select part, o filter_order, cast(step as integer) step, filter_place,
+                coalesce(sum(n) filter (not gone and not fails), 0) kept, coalesce(sum(n) filter (not gone and fails), 0) removed,
+                coalesce(sum(n) filter (gone and fails), 0) redundant, coalesce(sum(n) filter (alone), 0) unique_fails,
+                coalesce(sum(good) filter (not gone and fails), 0) good_lost,
+                coalesce(sum(toxic) filter (not gone and fails), 0) toxic_lost
+            from met group by all
+        )
+        select part, filter_order, step, cast(kept as bigint) kept, cast(removed as bigint) removed,
+            cast(redundant as bigint) redundant, cast(unique_fails as bigint) unique_fails, cast(good_lost as bigint) good_lost,
+            cast(toxic_lost as bigint) toxic_lost,
+            cast(sum(removed) over (partition by part, filter_place) as bigint) shapley
+        from counted
+        """,
+    "op12_vector_codes": f"""
+        with rows as (
+            select vec_id, label, [cast(floor(256 * cast(x as double)) as bigint) for x in embedding] z from embeddings
+            where embedding is not null and len([x for x in embedding if x is null or isnan(x) or isinf(x)]) = 0
+        ),
+        parts as (select vec_id, p, z[p * 4 + 1:p * 4 + 4] q from rows, range(16) r(p)),
+        b0 as (
+            select p, row_number() over (partition by p order by vec_id) - 1 e, q c from parts qualify e < 64
+        ),{_assigned(0)},{_refitted(1)},{_assigned(1)},{_refitted(2)},{_assigned(2)},
+        digest as (
+            select sha256(string_agg(x, ',' order by p, e, i)) books
+            from (select p, e, unnest(c) x, generate_subscripts(c, 1) i from b2)
+        ),
+        coded as (
+            select vec_id, string_agg(printf('%02x', best.e), '' order by p) code, cast(sum(best.d) as bigint) error
+            from a2 group by all
+        )
+        select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) label_error, books codebooks_sha256
+        from coded join rows using (vec_id), digest
+        """,
+    # The pages of these tables declare their article by its element, so its blocks are the text.
+    "op13_page_texts": r"""
+        with inside as (select page_id, url, regexp_extract(html, '(?s)<article>(.*)</article>', 1) h from pages),
+        blocks as (
+            select page_id, url, [regexp_replace(regexp_replace(b, '<br>', ' ', 'g'), '</?b>', '', 'g')
+                for b in regexp_split_to_array(h, '</?(?:p|h1)>')] b
+            from inside
+        ),
+        plain as (
+            select page_id, url, [trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(x,
+                '&quot;?', '"', 'g'), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g')) for x in b] b
+            from blocks
+        ),
+        texts as (select page_id, url, array_to_string([x for x in b if x <> ''], chr(10)) as text from plain)
+        select page_id, url, text, cast(length(text) as bigint) n_chars from texts
+        """,
 }
