@@ -165,7 +165,7 @@ def test_coalesced_features_lose_no_part(spark):
         "cast(id % 2 as string) as road_class", "cast(20000 as bigint) as dtv_kfz",
         "named_struct('kind', 'LineString', 'srid', 4326, 'parts', array(array("
         "named_struct('x', 9D + id / 1e6, 'y', 50D), named_struct('x', 9.00001D + id / 1e6, "
-        "'y', 50D)))) as geometry")
+        "'y', 50.5D + id / 1e6)))) as geometry")
     cut = ops.tile_index(df, Profile("t", 5, 5)).drop("dtv_kfz")
     one = ops.coalesce_features(cut, ["road_class"]).collect()
     assert [(len(r.geometry.parts), r.copies) for r in one] == [(1, 1)] * 1000

@@ -127,6 +127,83 @@ def test_paged_source_is_complete_or_refused(spark, tmp_path):
     assert [r.OBJECTID for r in rows.orderBy("_ord").collect()] == ["9", "10"]
 
 
+def test_pages_follow_their_links_and_not_their_names(spark, tmp_path):
+    base = "https://example.org/c/"
+    order = [7, 2, 9, 1, 4]
+    for at, n in enumerate(order):
+        after = f"{base}p{order[at + 1]}" if at + 1 < len(order) else None
+        put(tmp_path, f"p{n}.json", collection(
+            feature({"id": f"{at}a"}, "Point", [at, 1]), feature({"id": f"{at}b"}, "Point", [at, 2]), next_page=after))
+    rows = readers.read_paged(spark, str(tmp_path), ["id"]).orderBy("_ord").collect()
+    assert [r.id for r in rows] == [f"{at}{c}" for at in range(5) for c in "ab"]
+    put(tmp_path, "p5.json", collection(feature({"id": "x"}, "Point", [1, 1])))
+    with pytest.raises(readers.collections.CollectionError, match="beside the chain"):
+        readers.read_paged(spark, str(tmp_path), ["id"])
+    put(tmp_path, "p5.json", collection(feature({"id": "x"}, "Point", [1, 1]), next_page=base + "p9"))
+    with pytest.raises(readers.collections.CollectionError, match="several others"):
+        readers.read_paged(spark, str(tmp_path), ["id"])
+    for n, after in ((1, 2), (2, 3), (3, 1)):
+        put(tmp_path, f"ring/p{n}.json", collection(feature({"id": "x"}, "Point", [1, 1]), next_page=f"{base}p{after}"))
+    with pytest.raises(readers.collections.CollectionError, match="circle"):
+        readers.read_paged(spark, str(tmp_path / "ring"), ["id"])
+    for n in (10, 9):
+        put(tmp_path, f"plain/p{n}.json", collection(feature({"id": str(n)}, "Point", [1, 1])))
+    rows = readers.read_paged(spark, str(tmp_path / "plain"), ["id"]).orderBy("_ord").collect()
+    assert [r.id for r in rows] == ["9", "10"]
+
+
+WRITERS = {
+    "compact": {"separators": (",", ":")}, "usual": {}, "indented": {"indent": 2}, "tabs": {"indent": "\t"},
+}
+
+
+def many_features(n):
+    odd = ['a "quoted" } ] , {', "über\nzwei", "[{}]", "", 'ends with ],']
+    return [
+        feature({"id": str(i), "t": odd[i % 5], "n": i * 1.5, "none": None},
+                ("Point", "LineString", None)[i % 3], ([i, 1.5], [[i, 1], [i, 2.25]], None)[i % 3])
+        for i in range(n)
+    ]
+
+
+@pytest.mark.parametrize("writer", WRITERS)
+def test_a_large_collection_is_read_in_pieces(spark, tmp_path, writer):
+    """The same rows in the same order as from the whole document, from as many tasks as byte ranges."""
+    own = many_features(4000)
+    for at, (name, extra) in enumerate((("a2", {}), ("a10", {"crs": {"x": [1]}, "links": []}))):
+        part = own[at * 2000 : at * 2000 + 2000]
+        put(tmp_path, f"{name}.geojson", json.dumps({"type": "FeatureCollection", "features": part, **extra}, **WRITERS[writer]) + "\n")
+    put(tmp_path, "a11.geojson", '\ufeff{"type": "FeatureCollection", "features": []}')
+    fields = ["id", "t", "n", "none"]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")
+    try:
+        split = readers.read_geojson(spark, str(tmp_path), fields, 25832, split=True)
+        size = sum(f.stat().st_size for f in tmp_path.iterdir())
+        assert split.rdd.getNumPartitions() >= size // 44_000 > 8
+        got = [r[:-1] for r in split.orderBy("_ord").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    whole = readers.read_geojson(spark, str(tmp_path), fields, 25832)
+    assert got == [r[:-1] for r in whole.orderBy("_ord").collect()] and len(got) == 4000
+    assert split.schema["_ord"] == whole.schema["_ord"]
+
+
+def test_broken_collections_are_refused(spark, tmp_path):
+    text = json.dumps({"type": "FeatureCollection", "features": many_features(200)})
+    cut = text[: text.rfind('{"type": "Feature"')]
+    for name, broken in (("open", cut), ("twice", text + text), ("inside", text[:-40])):
+        put(tmp_path, f"{name}/a.geojson", broken)
+        with pytest.raises(Exception, match="of a collection|MALFORMED_RECORD"):
+            readers.read_geojson(spark, str(tmp_path / name), ["id"], split=True).collect()
+    # Features that start otherwise, and no feature at all, are read whole.
+    other = json.dumps({"features": [{"id": str(i), "type": "Feature", "properties": {}} for i in range(30)]})
+    put(tmp_path, "other/a.geojson", other)
+    put(tmp_path, "none/a.geojson", '{"type": "FeatureCollection", "features": []}')
+    counts = [readers.read_geojson(spark, str(tmp_path / n), ["id"], split=True).count() for n in ("other", "none")]
+    assert counts == [30, 0]
+
+
 GML = """<?xml version="1.0" encoding="UTF-8"?>
 <wfs:FeatureCollection xmlns:wfs="http://www.opengis.net/wfs/2.0" xmlns:gml="http://www.opengis.net/gml/3.2" xmlns:app="urn:app">
  <wfs:member><app:road gml:id="r1"><app:klasse>L</app:klasse><app:KFZ>1281.0</app:KFZ>

@@ -90,6 +90,36 @@ def tile_y(code: Column) -> Column:
     return code.bitwiseAND(F.lit(SHIFT - 1)).cast("int")
 
 
+# --- fixed values: masks that spread the bits of a number, every second place left free ----
+_SPREAD = ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555))
+# ----------------------------------------------------------------------------------------
+CURVE_BITS = 12  # places per side of a tile: 2^12
+
+
+def z_order(col: Column, row: Column) -> Column:
+    """Place on the Z-shaped curve through a square of 2^16 by 2^16 places: the bits of column and
+    row in turn. Places that share their first bits are neighbours."""
+
+    def spread(c: Column) -> Column:
+        c = c.cast("bigint")
+        for by, mask in _SPREAD:
+            c = c.bitwiseOR(F.shiftleft(c, by)).bitwiseAND(F.lit(mask).cast("bigint"))
+        return c
+
+    return spread(col).bitwiseOR(F.shiftleft(spread(row), 1))
+
+
+def curve_in_tile(u: Column, v: Column, z: Column, x: Column, y: Column) -> Column:
+    """Place of a point of the unit square on the curve through its tile."""
+    side = F.lit(float(2**CURVE_BITS))
+
+    def place(at: Column, tile: Column) -> Column:
+        inside = F.floor((at * scale(z) - tile) * side)
+        return F.greatest(F.least(inside, F.lit(2**CURVE_BITS - 1)), F.lit(0))
+
+    return z_order(place(u, x), place(v, y))
+
+
 def segments(unit: Column) -> Column:
     """All segments of unit-square parts, west end first; a lone point is a segment of no length.
 

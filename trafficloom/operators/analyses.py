@@ -4,23 +4,65 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trafficloom.functions import view
+from trafficloom.operators import chains
 from trafficloom.operators.keyed import first_per_key
 
 
+#: Ranges a group's values are counted in per round.
+RANGES = 4096
+
+
 def median(df: DataFrame, by: str, value: Column, out: str) -> DataFrame:
-    """Exact median per group. Equal values are counted first, so rows that repeat a value reach
-    the group's last task once."""
-    counted = (
-        df.select(by, value.alias("_v"))
-        .filter(F.col("_v").isNotNull())
-        .groupBy(by, "_v")
-        .agg(F.count("*").alias("_n"))
+    """Exact median per group, by counting: no values are gathered or sorted.
+
+    The span of a group's values is cut into ranges, the rows of each are counted, and only the
+    range that holds the middle is looked at again, until it holds a single value or the middle lies
+    between two ranges. A map task sends one row per group and range, so a group with most of the
+    rows, all of them different, takes no longer than others. NaN counts as missing.
+    """
+    rows = df.select(F.col(by).alias("_g"), value.cast("double").alias("_v"))
+    rows = chains.saved(rows.filter(F.col("_v").isNotNull() & ~F.isnan("_v")))
+    # What is left of a group: its span, and the places of the two middle values among its rows.
+    left = rows.groupBy("_g").agg(F.count("*").alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+    left = left.select(
+        F.col("_g").alias("_of"), "lo", "hi", F.expr("(n - 1) div 2").alias("first"), F.expr("n div 2").alias("second")
     )
-    return counted.groupBy(by).agg(F.percentile("_v", 0.5, F.col("_n")).alias(out))
+    left, known = chains.saved(left), None
+    while True:
+        near = F.col("_g").eqNullSafe(F.col("_of")) & F.col("_v").between(F.col("lo"), F.col("hi"))
+        # Halves, so that the span of the largest doubles stays finite.
+        lo, span = F.col("lo") / 2, F.col("hi") / 2 - F.col("lo") / 2
+        at = F.when(span > 0, F.floor((F.col("_v") / 2 - lo) / span * RANGES)).otherwise(F.lit(0))
+        counted = rows.join(left, near).groupBy("_of", "first", "second", at.alias("range")).agg(
+            F.count("*").alias("n"), F.min("_v").alias("low"), F.max("_v").alias("high")
+        )
+        upto = F.sum("n").over(Window.partitionBy("_of").orderBy("range"))
+        placed = counted.withColumn("before", upto - F.col("n"))
+
+        def holds(place: str) -> Column:
+            return (F.col("before") <= F.col(place)) & (F.col(place) < F.col("before") + F.col("n"))
+
+        found = placed.groupBy("_of").agg(
+            *[F.max(F.when(holds("first"), F.col(c))).alias(f"a_{c}") for c in ("range", "low", "high")],
+            *[F.max(F.when(holds("second"), F.col(c))).alias(f"b_{c}") for c in ("range", "low", "high")],
+            F.max(F.when(holds("first"), F.col("first") - F.col("before"))).alias("first"),
+            F.max(F.when(holds("second"), F.col("second") - F.col("before"))).alias("second"),
+        )
+        apart = F.col("a_range") != F.col("b_range")
+        found = chains.saved(found.withColumn("done", apart | (F.col("a_low") == F.col("a_high"))))
+        # Of two neighbouring ranges, the middle values are the last of one and the first of the other.
+        middle = F.col("a_high") * 0.5 + F.col("b_low") * 0.5
+        ready = found.filter("done").select(F.col("_of").alias(by), middle.alias(out))
+        known = ready if known is None else known.unionByName(ready)
+        left = found.filter("not done").select(
+            "_of", F.col("a_low").alias("lo"), F.col("a_high").alias("hi"), "first", "second"
+        )
+        if left.isEmpty():
+            return known
 
 
 def sections_per_state(features: DataFrame, road_class: str) -> DataFrame:

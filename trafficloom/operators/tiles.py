@@ -13,6 +13,7 @@ from trafficloom.catalogue_data import DATASETS, PROFILES, Profile
 from trafficloom.functions import geometry as geo
 from trafficloom.functions import tiling
 from trafficloom.model import POINT_KINDS
+from trafficloom.operators import chains
 
 TILE = ("layer", "z", "x", "y")
 SALTS = 64  # shares of a tile in the first ranking round
@@ -56,7 +57,8 @@ def thin(df: DataFrame, rate: float, base_zoom: int, key: Column) -> DataFrame:
 
 
 def point_index(df: DataFrame, zooms: Zooms) -> DataFrame:
-    """Tiles of single points: flat arithmetic, one row per point and zoom."""
+    """Tiles of single points: flat arithmetic, one row per point and zoom. ``_u`` and ``_v`` are
+    the point in the unit square."""
     first = geo.first_point(F.col("geometry"))
     placed = df.withColumn("_p", first).withColumns(
         {"_u": tiling.unit_x(F.col("_p.x")), "_v": tiling.unit_y(F.col("_p.y"))}
@@ -70,12 +72,13 @@ def point_index(df: DataFrame, zooms: Zooms) -> DataFrame:
                 "y": tiling.cell(F.col("_v") * size).cast("int"),
             }
         )
-        .drop("_p", "_u", "_v")
+        .drop("_p")
     )
 
 
 def shape_index(df: DataFrame, zooms: Zooms) -> DataFrame:
-    """Tiles of any geometry: worked out inside the feature's row, so nothing is shuffled."""
+    """Tiles of any geometry: worked out inside the feature's row, so nothing is shuffled. ``_u`` and
+    ``_v`` are the middle of the envelope in the unit square."""
     unit = df.withColumn("_unit", tiling.unit_parts(F.col("geometry")))
     placed = unit.withColumns(
         {
@@ -83,6 +86,11 @@ def shape_index(df: DataFrame, zooms: Zooms) -> DataFrame:
             "_box": geo.bounds_of_parts(F.col("_unit")),
         }
     ).drop("_unit")
+    middle = {
+        "_u": (F.col("_box.xmin") + F.col("_box.xmax")) / 2.0,
+        "_v": (F.col("_box.ymin") + F.col("_box.ymax")) / 2.0,
+    }
+    placed = placed.withColumns(middle)
     sized = spread(placed, zooms).withColumn("_size", tiling.scale(F.col("z")))
     size = F.col("_size")
     tiles = tiling.box_tiles(F.col("_box"), tiling.cover(F.col("_segments"), size), size)
@@ -113,8 +121,16 @@ def tile_index(
     out = thin(out, profile.drop_rate, base, F.col("_key"))
     if profile.coalesce:
         out = coalesce_features(out.drop("_key"), [c for c in df.columns if c != "geometry"])
-        out = out.withColumn("_key", F.xxhash64(*df.columns))
-    if profile.max_features:
+        box = geo.bounds_of_parts(tiling.unit_parts(F.col("geometry")))
+        out = out.withColumns({"_key": F.xxhash64(*df.columns), "_box": box})
+        middle = {a: (F.col(f"_box.{m}min") + F.col(f"_box.{m}max")) / 2.0 for a, m in (("_u", "x"), ("_v", "y"))}
+        out = out.withColumns(middle).drop("_box")
+    if profile.drop_densest:
+        size = feature_bytes([c for c in df.columns if c != "geometry"])
+        out = drop_densest(out, F.col("_key"), size, profile.max_features, profile.max_bytes)
+    elif profile.max_bytes:
+        raise ValueError("a limit of bytes needs drop_densest")
+    elif profile.max_features:
         out = cap_per_tile(out, profile.max_features, F.col("_key"))
     return out.select(*TILE, *df.columns)
 
@@ -133,22 +149,159 @@ def cap_per_tile(df: DataFrame, limit: int, tie: Column) -> DataFrame:
     return out.drop("_salt")
 
 
+def feature_bytes(attributes: Sequence[str]) -> Column:
+    """What a feature takes in a tile, roughly: its attributes as text and 16 bytes a vertex."""
+    size = geo.point_count(F.col("geometry")) * 16
+    for c in attributes:
+        size = size + F.octet_length(F.coalesce(F.col(c).cast("string"), F.lit("")))
+    return size
+
+
+def drop_densest(
+    df: DataFrame,
+    key: Column,
+    size: Column,
+    max_features: int | None = None,
+    max_bytes: int | None = None,
+) -> DataFrame:
+    """Tiles over a limit lose what stands closest together, as little as needed.
+
+    Features of a tile are ordered along a space-filling curve. At gap 1 those stay that stand on
+    another place than the one before them, at gap 2 the places are four times as large, and so on
+    until one feature is left: the first of each place. A tile takes the smallest gap whose features
+    and bytes are within the limits. ``key`` tells features apart and breaks ties; in a tile over
+    its limits, rows with one key count as one.
+
+    All gaps are tried at once on counts: a map task sends one row per place at most, however many
+    features a tile has. The features themselves are only filtered.
+    """
+    if not max_features and not max_bytes:
+        return df
+    curve = tiling.curve_in_tile(F.col("_u"), F.col("_v"), F.col("z"), F.col("x"), F.col("y"))
+    df = df.withColumn("_id", key)
+    narrow = chains.saved(df.select(*TILE, "_id", curve.alias("_curve"), size.cast("bigint").alias("_bytes")))
+
+    def fits(n: str, total: str) -> Column:
+        good = F.lit(True)
+        if max_features:
+            good = good & (F.col(n) <= max_features)
+        if max_bytes:
+            good = good & (F.col(total) <= max_bytes)
+        return good
+
+    tiles = narrow.groupBy(*TILE).agg(F.count("*").alias("_n"), F.sum("_bytes").alias("_total"))
+    over = tiles.filter(~fits("_n", "_total")).select(*TILE)
+    crowded = narrow.join(over, list(TILE), "left_semi")
+    gaps = F.sequence(F.lit(0), F.lit(tiling.CURVE_BITS))
+    tried = crowded.withColumn("_gap", F.explode(gaps))
+    place = F.expr("shiftright(_curve, 2 * _gap)")
+    firsts = tried.groupBy(*TILE, "_gap", place.alias("_place")).agg(
+        F.min(F.struct("_curve", "_id", "_bytes")).alias("_first")
+    )
+    counted = firsts.groupBy(*TILE, "_gap").agg(F.count("*").alias("_n"), F.sum("_first._bytes").alias("_total"))
+    last = F.col("_gap") == tiling.CURVE_BITS
+    chosen = counted.filter(fits("_n", "_total") | last).groupBy(*TILE).agg(F.min("_gap").alias("_gap"))
+    kept = firsts.join(chosen, [*TILE, "_gap"], "left_semi").select(*TILE, F.col("_first._id").alias("_id"))
+    calm = df.join(over, list(TILE), "left_anti")
+    thinned = df.join(kept, [*TILE, "_id"], "left_semi").dropDuplicates([*TILE, "_id"])
+    return calm.unionByName(thinned).drop("_id")
+
+
 def coalesce_features(df: DataFrame, attributes: Sequence[str]) -> DataFrame:
-    """Features of one tile with the same attributes become one: the rows with its key are its
-    parts, each different part once, with the number of its ``copies``.
+    """Features of one tile with the same attributes become one where they touch.
 
-    A merged feature is never held in one row, so its size is no matter, and parts that repeat
-    are counted before the shuffle.
+    Lines are joined end to end at every point where exactly two ends meet, whichever way they were
+    drawn; where more meet, or none, a line ends. Parts that repeat, in either direction, and points
+    at one place count once. ``copies`` is the number of parts in a row. A line runs from its
+    smaller end; a closed one starts at the smallest of the points it was joined at.
     """
     keys = [*TILE, *attributes]
     shape = F.col("geometry")
-    kind = F.when(shape["kind"].isin(*POINT_KINDS), "Point").otherwise("LineString")
+    point = shape["kind"].isin(*POINT_KINDS)
     parts = df.select(
-        *keys, kind.alias("_kind"), shape["srid"].alias("_srid"), F.explode(shape["parts"]).alias("_part")
+        *keys, point.alias("_point"), shape["srid"].alias("_srid"), F.explode(shape["parts"]).alias("_part")
+    )
+    drawn = F.least("_part", F.reverse("_part"))
+    parts = parts.withColumn("_part", drawn).groupBy(*keys, "_point", "_srid", "_part")
+    parts = parts.agg(F.count("*").alias("copies")).withColumn("_edge", F.monotonically_increasing_id())
+    # Numbers given to rows must not change when a task is repeated.
+    parts = chains.saved(parts)
+    placed = _chains(parts.filter("not _point"), [*keys, "_srid"])
+    rows = parts.join(placed, "_edge", "left")
+    alone = rows.filter("_chain is null").select(
+        *keys, "_srid", "copies", F.when(F.col("_point"), "Point").otherwise("LineString").alias("_kind"), "_part"
     )
-    merged = parts.groupBy(*keys, "_kind", "_srid", "_part").agg(F.count("*").alias("copies"))
+    linked = rows.filter("_chain is not null").groupBy("_chain").agg(
+        *[F.any_value(k).alias(k) for k in (*keys, "_srid")],
+        F.sum("copies").alias("copies"),
+        F.any_value("_ring").alias("_ring"),
+        F.array_sort(F.collect_list(F.struct("_at", _directed().alias("_part")))).alias("_parts"),
+    )
+    linked = linked.withColumn("_parts", F.col("_parts._part"))
+    joined = linked.select(*keys, "_srid", "copies", F.lit("LineString").alias("_kind"), _one_line().alias("_part"))
     one = geo.geometry(F.col("_kind"), F.col("_srid"), F.array("_part"))
-    return merged.select(*keys, one.alias("geometry"), "copies")
+    return alone.unionByName(joined).select(*keys, one.alias("geometry"), "copies")
+
+
+def _chains(edges: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``(_edge, _chain, _at, _back, _ring)`` of the lines that touch another: which chain, which
+    place in it, and whether the line is drawn against it.
+
+    An end of a line is the number ``2 * edge + side``, side 0 its first point. Standing for walking
+    into the line at that end, it is also a state of the walk: the walk that enters at an end comes
+    from the line whose end it touches, entered at that line's other end.
+    """
+    # Ends only meet within a tile and attributes; their hash and the point stand for both.
+    ends = edges.filter(F.size("_part") > 1).select(
+        F.xxhash64(*keys).alias("_group"),
+        F.explode(
+            F.array(
+                F.struct((F.col("_edge") * 2).alias("end"), F.get("_part", F.lit(0)).alias("at")),
+                F.struct((F.col("_edge") * 2 + 1).alias("end"), F.element_at("_part", -1).alias("at")),
+            )
+        ).alias("_e"),
+    )
+    nodes = ends.groupBy("_group", "_e.at").agg(
+        F.count("*").alias("n"), F.min("_e.end").alias("a"), F.max("_e.end").alias("b")
+    )
+    # Two ends of one line make it closed: it touches no other.
+    met = nodes.filter((F.col("n") == 2) & (F.shiftright("a", 1) != F.shiftright("b", 1)))
+    met = chains.saved(met.select("a", "b"))
+    other = F.col("a").bitwiseXOR(F.lit(1).cast("bigint"))
+    ways = met.select(F.col("b").alias("state"), other.alias("prev")).unionByName(
+        met.select(F.col("a").alias("state"), F.col("b").bitwiseXOR(F.lit(1).cast("bigint")).alias("prev"))
+    )
+    # The far ends of linked lines are states as well, also those that touch nothing.
+    far = ways.select(F.explode(F.array("state", F.col("state").bitwiseXOR(F.lit(1).cast("bigint")))).alias("state"))
+    states = far.distinct().join(ways, "state", "left")
+    walks = chains.ranked(states)
+    # Both walks of a line meet the same chain from its two ends: the one from the smaller counts.
+    edge = F.shiftright("state", 1).alias("_edge")
+    best = walks.groupBy(edge).agg(F.min(F.struct("root", "at", "state", "ring")).alias("w"))
+    return best.select(
+        "_edge",
+        F.col("w.root").alias("_chain"),
+        F.col("w.at").alias("_at"),
+        (F.col("w.state") % 2 == 1).alias("_back"),
+        F.col("w.ring").alias("_ring"),
+    )
+
+
+def _directed() -> Column:
+    return F.when(F.col("_back"), F.reverse("_part")).otherwise(F.col("_part"))
+
+
+def _one_line() -> Column:
+    """The parts of a chain in order as one list of points."""
+    parts = F.col("_parts")
+    # A circle is turned so that it starts at its smallest joint.
+    starts = F.transform(parts, lambda p: F.get(p, F.lit(0)))
+    first = F.array_position(starts, F.array_min(starts)).cast("int")
+    turned = F.concat(F.slice(parts, first, F.size(parts)), F.slice(parts, F.lit(1), first - 1))
+    parts = F.when(F.col("_ring"), turned).otherwise(parts)
+    rest = F.flatten(F.transform(parts, lambda p: F.slice(p, F.lit(2), F.size(p))))
+    line = F.concat(F.slice(F.get(parts, F.lit(0)), 1, 1), rest)
+    return F.least(line, F.reverse(line))
 
 
 def combine(layers: Sequence[DataFrame]) -> DataFrame:
@@ -159,7 +312,7 @@ def combine(layers: Sequence[DataFrame]) -> DataFrame:
 def all_alike(profiles: Sequence[Profile]) -> bool:
     """Do the profiles only differ in layer, zooms and ladder?"""
     return all(
-        p.drop_rate <= 1 and not p.max_features and not p.coalesce and p.types == profiles[0].types
+        p.drop_rate <= 1 and not p.max_features and not p.drop_densest and not p.coalesce and p.types == profiles[0].types
         for p in profiles
     )
 

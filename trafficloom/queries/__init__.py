@@ -10,6 +10,7 @@ from trafficloom.queries import (  # noqa: F401 - importing registers the querie
     geometry,
     joins,
     landed,
+    reading,
     tiles,
     viewer,
 )

@@ -128,18 +128,56 @@ def busiest_features_per_tile(spark, folder):
     return cut.select("z", "x", "y", "station_id")
 
 
+def _curve_sql(x: str, y: str) -> str:
+    """Place on the Z-shaped curve through a tile, bit by bit."""
+    bits = [f"((({c}) >> {i}) & 1) << {2 * i + at}" for at, c in enumerate((x, y)) for i in range(12)]
+    return "(" + " + ".join(f"({b})" for b in bits) + ")"
+
+
+_PLACE = "cast(greatest(least(floor((({0}1 + {0}2) / 2.0::double - {1}) * 4096.0::double), 4095), 0) as bigint)"
+
+
+@query(f"""
+    with {s.FEATURES_SQL}, {TILES_SQL},
+    sized as (select z, x, y, okey, {_PLACE.format("px", "x")} as cx, {_PLACE.format("py", "y")} as cy,
+        strlen(station_id) + strlen(coalesce(cast(dtv_kfz as varchar), '')) + strlen(cast(year as varchar))
+            + case when is_point then 16 else 32 end as bytes from tiles),
+    curved as (select *, {_curve_sql("cx", "cy")} as curve from sized),
+    gaps as (select unnest(range(0, 13)) as gap),
+    tried as (select *, row_number() over (partition by z, x, y, gap, curve >> cast(2 * gap as integer)
+        order by curve, okey) = 1 as stays from curved, gaps),
+    counted as (select z, x, y, gap, count(*) as n, sum(bytes) as total from tried where stays group by all),
+    over as (select z, x, y from curved group by all having count(*) > 25 or sum(bytes) > 900),
+    chosen as (select z, x, y, min(gap) as gap from counted join over using (z, x, y)
+        where (n <= 25 and total <= 900) or gap = 12 group by all),
+    kept as (select z, x, y, okey from curved anti join over using (z, x, y)
+        union all select z, x, y, okey from tried join chosen using (z, x, y, gap) where stays)
+    select cast(z as integer) as z, cast(x as integer) as x, cast(y as integer) as y, okey from kept
+""")
+def densest_features_dropped(spark, folder):
+    """Tiles hold 25 features and 900 bytes; beyond that, those closest together go."""
+    profile = PROFILES["lines"]._replace(max_features=25, max_bytes=900, drop_densest=True)
+    rows = s.features(spark, folder).select("station_id", "dtv_kfz", "year", "geometry")
+    cut = ops.tile_index(rows, profile, key=F.col("station_id").cast("bigint"))
+    return cut.select("z", "x", "y", F.col("station_id").cast("bigint").alias("okey"))
+
+
+# The smaller end of a line comes first.
+FIRST = "((lon1, lat1) <= (lon2, lat2))"
+
+
 @query(f"""
     with {s.FEATURES_SQL}, {TILES_SQL}
     select cast(z as integer) as z, cast(x as integer) as x, cast(y as integer) as y,
         road_class, year, level, is_point, count(*) as copies,
-        round(lon1, 6) as lon1, round(lat1, 6) as lat1,
-        round(case when not is_point then lon2 end, 6) as lon2,
-        round(case when not is_point then lat2 end, 6) as lat2
-    from tiles group by z, x, y, road_class, year, level, is_point, lon1, lat1,
-        case when not is_point then lon2 end, case when not is_point then lat2 end
+        round(case when {FIRST} then lon1 else lon2 end, 6) as lon1,
+        round(case when {FIRST} then lat1 else lat2 end, 6) as lat1,
+        round(case when not is_point then case when {FIRST} then lon2 else lon1 end end, 6) as lon2,
+        round(case when not is_point then case when {FIRST} then lat2 else lat1 end end, 6) as lat2
+    from tiles group by all
 """)
 def coalesced_features(spark, folder):
-    """Features of a tile with equal attributes as one multi-part feature; no part is lost."""
+    """Features of a tile with equal attributes that lie on each other are one; no part is lost."""
     attributes = ["road_class", "year", "level"]
     rows = s.features(spark, folder).select(*attributes, "dtv_kfz", "geometry")
     cut = ops.tile_index(rows, PROFILES["lines"], key=F.lit(0))
@@ -154,6 +192,49 @@ def coalesced_features(spark, folder):
     return merged.select("z", "x", "y", *attributes, is_point, "copies", *ends)
 
 
+# A network: the items of an order in a row, each from its own joint to the next one's.
+JOINT = (
+    "6.0 + (l_orderkey % 1000) * 0.007 + {0} * 0.0005",
+    "48.0 + cast(floor(l_orderkey / 1000) as int) * 0.011 + {0} * 0.0003",
+)
+BACK = "(l_orderkey + l_linenumber) % 3 = 0"
+NETWORK = {"orderkey": "l_orderkey", "place": "cast(l_linenumber as int)", "road_class": "l_returnflag"}
+for _name, _near, _far in (("1", "l_linenumber", "(l_linenumber + 1)"), ("2", "(l_linenumber + 1)", "l_linenumber")):
+    for _axis, _joint in zip(("lon", "lat"), JOINT):
+        NETWORK[_axis + _name] = (
+            f"cast(case when {BACK} then {_joint.format(_far)} else {_joint.format(_near)} end as double)"
+        )
+
+
+@query(f"""
+    with features as (select {s.columns_sql(NETWORK)}, 99999 as dtv_kfz from lineitem),
+    {TILES_SQL.replace("range(5, 15)", "range(12, 15)")},
+    parts as (select z, x, y, road_class, orderkey, place, count(*) as copies,
+        min(least(lon1, lon2)) as lon1, min(least(lat1, lat2)) as lat1,
+        max(greatest(lon1, lon2)) as lon2, max(greatest(lat1, lat2)) as lat2 from tiles group by all),
+    runs as (select *, place - row_number() over (partition by z, x, y, road_class, orderkey order by place) as run
+        from parts)
+    select cast(z as integer) as z, cast(x as integer) as x, cast(y as integer) as y, road_class,
+        cast(count(*) + 1 as integer) as vertices, cast(sum(copies) as bigint) as copies,
+        round(min(lon1), 6) as lon1, round(min(lat1), 6) as lat1,
+        round(max(lon2), 6) as lon2, round(max(lat2), 6) as lat2
+    from runs group by z, x, y, road_class, orderkey, run
+""")
+def lines_joined_end_to_end(spark, folder):
+    """Lines with equal attributes are one where they touch, whichever way they were drawn."""
+    rows = s.derive(s.table(spark, folder, "lineitem"), NETWORK)
+    ends = [geo.xy(F.col(f"lon{i}"), F.col(f"lat{i}")) for i in (1, 2)]
+    rows = rows.select("road_class", F.lit(99999).alias("dtv_kfz"), geo.line(F.array(*ends)).alias("geometry"))
+    cut = ops.tile_index(rows, PROFILES["lines"]._replace(minzoom=12, types=()), key=F.lit(0))
+    merged = ops.coalesce_features(cut.drop("dtv_kfz"), ["road_class"])
+    points = F.col("geometry.parts")[0]
+    first, last = F.get(points, F.lit(0)), F.element_at(points, -1)
+    return merged.select(
+        "z", "x", "y", "road_class", F.size(points).alias("vertices"), "copies",
+        *[F.round(p[axis], 6).alias(f"{name}{i}") for i, p in ((1, first), (2, last)) for axis, name in (("x", "lon"), ("y", "lat"))],
+    )
+
+
 @query(f"""
     with {s.FEATURES_SQL}, {GROUPS_SQL}, {TILES_SQL.replace("from features f, zooms", "from routed f, zooms")}
     select case when "group" = 'bast' then 'svz_bast' when "group" in ('lines', 'points')

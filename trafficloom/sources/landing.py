@@ -14,7 +14,8 @@ Reader = Callable[[SparkSession, str], DataFrame]
 
 
 def geojson(*properties: str, **options) -> Reader:
-    return lambda spark, path: readers.read_geojson(spark, path, properties, **options)
+    """A layer of documents of any size, read in pieces."""
+    return lambda spark, path: readers.read_geojson(spark, path, properties, split=True, **options)
 
 
 def paged(*properties: str, **options) -> Reader:

@@ -2,8 +2,8 @@
 
 A download tool drops the payload of each source below ``<landing>/<source>/<layer>/``. Every
 reader declares its columns (nothing is inferred), keeps the place of each row in the input and
-leaves parsing to the tasks. A single document is parsed by one task, so large layers are
-landed as pages, or as one feature per line.
+leaves parsing to the tasks. Feature collections are read in pieces (``sources/collections.py``);
+other documents are parsed by one task each, so large layers are landed as pages.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from trafficloom.functions import geometry as geo
 from trafficloom.functions import values as v
 from trafficloom.model import ORDINAL, PARTS, SRID
 from trafficloom.operators.canonical import points_from_xy
+from trafficloom.sources import collections
 
 # --- fixed values -----------------------------------------------------------------------
 DOWNLOAD_ENDINGS = (".zip", ".gml", ".json", ".geojson")
@@ -26,7 +27,7 @@ HREF = r'href="([^"]+)"'
 # ----------------------------------------------------------------------------------------
 
 
-class LandingError(ValueError):
+class LandingError(collections.CollectionError):
     """The landed payload is not what the source promises."""
 
 
@@ -127,6 +128,15 @@ def _property(name: str) -> Column:
     return F.coalesce(own, F.col("f.id")) if name == "id" else own
 
 
+def piece_features(pieces: DataFrame, start: str) -> DataFrame:
+    """Features (``f``) of the pieces of large collections, each parsed by itself, with their place."""
+    text = collections.whole_pieces(F.col("value"), start)
+    parsed = F.from_json(text, COLLECTION, {"mode": "FAILFAST"})
+    place = F.struct(natural(F.col("file")).alias("file"), "block", "row")
+    rows = pieces.select(place.alias("_page"), F.posexplode(parsed["features"]).alias("at", "f"))
+    return rows.select("f", F.col("_page").withField("at", F.col("at")).alias(ORDINAL))
+
+
 def read_geojson(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -137,6 +147,8 @@ def read_geojson(
     member: str | None = None,
     where: str | None = None,
     order_by: str | None = None,
+    split: bool = False,
+    places: DataFrame | None = None,
 ) -> DataFrame:
     """Feature collections (any number of pages) or one feature per line.
 
@@ -144,22 +156,39 @@ def read_geojson(
     ``swap``      the server delivered lat, lon
     ``member``    file name pattern to pick out of the landed directory
     ``where``     SQL condition on the property texts, ``order_by`` a property fixing the order
+    ``split``     large documents: a task per byte range instead of one per file; files that are not
+                  one whole collection are refused
+    ``places``    ``(folder, page, at)``: pages come in the order of ``at`` instead of by name
     """
-    reader = spark.read
-    if member:
-        reader = reader.option("pathGlobFilter", member).option("recursiveFileLookup", "true")
-    if per_line:
+
+    def reader():
+        if member:
+            return spark.read.option("pathGlobFilter", member).option("recursiveFileLookup", "true")
+        return spark.read
+
+    start = collections.feature_start(reader(), paths) if split else None
+    if start:
+        rows = piece_features(collections.checked_pieces(reader(), paths, start), start)
+    elif per_line:
         row = F.monotonically_increasing_id()
         schema = T._parse_datatype_string(FEATURE)  # noqa: SLF001
-        rows = reader.schema(schema).json(paths).select(
+        rows = reader().schema(schema).json(paths).select(
             F.struct("*").alias("f"), _place(row.alias("row"), F.lit(0).alias("at")).alias(ORDINAL)
         )
     else:
-        pages = reader.schema(COLLECTION).option("multiLine", "true").json(paths)
-        rows = pages.select(
-            _place(F.lit(0).cast("bigint").alias("row")).alias("_page"),
-            F.posexplode("features").alias("at", "f"),
-        ).select("f", F.col("_page").withField("at", F.col("at")).alias(ORDINAL))
+        pages = reader().schema(COLLECTION).option("multiLine", "true").json(paths)
+        place = _place(F.lit(0).cast("bigint").alias("row"))
+        pages = pages.select(place.alias("_page"), *_names(), "features")
+        if places is not None:
+            ordered = places.select(*[F.col(c).alias(f"_{c}") for c in ("folder", "page", "at")])
+            named = (F.col("folder") == F.col("_folder")) & (F.col("page") == F.col("_page_name"))
+            pages = pages.join(ordered.withColumnRenamed("_page", "_page_name"), named, "left")
+            # A chain's place goes before the file's name.
+            by_chain = F.concat(F.col("folder"), F.lit("/"), F.lpad(F.col("_at").cast("string"), 20, "0"))
+            pages = pages.withColumn("_page", F.col("_page").withField("file", F.coalesce(by_chain, "_page.file")))
+        rows = pages.select("_page", F.posexplode("features").alias("at", "f")).select(
+            "f", F.col("_page").withField("at", F.col("at")).alias(ORDINAL)
+        )
     shape = geojson_geometry(F.col("f.geometry"), srid)
     out = rows.select(
         *[_property(p).alias(p) for p in properties],
@@ -174,34 +203,40 @@ def read_geojson(
     return out
 
 
-def missing_pages(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """``next`` links whose target page was not landed.
+def _names() -> tuple[Column, Column]:
+    """Folder and name of a landed page."""
+    return (
+        F.regexp_extract("_metadata.file_path", r"^(.*)/[^/]*$", 1).alias("folder"),
+        F.regexp_replace("_metadata.file_name", r"\.json$", "").alias("page"),
+    )
 
-    A page's file name is the last path step of its link, query included, with every character
-    outside letters, digits, dot and hyphen replaced by an underscore.
-    """
+
+def page_links(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """``(folder, page, next, href)`` of every landed page; ``next`` is null at the end of a chain."""
     pages = spark.read.schema(COLLECTION).option("multiLine", "true").json(paths)
-    links = pages.select(F.explode("links").alias("l")).filter("l.rel = 'next'")
-    wanted = links.select(
-        F.regexp_replace(F.regexp_extract("l.href", r"([^/]+)$", 1), r"[^A-Za-z0-9.-]", "_")
-        .alias("page"),
-        F.col("l.href").alias("href"),
-    )
-    landed = pages.select(
-        F.regexp_replace(F.col("_metadata.file_name"), r"\.json$", "").alias("page")
-    )
-    return wanted.join(landed, "page", "left_anti")
+    following = F.get(F.filter("links", lambda link: link["rel"] == "next"), F.lit(0))["href"]
+    pages = pages.select(*_names(), following.alias("href"))
+    return pages.withColumn("next", collections.page_name(F.col("href")))
+
+
+def missing_pages(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """``next`` links whose target page was not landed."""
+    links = page_links(spark, paths)
+    wanted = links.filter("next is not null").select(F.col("next").alias("page"), "href")
+    return wanted.join(links.select("page"), "page", "left_anti")
 
 
 def read_paged(spark: SparkSession, paths: str | Sequence[str], *args, **kwargs) -> DataFrame:
-    """All pages of a paged service; an incomplete landing is an error."""
+    """All pages of a paged service in the order of their links; an incomplete landing is an error,
+    and so is a chain that branches or closes on itself."""
     gaps = missing_pages(spark, paths).agg(F.count("*").alias("n"), F.min("href").alias("href"))
     gap = gaps.first()
     if gap["n"]:
         raise LandingError(
             f"{gap['n']} pages not landed, among them {gap['href']}; missing_pages() lists all"
         )
-    return read_geojson(spark, paths, *args, **kwargs)
+    places = collections.page_order(page_links(spark, paths).select("folder", "page", "next"))
+    return read_geojson(spark, paths, *args, places=places, **kwargs)
 
 
 # --------------------------------------------------------------------------------- GML
