@@ -57,9 +57,12 @@ def uniform(*parts: Column | str) -> Column:
     return (bits.cast("double") + 0.5) / F.lit(float(2**53))
 
 
-def in_small_batches(df: DataFrame) -> DataFrame:
-    """df, whose rows reach Python in batches of a few megabytes also where texts are long."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+def in_small_batches(df: DataFrame, rows: int = 1000, size: int | None = None) -> DataFrame:
+    """df, whose rows reach Python in batches of so many rows, and of about so many bytes if a size
+    is given."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    if size:
+        df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
     return df
 
 
@@ -84,7 +87,7 @@ def word_bytes(text: str | None) -> list[bytes]:
 class WordHashes(dict):
     """64-bit hash of a word, remembered up to a bound."""
 
-    LIMIT = 250_000
+    LIMIT = 60_000
 
     def __missing__(self, word: bytes) -> int:
         value = xxhash.xxh3_64_intdigest(word)

@@ -28,7 +28,9 @@ ROWS = 6
 #: Shingles whose signature is worked out at a time: small enough for the processor's cache.
 STRETCH = 32_768
 #: Shingles in one block of a crowded bucket (8 bytes each).
-BLOCK = 2_000_000
+BLOCK = 800_000
+#: Bytes of texts or sets that reach a Python worker at once.
+BATCH = 4 << 20
 #: Bits of the filter of wanted documents (8 MB).
 FILTER_BITS = 1 << 26
 
@@ -306,7 +308,7 @@ def near_duplicates(
     part: its component is null and it is kept. An empty table gives no rows. Other columns of
     docs, whatever their names, are not read.
     """
-    docs = in_small_batches(docs)
+    docs = in_small_batches(docs, 256, BATCH)
     sketches = saved(sketch(docs, id_col, text_col, percent / 100, width))
     full = sketches.filter("doc_id is not null and n_shingles > 0")
     # Equal sets are one class, represented by its smallest id.

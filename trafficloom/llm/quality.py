@@ -29,6 +29,8 @@ from .common import in_small_batches, join_hot, saved, uniform, use_cache
 BUCKETS = 1 << 18
 #: Occurrences of a bucket that the models are taken to agree on beforehand.
 PRIOR = 16.0
+#: Bytes of texts that reach a Python worker at once.
+BATCH = 4 << 20
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 #: Labelled target documents that the target model is fitted on, at most: a share drawn by hash.
 #: Their ids (8 bytes each) are broadcast; everything else is counted over all documents.
@@ -42,7 +44,7 @@ STARTS, MOST, FEW, SURE = (5, 7), 4, 1.0, 1.0
 
 
 class _Hashes(dict):
-    LIMIT = 250_000
+    LIMIT = 60_000
 
     def __missing__(self, word: str) -> int:
         value = xxhash.xxh3_64_intdigest(word)
@@ -58,7 +60,7 @@ _PAIR = np.uint64(0x9E3779B97F4A7C15)
 class _Starts(dict):
     """Buckets of a word and of its starts."""
 
-    LIMIT = 100_000
+    LIMIT = 30_000
 
     def __missing__(self, word: str) -> tuple[int, ...]:
         parts = [word, *(f"{word[:k]} " for k in STARTS if len(word) >= k)]
@@ -214,7 +216,7 @@ def resample(
     for which in ("unwanted", "not unwanted"):
         fitted = fitted.unionByName(drawn(which).select("id", F.lit(False).alias("aimed"), "unwanted"))
     fitted = fitted.groupBy(F.col("id").alias("__id")).agg(F.max("aimed").alias("aimed"), F.max("unwanted").alias("unwanted"))
-    rows = in_small_batches(docs).select(
+    rows = in_small_batches(docs, 256, BATCH).select(
         F.struct(*(F.col(f"`{c}`") for c in carry)).alias("row"),
         F.col(id_col).cast("long").alias("id"),
         F.col(text_col).alias("text"),
