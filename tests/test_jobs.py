@@ -81,7 +81,7 @@ def test_failed_rebuild_keeps_the_last_good_table(spark, tmp_path):
         feature({"Str": "L 1", "DTV": "1"}, None, None)))
     again = jobs.build_all(spark, landing, house, ["sl"], run="r2").collect()
     assert again[0].error
-    assert jobs.newest(spark, house, "build")["sl"].endswith("r1/sl")
+    assert jobs.newest(spark, house, "build")["sl"].endswith("r1/sl/fits=true")
     assert jobs.merge(spark, house).collect()[0].features == 1
 
 
@@ -128,3 +128,60 @@ def test_nothing_built_is_an_error(spark, tmp_path):
         jobs.merge(spark, str(tmp_path))
     with pytest.raises(FileNotFoundError):
         jobs.build_tiles(spark, str(tmp_path))
+
+
+def canonical_rows(spark, n):
+    """Features all over the country, in no order."""
+    return spark.range(n).selectExpr(
+        "cast(id + 1 as bigint) as dtv_kfz", "cast(null as bigint) as dtv_sv", "cast(null as double) as sv_anteil",
+        "'DTV' as metric", "2021 as year", "'B' as road_class", "'B 1' as road_no", "'x' as name",
+        "cast(id as string) as station_id", "'BY' as state", "'by' as source", "'land' as level", "'cc' as license",
+        "named_struct('kind', 'Point', 'srid', 4326, 'parts', array(array(named_struct("
+        "'x', 6D + (id * 7919 % 10007) / 1250.9, 'y', 47D + (id * 104729 % 9973) / 1246.7)))) as geometry")
+
+
+def rows_scanned(df):
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()  # noqa: SLF001
+    plan = plan.executedPlan() if "Adaptive" in plan.getClass().getName() else plan
+    return plan.collectLeaves().head().metrics().apply("numOutputRows").value()
+
+
+def test_a_small_box_reads_few_rows(spark, tmp_path):
+    from trafficloom.sources.readers import in_box
+
+    spark.conf.set("parquet.block.size", str(1 << 15))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        path, n = jobs.checked_write(canonical_rows(spark, 200_000), str(tmp_path / "t"), "t", ["source"], spread=True)
+    finally:
+        spark.conf.unset("parquet.block.size")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    table = spark.read.parquet(path)
+    assert n == table.count() == 200_000
+    found = in_box(table, 9.0, 50.0, 9.8, 50.8)  # a hundredth of the area
+    rows = found.count()
+    scanned = rows_scanned(in_box(table, 9.0, 50.0, 9.8, 50.8).select("station_id"))
+    print("rows in the box", rows, "scanned", scanned)
+    assert 1600 < rows < 2400 and scanned < 10_000
+
+
+def test_a_broken_table_is_not_left_behind(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from trafficloom.operators import contract
+
+    odd = F.when(F.col("dtv_kfz") % 10 == 0, "Q").otherwise(F.col("road_class"))
+    shape = F.when(F.col("dtv_kfz") % 25 != 0, F.col("geometry"))
+    df = canonical_rows(spark, 100).withColumns({"road_class": odd, "geometry": shape})
+    path = tmp_path / "t"
+    with pytest.raises(contract.ContractError, match="t: enum:road_class in 10 rows, geometry in 4 rows; e.g. road_class='Q'"):
+        jobs.checked_write(df, str(path), "t")
+    assert not (path / "fits=true").exists() and (path / "fits=false").exists()
+    good, n = jobs.checked_write(df, str(path), "t", set_aside=True)
+    assert n == 88 and spark.read.parquet(good).count() == 88
+    aside = spark.read.parquet(str(path / "fits=false"))
+    assert aside.count() == 12 and aside.filter("geometry is null").count() == 4
+    assert aside.columns == spark.read.parquet(good).columns
+    good, n = jobs.checked_write(df.filter("dtv_kfz < 0"), str(tmp_path / "none"), "none")
+    assert n == 0 and spark.read.parquet(good).count() == 0

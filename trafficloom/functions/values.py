@@ -76,13 +76,22 @@ def clean_sv(kfz: Column, sv: Column) -> Column:
     return F.when(~(kfz.isNull() & F.coalesce(sv == 0, F.lit(False))), sv)
 
 
-def year_of(c: Column) -> Column:
-    """Year of a date text or timestamp; an unreadable one is null.
+_DAY_MONTH_YEAR = r"^\s*(\d{1,2})\.(\d{1,2})\.(\d{4})"
 
-    Map services also write a bare date with a zone mark (``2022-09-20Z``).
-    """
-    bare = F.regexp_replace(c.cast("string"), r"^\s*(\d{4}-\d{2}-\d{2})Z\s*$", "$1")
-    return F.year(bare.try_cast("timestamp"))
+
+def read_date(text: Column) -> Column:
+    """ISO dates with or without time, also a bare date with a zone mark (``2022-09-20Z``) as map
+    services write it, and day.month.year; null for anything else."""
+    text = text.cast("string")
+    day, month, year = (F.regexp_extract(text, _DAY_MONTH_YEAR, i) for i in (1, 2, 3))
+    turned = F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0"))
+    bare = F.regexp_replace(text, r"^\s*(\d{4}-\d{2}-\d{2})Z\s*$", "$1")
+    return F.coalesce(bare.try_cast("timestamp"), F.when(year != "", turned).try_cast("timestamp"))
+
+
+def year_of(c: Column) -> Column:
+    """Year of a date text or timestamp; an unreadable one is null."""
+    return F.year(read_date(c))
 
 
 def id_text(c: Column) -> Column:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trafficloom.functions import geometry as geo
+from trafficloom.functions import tiling
 from trafficloom.functions import values as v
 from trafficloom.functions.roads import ColumnRule, lookup
 from trafficloom.model import CANONICAL, COLUMNS, LEVELS, SRID
@@ -155,12 +156,27 @@ def points_from_xy(df: DataFrame, x: str, y: str, srid: int = SRID) -> DataFrame
     )
 
 
-def write_ready(df: DataFrame) -> DataFrame:
+def write_ready(df: DataFrame, keep_missing: bool = False) -> DataFrame:
     """Only rows with a geometry, with a flat envelope beside it for file pruning.
 
     The envelope comes out of a generator that yields nothing for a missing geometry, so the
     test is not copied into a filter below, where the geometry would be worked out twice.
+    ``keep_missing`` leaves those rows in, without envelope.
     """
     geometry = F.col("geometry")
     box = F.when(~geo.is_missing(geometry), F.array(geo.bounds(geometry)))
-    return df.select(*df.columns, F.inline(box))
+    return df.select(*df.columns, F.inline_outer(box) if keep_missing else F.inline(box))
+
+
+def near_each_other(df: DataFrame, first: Sequence[str], spread: bool) -> DataFrame:
+    """Rows with a flat envelope in the order of a space-filling curve within each value of
+    ``first``, so that neighbours share row groups and a box reads few of them. ``spread`` deals
+    ranges of that order to the tasks; without it each task sorts what it has."""
+    middle = [(F.col(f"{a}min") + F.col(f"{a}max")) / 2.0 for a in "xy"]
+    side = F.lit(float(2**16))
+    places = [F.floor(unit * side) for unit in (tiling.unit_x(middle[0]), tiling.unit_y(middle[1]))]
+    keyed = df.withColumn("_curve", tiling.z_order(*places))
+    order = [*first, "_curve"]
+    if spread:
+        keyed = keyed.repartitionByRange(*order)
+    return keyed.sortWithinPartitions(*order).drop("_curve")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trafficloom.functions.geometry import is_missing
@@ -111,10 +111,13 @@ def validate(df: DataFrame, where: str = "<table>") -> DataFrame:
     return df
 
 
-def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """The table with the contract counters attached, so a write checks it in the same pass."""
-    watch = Observation(name)
-    return df.observe(watch, *_counters()), watch
+def marked(df: DataFrame) -> DataFrame:
+    """The table with ``fits``: whether a row breaks no rule."""
+    fits = F.lit(True)
+    for bad in broken_rules().values():
+        fits = fits & ~bad
+    # As an exploded list it stays a value of the row, see quarantine.
+    return df.withColumn("fits", F.explode(F.array(fits)))
 
 
 def quarantine(df: DataFrame) -> tuple[DataFrame, DataFrame]:

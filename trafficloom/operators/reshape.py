@@ -20,18 +20,6 @@ REVERSE = r"^R_K_(\d{4})"
 # ----------------------------------------------------------------------------------------
 
 
-def read_date(text: Column) -> Column:
-    """ISO dates with or without time, and day.month.year; null for anything else."""
-    german = F.regexp_extract(text, r"^\s*(\d{1,2})\.(\d{1,2})\.(\d{4})", 0)
-    day, month, year = (
-        F.regexp_extract(text, r"^\s*(\d{1,2})\.(\d{1,2})\.(\d{4})", i) for i in (1, 2, 3)
-    )
-    turned = F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0"))
-    return F.coalesce(
-        text.try_cast("timestamp"), F.when(german != "", turned).try_cast("timestamp")
-    )
-
-
 def both_directions(forward: Column, reverse: Column) -> Column:
     """Cross-section count: both directions added, a missing one as zero."""
     return F.coalesce(forward, F.lit(0.0)) + F.coalesce(reverse, F.lit(0.0))
@@ -77,7 +65,7 @@ def _all_blocks(df: DataFrame, keys: Sequence[str]) -> DataFrame:
                 F.lit(n).alias("block"),
                 v.number(wide, f"KFZ_{n}").alias("kfz"),
                 v.number(wide, f"SV_{n}").alias("sv"),
-                read_date(F.col(f"DATUM_{n}").cast("string")).alias("datum"),
+                v.read_date(F.col(f"DATUM_{n}").cast("string")).alias("datum"),
                 F.col(f"DATUM_{n}").cast("string").alias("datum_text"),
             )
             for n in blocks

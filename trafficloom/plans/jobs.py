@@ -21,7 +21,7 @@ from trafficloom.catalogue_data import DATASETS, LEVEL_OF, live_codes
 from trafficloom.model import CANONICAL
 from trafficloom.operators import catalogue as cat
 from trafficloom.operators import contract
-from trafficloom.operators.canonical import canonical_columns, write_ready
+from trafficloom.operators.canonical import canonical_columns, near_each_other, write_ready
 from trafficloom.operators.grouping import backfill, group_summary, route
 from trafficloom.operators.tiles import combine, dataset_tiles
 from trafficloom.sources.landing import landed_layers
@@ -70,17 +70,40 @@ def newest(spark: SparkSession, warehouse: str, stage: str) -> dict[str, str]:
 
 
 def checked_write(
-    df: DataFrame, path: str, where: str, partitions: Sequence[str] = ()
-) -> int:
-    """Write features, checking the contract in the same pass; returns the rows written."""
+    df: DataFrame,
+    path: str,
+    where: str,
+    partitions: Sequence[str] = (),
+    set_aside: bool = False,
+    spread: bool = False,
+) -> tuple[str, int]:
+    """Write features in one pass, those that fit the contract apart from the others; returns the
+    folder of the good part and its rows.
+
+    Rows that break a rule are under ``<path>/fits=false``, where no reader looks. With
+    ``set_aside`` the good part counts all the same; otherwise it is deleted and the error says
+    what is wrong. Rows lie in the order of a space-filling curve, over all tasks with ``spread``.
+    """
     contract.check_columns(df, where)
-    watched, counters = contract.observed(df, f"contract {where}")
-    writer = write_ready(watched).write.mode("overwrite")
-    (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
-    problem = contract.describe(counters.get, where, df)
-    if problem:
-        raise contract.ContractError(problem)
-    return df.sparkSession.read.parquet(path).count()
+    rows = write_ready(contract.marked(df), keep_missing=True)
+    folders = ["fits", *partitions]
+    near_each_other(rows, folders, spread).write.mode("overwrite").partitionBy(*folders).parquet(path)
+    spark, good = df.sparkSession, f"{path}/fits=true"
+    written = spark.read.schema(rows.schema).parquet(path)
+    n = written.agg(F.count_if("fits").alias("good"), F.count_if(~F.col("fits")).alias("bad")).first()
+    if n["bad"] and not set_aside:
+        _remove(spark, good)
+        contract.validate(written.filter("not fits"), where)
+    if not n["good"]:  # no folder was made: a table without rows
+        write_ready(df).limit(0).write.mode("overwrite").parquet(good)
+    return good, n["good"]
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it is."""
+    jvm = spark.sparkContext._jvm  # noqa: SLF001
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)  # noqa: SLF001
 
 
 # ------------------------------------------------------------------------------- build
@@ -94,12 +117,13 @@ def build_source(
     run: str,
     normalize: Callable[[Mapping[str, DataFrame]], DataFrame] | None = None,
     layers: Mapping[str, DataFrame] | None = None,
+    set_aside: bool = False,
 ) -> tuple[str, int]:
     """Read, map, check and write one source; returns path and row count."""
     layers = landed_layers(spark, landing, code) if layers is None else layers
     features = (normalize or plan_for(code))(layers)
     path = f"{warehouse}/interim/{run}/{code}"
-    return path, checked_write(features, path, code)
+    return checked_write(features, path, code, set_aside=set_aside)
 
 
 def build_all(
@@ -110,9 +134,12 @@ def build_all(
     run: str | None = None,
     threads: int = 4,
     catalogue: DataFrame | None = None,
+    set_aside: bool = False,
 ) -> DataFrame:
     """Build all live sources; one that fails is recorded and does not stop the others.
 
+    With ``set_aside`` rows that break the contract do not fail their source, see ``checked_write``.
+
     ``catalogue`` is a source list read from a file; without one the built-in list counts.
     """
     if codes is None and catalogue is not None:
@@ -124,7 +151,7 @@ def build_all(
     def attempt(item: tuple[int, str]) -> Run:
         place, code = item
         try:
-            path, n = build_source(spark, code, landing, warehouse, run)
+            path, n = build_source(spark, code, landing, warehouse, run, set_aside=set_aside)
             return Run("build", place, code, run, path, n, None)
         except Exception as problem:  # noqa: BLE001 - one source must not stop the others
             text = f"{type(problem).__name__}: {problem}"
@@ -176,7 +203,7 @@ def merge(spark: SparkSession, warehouse: str, run: str | None = None) -> DataFr
     run = run or new_run()
     path = f"{warehouse}/features/{run}"
     routed = route(read_interim(spark, warehouse))
-    n = checked_write(routed, path, "merge", ["group", "source"])
+    path, n = checked_write(routed, path, "merge", ["group", "source"], spread=True)
     record(spark, warehouse, [Run("merge", 0, "features", run, path, n, None)])
     return group_summary(read_features(spark, warehouse))
 

@@ -25,8 +25,6 @@ GROUPS_SQL = """groups as (select source, case min(level) when 'bund' then 'bast
     from features group by source),
     routed as (select f.*, g."group" from features f join groups g on f.source = g.source)"""
 
-BUILT_SQL = """built as (select * from features where source <> 'n24')"""
-
 
 @query(f"""
     with {s.FEATURES_SQL}, {STATS_SQL} select * from stats
@@ -50,17 +48,22 @@ def level_of_source(spark, folder):
     )
 
 
+def _built_stats(spark, folder):
+    """Statistics of the sources that the catalogue calls live."""
+    live = s.catalogue(spark, folder).filter("status = 'live'").select(F.col("code").alias("source"))
+    return cat.source_stats(s.features(spark, folder)).join(live, "source", "left_semi")
+
+
 @query(f"""
     with {s.FEATURES_SQL}, {STATS_SQL}
     select ord, code, status, level, name, state, kind, coalesce(t.year, c.year) as year,
         license, metric, n, west, south, east, north
-    from catalogue c left join (select * from stats where source not in ('n3', 'n4')) t
+    from catalogue c left join (select * from stats where source in (select code from catalogue where status = 'live')) t
         on c.code = t.source
 """)
 def catalogue_with_statistics(spark, folder):
-    """Every catalogued source; two of them are not built and keep their stated year."""
-    stats = cat.source_stats(s.features(spark, folder)).filter(~F.col("source").isin("n3", "n4"))
-    return cat.source_entries(s.catalogue(spark, folder), stats)
+    """Every catalogued source; those that are not live are not built and keep their stated year."""
+    return cat.source_entries(s.catalogue(spark, folder), _built_stats(spark, folder))
 
 
 @query(f"""
@@ -176,13 +179,12 @@ def overview_markers(spark, folder):
     with {s.FEATURES_SQL}, {STATS_SQL}
     select cast(ord as integer) as ord, code, name, level, n,
         west is not null as has_box, round(west, 4) as west
-    from catalogue c left join (select * from stats where source not in ('n3', 'n4')) t
+    from catalogue c left join (select * from stats where source in (select code from catalogue where status = 'live')) t
         on c.code = t.source
 """)
 def catalogue_json(spark, folder):
     """The catalogue as JSON texts, read back: keys without a value are absent."""
-    stats = cat.source_stats(s.features(spark, folder)).filter(~F.col("source").isin("n3", "n4"))
-    entries = cat.source_entries(s.catalogue(spark, folder), stats)
+    entries = cat.source_entries(s.catalogue(spark, folder), _built_stats(spark, folder))
     texts = cat.source_json(entries)
     e = F.col("entry")
     return texts.select(
