@@ -116,6 +116,31 @@ def test_manifest_needs_no_merge_and_follows_the_builds(spark, tmp_path):
     assert [r.code for r in jobs.build_all(spark, str(tmp_path / "landing"), house, catalogue=own).collect()] == ["sl"]
 
 
+def test_builds_follow_a_catalogue_file(spark, tmp_path):
+    """Another year, licence and town than the built-in list has."""
+    from trafficloom.operators import catalogue as cat
+
+    land(tmp_path / "landing")
+    put(tmp_path / "landing", "neustadt/sheet/0.csv",
+        "ID,NAME,BREITENGRAD,LAENGENGRAD,KFZ_1,SV_1,DATUM_1\n"
+        "1,B32_Hauptstraße_88999_Neustadt,47.5,9.5,100,4,11.07.2023\n")
+    put(tmp_path, "sources.json", json.dumps({
+        "neustadt": {"status": "live", "level": "kommune", "name": "Neustadt", "state": "BW", "kind": "xlsx",
+                     "license": "cc0", "metric": "24h"},
+        "sl": {"status": "live", "year": 2030, "license": "own"},
+        "by": {"status": "blocked"},
+        "nowhere": {"status": "live", "level": "land", "name": "x", "state": "x", "kind": "wfs", "metric": "DTV"}}))
+    own = cat.read_source_table(spark, str(tmp_path / "sources.json"))
+    house = str(tmp_path / "house")
+    runs = {r.code: r for r in jobs.build_all(spark, str(tmp_path / "landing"), house, catalogue=own).collect()}
+    assert set(runs) == {"neustadt", "sl", "nowhere"} and "nowhere" in runs["nowhere"].error
+    rows = {c: spark.read.parquet(runs[c].path).first() for c in ("neustadt", "sl")}
+    assert (rows["sl"].year, rows["sl"].license, rows["sl"].metric, rows["sl"].level) == (2030, "own", "DTV", "land")
+    town = rows["neustadt"]
+    assert (town.name, town.road_no, town.year, town.level, town.license) == ("B 32 / Hauptstraße", "B 32", 2023, "kommune", "cc0")
+    assert spark.read.parquet(jobs.build_all(spark, str(tmp_path / "landing"), house, ["sl"]).first().path).first().year == 2021
+
+
 def test_empty_warehouse_names_the_missing_step(spark, tmp_path):
     for job in (jobs.merge, jobs.build_tiles):
         with pytest.raises(FileNotFoundError, match="first"):

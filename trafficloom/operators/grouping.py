@@ -53,6 +53,21 @@ def route(features: DataFrame) -> DataFrame:
     ).select(*features.columns, "group")
 
 
+def summary(features: DataFrame) -> DataFrame:
+    """Sources and features per group of a table that has not been routed: counts per source and
+    level are enough, so no feature is joined or shuffled."""
+    per_level = features.groupBy("source", "level").agg(
+        F.bool_and(is_point(F.col("geometry"))).alias("points"), F.count("*").alias("n")
+    )
+    kinds = per_level.groupBy("source").agg(
+        F.bool_and("points").alias("points"), F.min("level").alias("level"), F.sum("n").alias("n")
+    )
+    named = kinds.withColumn("group", group_name(F.col("level"), F.col("points")))
+    return named.groupBy("group").agg(
+        F.count("source").cast("bigint").alias("sources"), F.sum("n").cast("bigint").alias("features")
+    )
+
+
 def group_summary(routed: DataFrame) -> DataFrame:
     """Sources and features per group, counted per source first."""
     return (

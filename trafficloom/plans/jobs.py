@@ -17,7 +17,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trafficloom.catalogue_data import DATASETS, LEVEL_OF, live_codes
+from trafficloom.catalogue_data import DATASETS, LEVEL_OF, Source, live_codes, using
 from trafficloom.model import CANONICAL
 from trafficloom.operators import catalogue as cat
 from trafficloom.operators import contract
@@ -140,18 +140,23 @@ def build_all(
 
     With ``set_aside`` rows that break the contract do not fail their source, see ``checked_write``.
 
-    ``catalogue`` is a source list read from a file; without one the built-in list counts.
+    ``catalogue`` is a source list read from a file: its live sources are built, in its order, with
+    its years, licences, metrics, names and levels; without one the built-in list counts.
     """
-    if codes is None and catalogue is not None:
-        live = catalogue.filter("status = 'live'").orderBy("ord").select("code")
-        codes = [r["code"] for r in live.collect()]
+    sources = []
+    if catalogue is not None:
+        # A hand-kept list: a row per source.
+        rows = catalogue.orderBy("ord").select(*Source._fields).collect()
+        sources = [Source(*r) for r in rows]
+        codes = [s.code for s in sources if s.status == "live"] if codes is None else codes
     codes = live_codes() if codes is None else list(codes)
     run = run or new_run()
 
     def attempt(item: tuple[int, str]) -> Run:
         place, code = item
         try:
-            path, n = build_source(spark, code, landing, warehouse, run, set_aside=set_aside)
+            with using(sources):
+                path, n = build_source(spark, code, landing, warehouse, run, set_aside=set_aside)
             return Run("build", place, code, run, path, n, None)
         except Exception as problem:  # noqa: BLE001 - one source must not stop the others
             text = f"{type(problem).__name__}: {problem}"

@@ -627,7 +627,7 @@ def merged(spark, folder):
 """)
 def all_sources_by_group(spark, folder):
     """Every source from its landed layers to the merged groups."""
-    return grouping.group_summary(grouping.route(merged(spark, folder)))
+    return grouping.summary(merged(spark, folder))
 
 
 @query(f"""

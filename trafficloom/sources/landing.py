@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from trafficloom.sources import readers
-from trafficloom.sources.registry import STATION_TOWNS
+from trafficloom.sources.registry import STATION_TOWNS, is_station_town
 from trafficloom.sources.states import NETWORK_LAYERS, THURINGIA_KEY
 
 Reader = Callable[[SparkSession, str], DataFrame]
@@ -101,6 +101,5 @@ LAYERS: dict[str, dict[str, Reader]] = {
 
 
 def landed_layers(spark: SparkSession, landing: str, code: str) -> dict[str, DataFrame]:
-    return {
-        name: reader(spark, f"{landing}/{code}/{name}") for name, reader in LAYERS[code].items()
-    }
+    layers = LAYERS.get(code) or ({"sheet": sheet(0)} if is_station_town(code) else LAYERS[code])
+    return {name: reader(spark, f"{landing}/{code}/{name}") for name, reader in layers.items()}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trafficloom.catalogue_data import BY_CODE
+from trafficloom import catalogue_data
 from trafficloom.functions import roads
 from trafficloom.functions import values as v
 from trafficloom.operators import reshape
@@ -88,7 +88,7 @@ def frankfurt(layers: Layers) -> DataFrame:
 def stations(code: str, layers: Layers) -> DataFrame:
     """Station sheet with up to four counts each; the newest one counts. One plan, many towns."""
     newest = reshape.latest_count(reshape.blocks_to_long(layers["sheet"]))
-    parsed = roads.station_name(F.col("NAME"), BY_CODE[code].name)
+    parsed = roads.station_name(F.col("NAME"), catalogue_data.listed(code).name)
     named = newest.withColumns(
         {
             "name": parsed.name,

@@ -7,6 +7,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame
 
+from trafficloom import catalogue_data
 from trafficloom.sources import municipal, states
 from trafficloom.sources.states import Layers
 
@@ -34,5 +35,16 @@ PLANS: dict[str, Plan] = {
 }
 
 
+def is_station_town(code: str) -> bool:
+    """A town whose counts come as one station sheet: those known, and any other that a catalogue
+    lists as a spreadsheet of a municipality."""
+    if code in PLANS:
+        return code in STATION_TOWNS
+    source = catalogue_data.listed(code)
+    return source.level == "kommune" and source.kind == "xlsx"
+
+
 def plan_for(code: str) -> Plan:
+    if code not in PLANS and is_station_town(code):
+        return partial(municipal.stations, code)
     return PLANS[code]

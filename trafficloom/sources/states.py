@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trafficloom.catalogue_data import BY_CODE, LEVEL_OF
+from trafficloom import catalogue_data
 from trafficloom.functions import roads
 from trafficloom.functions import values as v
 from trafficloom.model import ORDINAL
@@ -42,11 +42,11 @@ NETWORK_LAYERS = ("bab", "b", "l", "k")
 
 def spec(code: str, columns: Mapping[str, str], **more) -> Spec:
     """Mapping of one catalogued source; its constants come from the catalogue."""
-    s = BY_CODE[code]
+    s = catalogue_data.listed(code)
     more.setdefault("year", s.year if "year_from" not in more else None)
     return Spec(
         columns, metric=s.metric, state=s.state, source=code, license=s.license,
-        levels=LEVEL_OF, **more,
+        levels=catalogue_data.levels(), **more,
     )
 
 
