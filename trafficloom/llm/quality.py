@@ -44,7 +44,7 @@ STARTS, MOST, FEW, SURE = (5, 7), 4, 1.0, 1.0
 
 
 class _Hashes(dict):
-    LIMIT = 250_000
+    LIMIT = 150_000
 
     def __missing__(self, word: str) -> int:
         value = xxhash.xxh3_64_intdigest(word)
@@ -60,7 +60,7 @@ _PAIR = np.uint64(0x9E3779B97F4A7C15)
 class _Starts(dict):
     """Buckets of a word and of its starts."""
 
-    LIMIT = 100_000
+    LIMIT = 60_000
 
     def __missing__(self, word: str) -> tuple[int, ...]:
         parts = [word, *(f"{word[:k]} " for k in STARTS if len(word) >= k)]
