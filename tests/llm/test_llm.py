@@ -280,8 +280,30 @@ def test_reading_stops_early_where_it_can():
     values[:20] += 1000
     columns = np.ascontiguousarray(values.T)
     lists = np.argsort(columns, axis=1, kind="stable")
-    left, depth = topk.candidates(columns, lists, np.array([3, 2, 1]), 10)
-    assert depth < 4000 and set(left) <= set(range(20))
+    (left, other), depth = topk.candidates(columns, lists, np.array([[3, 2, 1], [-1, -1, -1]]), 10)
+    assert depth[0] < 4000 and set(left) <= set(range(20))
+    assert set(np.flatnonzero(values.sum(axis=1) == 0)) <= set(other)
+
+
+def test_strong_lists_and_known_scores_spare_reading():
+    """No structure at all, so every list matters; still not every list is read to its end."""
+    rng = np.random.default_rng(2)
+    values = rng.standard_normal((3000, 64)).round(2)
+    columns = np.ascontiguousarray(values.T)
+    lists = np.argsort(columns, axis=1, kind="stable")
+    queries = rng.standard_normal((40, 64)).round(2)
+    scores = queries @ columns
+    kth = np.sort(scores, axis=1)[:, -10]
+    slack = 1e-9
+    alone, by_itself = topk.candidates(columns, lists, queries, 10, slack)
+    known, with_score = topk.candidates(columns, lists, queries, 10, slack, kth)
+    for row, at, a, b in zip(scores, kth, alone, known):
+        best = set(np.flatnonzero(row >= at))
+        assert best <= set(a) and best <= set(b)
+    print("depth", by_itself.mean() / 3000, with_score.mean() / 3000)
+    assert by_itself.mean() < 0.95 * 3000 and with_score.mean() < 0.85 * 3000
+    none, depth = topk.candidates(columns, lists, queries, 10, slack, 1e9)
+    assert not any(len(x) for x in none) and depth.max() <= topk.FIRST_STRETCH
 
 
 # -- tokens and packing

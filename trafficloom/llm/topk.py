@@ -1,11 +1,13 @@
 """Exact top-k search by aggregation without random access.
 
-A shard keeps one sorted list per component. A query reads all its lists from the end that adds
-most, in stretches that double; every entry has a lower bound (what it has shown, and the least
-the rest can add) and an upper bound (what it has shown, and what its unread lists show now).
-Reading stops when no outsider's upper bound reaches the k-th lower bound; the few entries left
-are then scored in full, in exact integers. Ties at the end stay inside, so equal scores go to the
-smaller id. Bounds are doubles; where their sums are not exact they are widened by the rounding error.
+A shard keeps one sorted list per component. A query reads its lists from the end that adds most,
+all in step first, then those that leave the widest gap to their end; every entry has a lower bound
+(what it has shown, and the least the rest can add) and an upper bound (what it has shown, and what
+its unread lists show now). Reading stops when no outsider's upper bound reaches the k-th lower
+bound, or the k-th score of the shards that the task has seen; the few entries left are then scored
+in full, in exact integers. Ties at the end stay inside, so equal scores go to the smaller id. The
+bounds of a block of queries are matrix products. They are doubles; where their sums are not exact
+they are widened by the rounding error.
 """
 
 from __future__ import annotations
@@ -60,37 +62,91 @@ def beyond(score: int) -> bytes:
     return key if score > 0 else bytes(255 - x for x in key)
 
 
-def candidates(
-    columns: np.ndarray, lists: np.ndarray, query: np.ndarray, k: int, slack: float = 0.0
-) -> tuple[np.ndarray, int]:
-    """Entries that may be among the k best (all that tie with the last included), and the depth
-    read. columns: (dim, entries); lists: entry numbers by rising value, for each component. slack:
-    what an upper and a lower bound may be off by together."""
+def stretch(columns: np.ndarray, lists: np.ndarray, depth: int) -> list[np.ndarray]:
+    """Bounds of every component of every entry once `depth` places of its list are read: upper and
+    lower ones for lists read from their largest value, then upper and lower ones for lists read
+    from their smallest. What is read bounds itself; the rest lies between the last value read and
+    the other end of the list."""
     n = columns.shape[1]
-    used = np.flatnonzero(query)
-    if n <= k or not len(used):
-        return np.arange(n), 0
-    shown = np.zeros(n)
-    unread = np.ones((len(used), n))
-    ends = columns[used, lists[used, 0]], columns[used, lists[used, -1]]
-    least = np.minimum(ends[0] * query[used], ends[1] * query[used]).astype(np.float64)
-    front = np.zeros(len(used))
-    at, stretch = 0, FIRST_STRETCH
-    while at < n:
-        until = min(n, at + stretch)
-        for j, d in enumerate(used):
-            read = lists[d, n - until : n - at] if query[d] > 0 else lists[d, at:until]
-            added = query[d] * columns[d][read]
-            shown[read] += added
-            unread[j, read] = 0
-            front[j] = added[0] if query[d] > 0 else added[-1]
-        at, stretch = until, 2 * stretch
-        low = shown + least @ unread
-        reached = np.partition(low, n - k)[n - k]
-        left = np.flatnonzero(shown + front @ unread >= reached - slack)
-        if len(left) <= 4 * k:
-            return left, at
-    return left, at
+    out = []
+    for read, last, end in (
+        (lists[:, n - depth :], lists[:, n - depth], lists[:, 0]),
+        (lists[:, :depth], lists[:, depth - 1], lists[:, -1]),
+    ):
+        known = np.zeros(columns.shape, bool)
+        np.put_along_axis(known, read, True, axis=1)
+        for bound in (last, end):
+            out.append(np.where(known, columns, np.take_along_axis(columns, bound[:, None], 1)))
+    return out
+
+
+def rounds(n: int, dim: int) -> list[tuple[int, int]]:
+    """How deep all lists are read, and how many of a query's strongest to their end, round by round."""
+    first, more = min(n, FIRST_STRETCH), min(n, max(FIRST_STRETCH, n // 8))
+    shares = [0, dim // 2, 3 * dim // 4, 7 * dim // 8, dim]
+    return list(dict.fromkeys([(first, 0), *((more, whole) for whole in shares)]))
+
+
+def candidates(
+    columns: np.ndarray,
+    lists: np.ndarray,
+    queries: np.ndarray,
+    k: int,
+    slack: np.ndarray | float = 0.0,
+    floor: np.ndarray | float = -np.inf,
+) -> tuple[list[np.ndarray], np.ndarray]:
+    """For each query the entries that may be among the k best (all that tie with the last included),
+    and the mean depth its lists were read to.
+
+    columns: (dim, entries); lists: entry numbers by rising value, for each component; queries: one a
+    row. slack: what an upper and a lower bound may be off by together. floor: a score that k other
+    entries are known to reach. All lists are read in step first, each from the end that adds most;
+    then those to their end that leave the widest gap between the bounds. The bounds of all entries
+    and queries are products of the queries with bounds of components.
+    """
+    dim, n = columns.shape
+    left = [np.arange(n)] * len(queries)
+    depth = np.zeros(len(queries))
+    if n <= k:
+        return left, depth
+    slack, floor = (np.broadcast_to(x, len(queries)) for x in (slack, floor))
+    ends = [np.take_along_axis(columns, lists[:, at : at + 1], 1)[:, 0] for at in (0, n - 1)]
+    gaps = np.abs(queries) * (ends[1] - ends[0])
+    place = np.argsort(np.argsort(-gaps, axis=1, kind="stable"), axis=1, kind="stable")
+    used = np.maximum(1, np.count_nonzero(queries, axis=1))
+    open_, at, bounds = np.arange(len(queries)), 0, []
+    for until, whole in rounds(n, dim):
+        if until != at:
+            at, bounds = until, stretch(columns, lists, until)
+        asked = queries[open_]
+        ended = place[open_] < whole
+        rest = np.where(ended, 0.0, asked)
+        low = high = np.where(ended, asked, 0.0) @ columns if whole else 0.0
+        if whole < dim:
+            up, down = np.maximum(rest, 0.0), np.minimum(rest, 0.0)
+            high = low + up @ bounds[0] + down @ bounds[2]
+            low = low + up @ bounds[1] + down @ bounds[3]
+        reached = np.maximum(np.partition(low, n - k, axis=1)[:, n - k], floor[open_])
+        within = high >= (reached - slack[open_])[:, None]
+        done = np.count_nonzero(within, axis=1) <= 4 * k
+        if whole == dim:
+            done[:] = True
+        for i in np.flatnonzero(done):
+            q = open_[i]
+            left[q] = np.flatnonzero(within[i])
+            through = np.count_nonzero(ended[i] & (asked[i] != 0))
+            depth[q] = (through * n + (used[q] - through) * at) / used[q]
+        open_ = open_[~done]
+        if not len(open_):
+            break
+    return left, depth
+
+
+def in_units(score: int, exponent: int) -> float:
+    """An exact score as a double in units of 2^exponent, rounded down."""
+    spare = max(0, score.bit_length() - 53)
+    with np.errstate(over="ignore"):
+        return float(np.ldexp(float(score >> spare), spare - exponent)) / SCALE**2
 
 
 def sorted_lists(vectors: DataFrame) -> DataFrame:
@@ -138,6 +194,9 @@ def top_inner_products(
     index = saved(sorted_lists(vectors))
     blocks = saved(query_blocks(rows, queries, QUERY_BLOCK))
 
+    #: Of the queries this task has met: the k-th best score so far, no later shard needs less.
+    kth: dict[int, int] = {}
+
     def search(row) -> pd.DataFrame:
         own = np.frombuffer(row.ids, np.int64)
         asked = rounded(np.frombuffer(row.vectors, np.float64).reshape(len(own), row.dim))
@@ -145,24 +204,27 @@ def top_inner_products(
         lists = np.frombuffer(row.lists, np.int32).reshape(row.dim, -1)
         scaled, exponent = units(values)
         columns = np.ascontiguousarray(scaled.T)
-        widest = np.abs(columns).max(axis=1)
+        pairs = [units(query) for query in asked]
+        sent = np.stack([u for u, _ in pairs])
+        exponents = [exponent + e for _, e in pairs]
+        # All sums of products are integers of units below 2^53: exact in a double.
+        exact = np.array([row.dim * SCALE**2 * 2.0 ** min(e, 99) < 2.0**53 for e in exponents])
+        reach = np.abs(sent) @ np.abs(columns).max(axis=1) + 2.0**-900
+        slack = np.where(exact, 0.0, 16 * (row.dim + 8) * 2.0**-52 * reach)
+        floor = np.array([in_units(kth[q], e) if q in kth else -np.inf for q, e in zip(own.tolist(), exponents)])
+        # One more than k: the query's own entry may be among them.
+        found, _ = candidates(columns, lists, sent, k + 1, slack, floor)
         out = []
-        for q, query in zip(own, asked):
-            sent, own_exponent = units(query)
-            # All sums of products are integers of units below 2^53: exact in a double.
-            exact = row.dim * SCALE**2 * 2.0 ** min(exponent + own_exponent, 99) < 2.0**53
-            reach = float(np.abs(sent) @ widest) + 2.0**-900
-            slack = 0.0 if exact else 16 * (row.dim + 8) * 2.0**-52 * reach
-            # One more than k: the query's own entry may be among them.
-            left, _ = candidates(columns, lists, sent, k + 1, slack)
-            if exact:
-                found = map(int, ((SCALE * values[left]) @ (SCALE * query)).tolist())
+        for q, query, left, sure in zip(own.tolist(), asked, found, exact):
+            if sure:
+                final = map(int, ((SCALE * values[left]) @ (SCALE * query)).tolist())
             else:
-                found = products(values[left], query)
-            scores = dict(zip(left.tolist(), found))
-            order = sorted(scores, key=lambda e: -scores[e])
-            best = best_rows(row.entries, q, order, scores, k)
-            out += [(int(q), i, min(max(s, LEAST), LARGEST), beyond(s)) for i, s in best]
+                final = products(values[left], query)
+            scores = dict(zip(left.tolist(), final))
+            best = best_rows(row.entries, q, scores, scores, k)
+            if len(best) == k:
+                kth[q] = max(best[-1][1], kth.get(q, best[-1][1]))
+            out += [(q, i, min(max(s, LEAST), LARGEST), beyond(s)) for i, s in best]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score", "beyond"])
 
     return search_shards(index, blocks, shards, search, "long", k, among_equal="beyond")
