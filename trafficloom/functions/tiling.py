@@ -86,8 +86,12 @@ def tile_x(code: Column) -> Column:
     return F.shiftright(code, 32).cast("int")
 
 
+def row_of(code: Column) -> Column:
+    return code.bitwiseAND(F.lit(SHIFT - 1))
+
+
 def tile_y(code: Column) -> Column:
-    return code.bitwiseAND(F.lit(SHIFT - 1)).cast("int")
+    return row_of(code).cast("int")
 
 
 # --- fixed values: masks that spread the bits of a number, every second place left free ----

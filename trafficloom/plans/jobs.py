@@ -14,16 +14,16 @@ from datetime import datetime, timezone
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trafficloom.catalogue_data import DATASETS, LEVEL_OF, Source, live_codes, using
+from trafficloom.catalogue_data import DATASETS, LEVEL_OF, PROFILES, Source, live_codes, using
 from trafficloom.model import CANONICAL
 from trafficloom.operators import catalogue as cat
-from trafficloom.operators import contract
+from trafficloom.operators import contract, pyramid
 from trafficloom.operators.canonical import canonical_columns, near_each_other, write_ready
 from trafficloom.operators.grouping import backfill, group_summary, route
-from trafficloom.operators.tiles import combine, dataset_tiles
+from trafficloom.operators.tiles import TILE, cast_attributes, combine, dataset_tiles
 from trafficloom.sources.landing import landed_layers
 from trafficloom.sources.registry import plan_for
 
@@ -230,10 +230,13 @@ def build_tiles(
     only: Sequence[str] | None = None,
     run: str | None = None,
     shapes: bool = True,
+    two_tables: bool = False,
 ) -> DataFrame:
     """Write the tile table of every dataset (or the ones named) whose groups exist.
 
     Without ``shapes`` the rows carry no geometry: a long line is otherwise stored once per tile.
+    With ``two_tables`` features are stored once, under ``features``, and the tiles hold their
+    numbers, under ``index``; ``read_tiles`` reads both layouts.
     """
     run = run or new_run()
     features = read_features(spark, warehouse)
@@ -245,17 +248,21 @@ def build_tiles(
         if (only and dataset.key not in only) or not set(dataset.groups) & set(groups):
             continue
         path = f"{warehouse}/{dataset.file}/{run}"
-        tiles = dataset_tiles(features, groups, [dataset.key])
-        tiles = tiles if shapes else tiles.drop("geometry")
+        if two_tables:
+            tiles = tile_numbers(features, [g for g in dataset.groups if g in groups], f"{path}/features")
+        else:
+            tiles = dataset_tiles(features, groups, [dataset.key])
+            tiles = tiles if shapes else tiles.drop("geometry")
         # Rebalancing splits a crowded zoom over several files and fills up the sparse ones.
+        written = f"{path}/index" if two_tables else path
         (
             tiles.hint("rebalance", "z")
             .sortWithinPartitions("z", "layer", "x", "y")
             .write.mode("overwrite")
             .partitionBy("z")
-            .parquet(path)
+            .parquet(written)
         )
-        n = spark.read.parquet(path).count()
+        n = spark.read.parquet(written).count()
         runs.append(Run("tiles", place, dataset.key, run, path, n, None))
     if not runs:
         raise FileNotFoundError("no merged group to cut into tiles")
@@ -263,6 +270,39 @@ def build_tiles(
     return spark.createDataFrame(runs, RUNS)
 
 
+def tile_numbers(features: DataFrame, groups: Sequence[str], path: str) -> DataFrame:
+    """Write the features of some groups with their numbers to ``path``; returns the tile index."""
+    types = dict(PROFILES[groups[0]].types)
+    chosen = features.filter(F.col("group").isin(*groups))
+    stored = pyramid.numbered(cast_attributes(chosen, types), path)
+    return combine(
+        [
+            pyramid.narrow_index(stored.filter(F.col("group") == g).drop("group"), PROFILES[g])
+            for g in groups
+        ]
+    )
+
+
+def read_tiles(
+    spark: SparkSession, warehouse: str, dataset: str, tiles: Column | None = None
+) -> DataFrame:
+    """The newest tiles of a dataset, those that the condition on layer, z, x and y names. The same
+    columns whether features are stored in their tiles or once."""
+    path = newest(spark, warehouse, "tiles").get(dataset)
+    if path is None:
+        raise FileNotFoundError(f"no tiles of {dataset} in {warehouse}; run build_tiles first")
+    chosen = F.lit(True) if tiles is None else tiles
+    try:
+        index = spark.read.parquet(f"{path}/index")
+    except AnalysisException as missing:  # features stored in their tiles
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.read.parquet(path).filter(chosen)
+    features = spark.read.parquet(f"{path}/features").drop("group")
+    rows = pyramid.with_features(index.filter(chosen), features)
+    return rows.select(F.lit(dataset).alias("dataset"), *TILE, *[c for c in rows.columns if c not in TILE])
+
+
 # ---------------------------------------------------------------------------- manifest
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from trafficloom.catalogue_data import PROFILES
 from trafficloom.functions import geometry as geo
 from trafficloom.functions import tiling
-from trafficloom.operators import grouping
+from trafficloom.operators import grouping, pyramid
 from trafficloom.operators import tiles as ops
 from trafficloom.queries import standins as s
 from trafficloom.queries.catalogue import GROUPS_SQL
@@ -101,6 +101,37 @@ def tiles_of_features(spark, folder):
     return cut.select("layer", "z", "x", "y", "station_id", "dtv_kfz", "year")
 
 
+@query(f"""
+    with {s.FEATURES_SQL}, {TILES_SQL}
+    select 'svz' as layer, cast(z as integer) as z, cast(x as integer) as x,
+        cast(y as integer) as y, station_id, cast(dtv_kfz as integer) as dtv_kfz, year,
+        case when is_point then 1 else 2 end as vertices
+    from tiles
+""")
+def tiles_by_feature_number(spark, folder):
+    """The same tiles as two tables: features once, and a narrow index rolled up from the last zoom."""
+    features = pyramid.numbered(s.features(spark, folder))
+    index = pyramid.narrow_index(features, PROFILES["lines"])
+    cut = ops.cast_attributes(pyramid.with_features(index, features), dict(PROFILES["lines"].types))
+    vertices = geo.point_count(F.col("geometry")).cast("int").alias("vertices")
+    return cut.select("layer", "z", "x", "y", "station_id", "dtv_kfz", "year", vertices)
+
+
+@query(f"""
+    with {s.FEATURES_SQL}, {TILES_SQL}
+    select cast(z as integer) as z, cast(x as integer) as x, cast(y as integer) as y, station_id
+    from (select *, row_number() over (partition by z, x, y
+        order by dtv_kfz desc nulls last, okey) as rn from tiles
+        where z >= 10 or okey % cast(pow(2, 10 - z) as bigint) = 0) where rn <= 5
+""")
+def thinned_and_limited_index(spark, folder):
+    """Thinning and the limit work on the index alone; the features are joined to what is left."""
+    profile = PROFILES["lines"]._replace(drop_rate=2.0, base_zoom=10, max_features=5)
+    features = pyramid.numbered(s.features(spark, folder).select("station_id", "dtv_kfz", "geometry"))
+    index = pyramid.narrow_index(features, profile, key=F.col("station_id").cast("bigint"))
+    return pyramid.with_features(index, features).select("z", "x", "y", "station_id")
+
+
 @query(f"""
     with {s.FEATURES_SQL}, {TILES_SQL}
     select cast(z as integer) as z, cast(x as integer) as x, cast(y as integer) as y, station_id
