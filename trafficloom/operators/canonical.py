@@ -161,11 +161,13 @@ def write_ready(df: DataFrame, keep_missing: bool = False) -> DataFrame:
 
     The envelope comes out of a generator that yields nothing for a missing geometry, so the
     test is not copied into a filter below, where the geometry would be worked out twice.
-    ``keep_missing`` leaves those rows in, without envelope.
+    ``keep_missing`` leaves those rows in, without envelope. The geometry is the last column, so
+    that footers can be asked about all others (``footers.read``).
     """
     geometry = F.col("geometry")
     box = F.when(~geo.is_missing(geometry), F.array(geo.bounds(geometry)))
-    return df.select(*df.columns, F.inline_outer(box) if keep_missing else F.inline(box))
+    ready = df.select(*df.columns, F.inline_outer(box) if keep_missing else F.inline(box))
+    return ready.select(*[c for c in ready.columns if c != "geometry"], "geometry")
 
 
 def near_each_other(df: DataFrame, first: Sequence[str], spread: bool) -> DataFrame:

@@ -90,6 +90,13 @@ def source_stats(features: DataFrame) -> DataFrame:
     )
 
 
+def table_stats(features: DataFrame, code: str) -> DataFrame:
+    """The same of a table that holds one source and was written with its envelope columns; read by
+    ``footers.read`` it takes no row of it."""
+    whole = features.agg(F.count("*").alias("n"), *bounds_of(), F.max("year").alias("year"))
+    return whole.select(F.lit(code).alias("source"), *whole.columns)
+
+
 def source_entries(catalogue: DataFrame, stats: DataFrame) -> DataFrame:
     """Every catalogued source, with statistics where it is built; data year wins."""
     found = stats.withColumnsRenamed({"source": "code", "year": "data_year"})

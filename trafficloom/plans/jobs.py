@@ -18,12 +18,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trafficloom.catalogue_data import DATASETS, LEVEL_OF, PROFILES, Source, live_codes, using
+from trafficloom.functions import geometry as geo
 from trafficloom.model import CANONICAL
 from trafficloom.operators import catalogue as cat
 from trafficloom.operators import contract, pyramid
 from trafficloom.operators.canonical import canonical_columns, near_each_other, write_ready
 from trafficloom.operators.grouping import backfill, group_summary, route
 from trafficloom.operators.tiles import TILE, cast_attributes, combine, dataset_tiles
+from trafficloom.sources import footers
 from trafficloom.sources.landing import landed_layers
 from trafficloom.sources.registry import plan_for
 
@@ -58,6 +60,11 @@ def run_table(spark: SparkSession, warehouse: str) -> DataFrame:
 
 def newest(spark: SparkSession, warehouse: str, stage: str) -> dict[str, str]:
     """Path of the newest good run per code: one entry per source or dataset."""
+    return {code: path for code, (path, _) in newest_with_rows(spark, warehouse, stage).items()}
+
+
+def newest_with_rows(spark: SparkSession, warehouse: str, stage: str) -> dict[str, tuple[str, int]]:
+    """Path and number of rows of the newest good run per code."""
     try:
         runs = run_table(spark, warehouse)
     except AnalysisException as missing:  # nothing has been recorded in this warehouse yet
@@ -65,8 +72,8 @@ def newest(spark: SparkSession, warehouse: str, stage: str) -> dict[str, str]:
             raise
         return {}
     good = runs.filter((F.col("stage") == stage) & F.col("error").isNull())
-    paths = good.groupBy("code").agg(F.max_by("path", "run").alias("path")).collect()
-    return {r["code"]: r["path"] for r in sorted(paths, key=lambda r: r["code"])}
+    runs = good.groupBy("code").agg(F.max_by(F.struct("path", "n"), "run").alias("r")).collect()
+    return {r["code"]: tuple(r["r"]) for r in sorted(runs, key=lambda r: r["code"])}
 
 
 def checked_write(
@@ -313,6 +320,24 @@ def built_features(spark: SparkSession, warehouse: str) -> DataFrame:
     return spark.createDataFrame([], CANONICAL).withColumn("group", F.lit(None).cast("string"))
 
 
+def built_stats(spark: SparkSession, warehouse: str) -> DataFrame:
+    """Statistics of the newest table of every source, from the footers where it was written with
+    its envelope; older tables are aggregated."""
+    stats, older = [], []
+    for code, (path, n) in newest_with_rows(spark, warehouse, "build").items():
+        if not n:
+            continue
+        table = footers.read(spark, path)
+        if table is not None and set(geo.BOX) <= set(table.columns):
+            stats.append(cat.table_stats(table, code))
+        else:
+            older.append(backfill(spark.read.parquet(path), LEVEL_OF))
+    if older or not stats:
+        rows = combine(older) if older else spark.createDataFrame([], CANONICAL)
+        stats.append(cat.source_stats(rows))
+    return combine(stats)
+
+
 def manifest(spark: SparkSession, warehouse: str, catalogue: DataFrame | None = None) -> str:
     """Write ``<warehouse>/manifest``: one JSON text with datasets and sources.
 
@@ -325,7 +350,7 @@ def manifest(spark: SparkSession, warehouse: str, catalogue: DataFrame | None =
     )
     sources = cat.source_json(
         cat.source_entries(
-            cat.source_table(spark) if catalogue is None else catalogue, cat.source_stats(features)
+            cat.source_table(spark) if catalogue is None else catalogue, built_stats(spark, warehouse)
         )
     )
 

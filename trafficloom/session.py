@@ -14,7 +14,6 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.parquet.aggregatePushdown": "true",
 }
 # Settings only a new session can take. Recording the call site of every column expression
 # doubles the time to build a plan.
