@@ -769,6 +769,65 @@ def test_structures_in_other_forms():
     assert not secret_scan.structural_spans(wrap(b64(RSA[:-1])) + "\n" + wrap(b64(bytes(range(200)))))
 
 
+def test_keys_that_start_anywhere():
+    def wrap(text, n, end="\n"):
+        return end.join(re.findall(f".{{1,{n}}}", text))
+
+    pem = "-----BEGIN RSA PRIVATE KEY-----\\n{}\\n-----END RSA PRIVATE KEY-----\\n"
+    run = "Q" * 40
+    for key, kind in ((RSA, "key"), (EC, "key"), (PKCS8, "key"), (SSH, "ssh")):
+        text = b64(key)
+        forms = [("path/", text), ("PRIVATE_KEY_", text), (run + "\n", wrap(text, 64)), (run + "\n", wrap(text, 20)),
+                 ("x ", wrap(text, 16, "\r\n  ")), ('{"key": "', wrap(text, 64, "\\n")), ("k=", wrap(text, 30, "\\r\\n"))]
+        for before, form in forms:
+            for after in ("", "\nwords follow", " words", '"}'):
+                whole = "é " + before + form + after
+                found = secret_scan.structural_spans(whole)
+                assert any(e == 2 + len(before) + len(form) and k == kind and s <= 2 + len(before) + 4 for s, e, k in found), (
+                    kind, before, form[:30], after, found)
+                left = secret_scan.redact(whole, secret_scan.spans(whole))
+                assert form[-30:] not in left and form[:30] not in left and not secret_scan.structural_spans(left)
+        assert not secret_scan.structural_spans("path/" + b64(key[:-4])) and not secret_scan.structural_spans("path/" + b64(key + b"abc"))
+        if kind == "key":
+            plain = key.hex()
+            for form in (plain, "a" + plain, plain.upper(), ":".join(re.findall("..", plain)), wrap(plain, 32),
+                         wrap(":".join(re.findall("..", plain)), 45, "\n    "), " ".join(re.findall("..", plain))):
+                found = secret_scan.structural_spans("see " + form + "\nwords")
+                start = 4 + form.lower().index("30")
+                assert (start, 4 + len(form), "key") in found, (form[:40], found)
+            assert not secret_scan.structural_spans(":".join(re.findall("..", plain[:-2])) + "\nno")
+    json_pem = pem.format(wrap(b64(RSA), 64, "\\n"))
+    assert [k for *_, k in secret_scan.structural_spans('{"private_key": "' + json_pem + '"}')] == ["pem"]
+
+
+def test_long_texts_full_of_starts_are_scanned():
+    """Starts that claim what is not there, many of them, and one key at the end."""
+    text = "MIIE" * 20_000 + " " + "MHcCAQEEIA" * 5_000 + " 30820102020100" * 3_000 + " x/" + b64(EC)
+    assert secret_scan.structural_spans(text)[-1] == (len(text) - len(b64(EC)), len(text), "key")
+
+
+def plain_base(text):
+    """The three patterns without a look at what comes before."""
+    found = [(m.start(), m.end(), "assign") for m in re.finditer(
+        r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", text, re.I | re.A) if len(m[2]) >= 6]
+    found += [(m.start(), m.end(), "access") for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    found += [(m.start(), m.end(), "hex") for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return sorted(found)
+
+
+def test_base_spans_of_a_whole_table_are_those_of_the_patterns(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    drawn = "concat(text, ' api_key=', md5(text), '; AKIA', upper(md5(text)), ' ', reverse(text), 'Secret:', left(text, 9))"
+    docs = docs.withColumn("text", F.expr(f"case when doc_id % 5 = 0 then text else {drawn} end"))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    some = 0
+    for r in secret_scan.find_secrets(docs).collect():
+        base = sorted((s.start, s.end, s.kind) for s in r.spans if s.kind in ("assign", "access", "hex"))
+        assert base == plain_base(texts[r.doc_id] or "")
+        some += len(base)
+    assert some and len(texts) == docs.count()
+
+
 def test_base_spans_drop_what_fails():
     cases = {
         "password: token = abcdefgh": [],  # the first match takes the second word with it

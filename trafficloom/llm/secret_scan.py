@@ -3,7 +3,8 @@
 Three plain patterns find assignments, access ids and long hex numbers. Besides, candidates in
 base64 or hex are decoded and reported only if what they hold parses: a private key in DER, whose
 nested lengths fill it exactly, an OpenSSH key file, whose length-prefixed fields do, or a signed
-token with a header that names its algorithm.
+token with a header that names its algorithm. A key may start anywhere in a run, on any line of a
+block, and be wrapped in any way; in hex its bytes may be separated.
 """
 
 from __future__ import annotations
@@ -41,6 +42,24 @@ LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
 #: Looked at from every start of a run, so a dotted word before a token hides nothing.
 JWT = re.compile(r"(?<![A-Za-z0-9_-])(?=([A-Za-z0-9_-]{15,}+)\.([A-Za-z0-9_-]++)\.([A-Za-z0-9_-]*+))")
 
+#: Line ends, also written out as in JSON texts and settings files.
+BREAK = re.compile(r"[\x20\t]*(?:\r?\n|(?:\\r)?\\n)[\x20\t]*")
+WRITTEN_BREAK = re.compile(r"(?:\\r)?\\n")
+LETTERS = re.compile(r"[A-Za-z0-9+/_-]+")
+PADDING = re.compile("={0,2}")
+#: How base64 of a DER sequence, an OpenSSH key file and a PEM frame starts, wherever it stands (a first
+#: line of twelve letters is enough).
+STARTS = re.compile(r"(?=(M[C-I][A-Za-z0-9+/_-]{8}|b3BlbnNzaC1r|LS0tLS1CRUdJ))")
+_GAP = r"(?:[:\s]|\\n)*"
+#: How a private key in DER starts in hex: a sequence, its length, a version or another sequence.
+HEX_STARTS = re.compile(
+    rf"(?=30{_GAP}(?:82{_GAP}[0-9a-f]{{2}}{_GAP}[0-9a-f]{{2}}|81{_GAP}[0-9a-f]{{2}}|[2-7][0-9a-f])"
+    rf"{_GAP}(?:02{_GAP}01{_GAP}0[01]|30))",
+    re.IGNORECASE,
+)
+HEX_DIGIT = re.compile("[0-9A-Fa-f]")
+HEX_PAIR = re.compile(rf"{_GAP}([0-9A-Fa-f]{{2}})")
+
 SPANS = "array<struct<kind:string,start:long,end:long>>"
 
 
@@ -147,7 +166,7 @@ def pem_spans(text: str) -> list[tuple[int, int]]:
         if m[1] == "BEGIN":
             begun[m[2]] = m
         elif begin := begun.pop(m[2], None):
-            body = text[begin.end() : m.start()]
+            body = WRITTEN_BREAK.sub("\n", text[begin.end() : m.start()])
             if BODY.fullmatch(body):
                 body = "\n".join(x for x in body.split("\n") if ":" not in x)  # without old headers
                 data = unbase64(body)
@@ -208,6 +227,98 @@ def wrapped_spans(text: str) -> list[tuple[int, int, str]]:
     return found
 
 
+def letters_from(text: str, at: int, most: int) -> tuple[str, list[tuple[int, int]]]:
+    """Base64 letters from a place on, over line ends, `most` at most; and where each piece of them
+    starts in the letters and in the text."""
+    pieces, places, n = [], [], 0
+    while n < most and (m := LETTERS.match(text, at)):
+        pieces.append(m[0])
+        places.append((n, at))
+        n += len(m[0])
+        at = m.end()
+        if n < most and (gap := BREAK.match(text, at)):
+            at = gap.end()
+        else:
+            break
+    return "".join(pieces)[:most], places
+
+
+def place_after(places: list[tuple[int, int]], n: int) -> int:
+    """Where in the text the first n letters end."""
+    first, at = max(p for p in places if p[0] < n)
+    return at + n - first
+
+
+def started_spans(text: str, found: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """Keys in base64 that start in the middle of a run: behind a path or a name, on any line of a
+    block, wrapped after few letters, with line ends written out. A key
+    ends with its last byte: with more letters right behind it is something else. `found`: spans
+    known already."""
+    out = []
+    covered = sorted((a, b) for a, b, kind in found if kind in ("pem", "key", "ssh"))
+    until, i = 0, 0
+    for m in STARTS.finditer(text):
+        at = m.start()
+        while i < len(covered) and covered[i][0] <= at:
+            until = max(until, covered[i][1])
+            i += 1
+        if at < until:
+            continue
+        if m[1][0] == "M":
+            head = unbase64(m[1][:8])
+            size = claimed(head + b"\0") if head else 0
+            need, kind = -(-size * 4 // 3), "key"
+            n = 2 + (head[1] & 0x7F if head and head[1] >= 0x80 else 0)
+            inside = head[n : n + 1] if head else b""
+            if size < 24 or need > len(text) - at or inside not in (b"\x02", b"\x30"):
+                continue
+            letters, places = letters_from(text, at, need)
+            if len(letters) < need or not is_private_der(unbase64(letters)):
+                continue
+        else:
+            letters, places = letters_from(text, at, len(text))
+            data = unbase64(letters[: len(letters) - (len(letters) % 4 == 1)])
+            kind = "ssh" if m[1][0] == "b" else "pem"
+            size = (claimed(data) if kind == "ssh" else pem_end(data)) if data else 0
+            need = -(-size * 4 // 3)
+            if not size or need > len(letters) or kind == "ssh" and not is_openssh(data[:size]):
+                continue
+        end = place_after(places, need)
+        more = LETTERS.match(text, end)
+        if more and kind != "pem":
+            continue
+        end = more.end() if more else end
+        end = PADDING.match(text, end).end()
+        out.append((at, end, kind))
+        until = max(until, end)
+    return out
+
+
+def hex_keys(text: str, found: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """Keys in hex with colons, white space or line ends between their bytes, at any place of a run."""
+    out, until = [], 0
+    known = {a: b for a, b, kind in found if kind == "key"}
+    for m in HEX_STARTS.finditer(text):
+        at = m.start()
+        until = max(until, known.get(at, 0))
+        if at < until:
+            continue
+        pairs, end, need = [], at, 6
+        while len(pairs) < need and (pair := HEX_PAIR.match(text, end)):
+            pairs.append(pair[1])
+            end = pair.end()
+            if len(pairs) == 6:
+                need = claimed(bytes.fromhex("".join(pairs)) + b"\0")
+                if 2 * need > len(text) - at:
+                    break
+        if HEX_DIGIT.match(text, end):
+            continue
+        if need >= 24 and len(pairs) == need and is_private_der(bytes.fromhex("".join(pairs))):
+            out.append((at, end, "key"))
+            until = end
+    return out
+
+
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     found = []
     low = text.lower()
@@ -237,7 +348,8 @@ def structural_spans(text: str) -> list[tuple[int, int, str]]:
     for m in HEX_RUN.finditer(text):
         if m[0].startswith("30") and len(m[0]) % 2 == 0 and is_private_der(bytes.fromhex(m[0])):
             found.append((m.start(), m.end(), "key"))
-    return found
+    found += started_spans(text, found)
+    return found + hex_keys(text, found)
 
 
 def in_order(spans: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
