@@ -71,6 +71,14 @@ class _Starts(dict):
 
 
 _STARTS = _Starts()
+#: Words whose hashes, and words whose starts, a worker remembers; results don't depend on it.
+REMEMBERED = (_Hashes.LIMIT, _Starts.LIMIT)
+
+
+def use_word_caches(remembered: tuple[int, int]) -> None:
+    """Make the caches of the worker at hand those of this operator, of so many words."""
+    use_cache(_HASHES, _STARTS)
+    _HASHES.LIMIT, _STARTS.LIMIT = remembered
 
 
 def words_of(text: str | None) -> list[str]:
@@ -95,13 +103,15 @@ def starts_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return b, np.minimum(np.fromiter(counts.values(), np.int64, len(counts)), MOST)
 
 
-def fit(docs: DataFrame, text_col: str, aimed_col: str, unwanted_col: str) -> np.ndarray:
+def fit(
+    docs: DataFrame, text_col: str, aimed_col: str, unwanted_col: str, remembered: tuple[int, int] = REMEMBERED
+) -> np.ndarray:
     """Occurrences by bucket in all text (row 0), in the target text (1), and of words and starts in
     text labelled not unwanted (2) and unwanted (3): counts over all rows, of which only one number
     per bucket and model reaches the driver."""
 
     def count(batches):
-        use_cache(_HASHES, _STARTS)
+        use_word_caches(remembered)
         total = np.zeros((4, BUCKETS), np.int64)
         for batch in batches:
             for text, aimed, unwanted in zip(*(c.to_pylist() for c in batch.columns)):
@@ -187,6 +197,7 @@ def resample(
     text_col: str = "text",
     carry: tuple[str, ...] = ("doc_id",),
     unwanted: Column | None = None,
+    remembered: tuple[int, int] = REMEMBERED,
 ) -> DataFrame:
     """carry, and quality: a struct of log_weight, key (with Gumbel noise) and kept, for each row.
 
@@ -198,7 +209,8 @@ def resample(
     is null don't count; without labelled documents of both sorts it rejects none.
     Null and empty texts have log weight 0. Equal rows get equal noise, reruns agree. Repeated
     labels count if any of them meets the target, or is unwanted; rows without id are scored but not
-    fitted on. An empty table gives no rows. Carried columns keep any name.
+    fitted on. An empty table gives no rows. Carried columns keep any name. remembered: words whose
+    hashes, and whose starts, a worker keeps; fewer take less memory and more time, nothing else.
     """
     unwanted = F.lit(None) if unwanted is None else unwanted
     marks = labels.select(
@@ -222,7 +234,7 @@ def resample(
         F.col(text_col).alias("text"),
     )
     rows = rows.join(F.broadcast(saved(fitted)), F.col("id") == F.col("__id"), "left").drop("__id")
-    counts = fit(rows, "text", "aimed", "unwanted")
+    counts = fit(rows, "text", "aimed", "unwanted", remembered)
     total = counts.sum(axis=1)
     share = float(total[1] / total[0]) if total[0] else 0.0
     odds = float(total[3] / total[2]) if total[2] else 0.0
@@ -230,7 +242,7 @@ def resample(
 
     @F.pandas_udf("log_weight double, unwanted double")
     def weigh(texts: pd.Series, aims: pd.Series, marks: pd.Series) -> pd.DataFrame:
-        use_cache(_HASHES, _STARTS)
+        use_word_caches(remembered)
         out = []
         for text, aimed, mark in zip(texts, aims, marks):
             words, mark = words_of(text), None if mark is None else bool(mark)
