@@ -17,12 +17,14 @@ from trafficloom.llm.queries import is_target, is_toxic
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Near duplicates share this many hundredths of their shingles.
 PERCENT = 80
+#: Workers serve all stages, so the word caches of the first one are small here.
+REMEMBERED = (60_000, 30_000)
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality classifier: documents outside the sample and toxic ones go."""
     labels = table(spark, sf_dir, "labels")
-    made = quality.resample(docs, labels, is_target(), carry=COLUMNS, unwanted=is_toxic())
+    made = quality.resample(docs, labels, is_target(), carry=COLUMNS, unwanted=is_toxic(), remembered=REMEMBERED)
     return made.filter("quality.kept").select(*COLUMNS)
 
 
