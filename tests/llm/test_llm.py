@@ -671,6 +671,74 @@ def test_mixing_on_awkward_rows(spark, awkward):
     assert mixing.mix(empty(awkward)).count() == 0
 
 
+def brute_mix(frame, aims):
+    """Copies by id: expected copies, ranks and the head of the order in plain Python."""
+    out = {}
+    for source, own in frame.groupby("source", dropna=False):
+        target = aims[None if source is None or source != source else source]
+        words = own.groupby("odds")["size"].sum().to_dict()
+        low, high = 0.0, 2.0
+        for _ in range(200):  # copies per odds by bisection
+            unit = (low + high) / 2
+            total = sum(min(2.0, unit * o) * n for o, n in words.items())
+            low, high = (unit, high) if total < float(target) else (low, unit)
+        times = np.minimum(2.0, high * own["odds"])
+        times = np.where(np.abs(times - np.round(times)) < 1e-9, np.round(times), times)
+        whole = np.floor(times)
+        p, u = times - whole, own["u"].to_numpy()
+        with np.errstate(divide="ignore", invalid="ignore"):
+            rank = np.where(p > 0, u / (1 - u) / (p / (1 - p)), np.inf)
+        room = float(target) - (whole * own["size"]).sum()
+        for i in np.argsort(rank, kind="stable"):
+            out[own["doc_id"].iloc[i]] = (int(whole[i]), rank[i], own["size"].iloc[i], room)
+            if rank[i] < np.inf:
+                room -= own["size"].iloc[i]
+    return out
+
+
+def test_mixing_takes_the_head_of_the_order(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = {r.doc_id: r for r in mixing.mix(docs).select("doc_id", "mix.*").collect()}
+    key = F.xxhash64(F.col("doc_id").cast("string"), F.xxhash64("text"), F.xxhash64(F.struct("doc_id")), F.lit(0))
+    u = (F.shiftrightunsigned(key, 11).cast("double") + 0.5) / 2.0**53
+    frame = docs.select("doc_id", "source", u.alias("u")).toPandas()
+    frame["size"] = [got[i].size for i in frame["doc_id"]]
+    frame["odds"] = [int(n).bit_length() for n in frame["size"]]
+    sizes = {None if s != s else s: int(n) for s, n in frame.groupby("source", dropna=False)["size"].sum().items()}
+    want = brute_mix(frame, mixing.targets(sizes, mixing.WEIGHTS, Fraction(3, 2), 2))
+    drawn = other = 0
+    for i, (whole, rank, size, room) in want.items():
+        if rank == np.inf:
+            assert got[i].copies == whole
+        else:
+            assert got[i].copies - whole in (0, 1)
+            drawn += got[i].copies - whole
+            other += (got[i].copies > whole) != (room >= size)  # beside the rows that close a gap
+    assert drawn > 20 and other <= 8 * len(sizes)
+
+
+def test_expected_copies():
+    got = mixing.expected_copies({0: 0, 1: 100, 2: 100, 8: 10}, Fraction(200), 2)
+    assert got == {0: 0, 1: Fraction(3, 5), 2: Fraction(6, 5), 8: 2}
+    assert mixing.expected_copies({3: 5}, Fraction(10), 2) == {3: 2} and mixing.expected_copies({}, Fraction(0), 2) == {}
+
+
+def test_mixing_spreads_equal_rows(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BUCKET", 64)
+    rows = [(1, "one two three", "a")] * 5000 + [(i, "four five", "a") for i in range(2, 500)]
+    rows += [(9000, "six", "b")] * 3000 + [(None, None, None)] * 10
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6)
+    ask = lambda df: mixing.mix(df, carry=("doc_id", "source")).groupBy("source", "doc_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("mix.taken").alias("taken"), F.first("mix.target").alias("target"))
+    got = {(r.source, r.doc_id): r for r in ask(docs).collect()}
+    assert got["a", 1].n == 5000 and got["b", 9000].n == 3000 and got[None, None].taken == 0
+    for s in "ab":
+        own = [r for k, r in got.items() if k[0] == s]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 3
+    again = {(r.source, r.doc_id): r for r in ask(docs.repartition(3)).collect()}
+    assert again == got
+
+
 # -- conversations
 
 def brute_chats(rows):

@@ -1,10 +1,11 @@
 """Mixing sources to target weights by Pareto order sampling.
 
-A source's target over its size is the expected number of copies of each of its documents. The
-whole copies are certain; for the rest documents are ranked by their random odds over their odds
-of inclusion, and the sample of fixed size (in words) is the head of that order. The order is cut
-into buckets, so no source is ever sorted in one task: buckets before the border are taken whole
-by their sums, only the one bucket at the border is walked.
+Within a source the expected copies of a document grow with its odds, up to the most allowed, so
+that the expected words are the source's target. Whole copies are certain; for the rest documents
+are ranked by their random odds over their odds of inclusion, and the sample of fixed size (in
+words) is the head of that order. The order is cut into buckets, so no source is ever sorted in one
+task: buckets before the border are taken whole by their sums, and of the one bucket at the border
+only sizes and ranks are walked, equal rows counted as one.
 """
 
 from __future__ import annotations
@@ -13,15 +14,17 @@ from collections.abc import Sequence
 from fractions import Fraction
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .common import WORD, join_hot, saved, uniform
+from .common import WORD, join_hot, saved
+from .packing import best_fill
 
 WEIGHTS = (5, 2, 1)
 #: Documents in a bucket, about, and most buckets of a source.
 BUCKET, BUCKETS = 512, 1 << 20
+#: Documents of the head that may be given back to meet a target.
+BACK = 8
 #: Sources up to which their table (some 100 bytes a row) is broadcast.
 FEW = 10_000
 
@@ -46,12 +49,69 @@ def targets(
     return out
 
 
-def _with_small(rows: DataFrame, plan: DataFrame, sources: int, how: str) -> DataFrame:
-    """Join a table of one row per source; it is broadcast only where it is known to be small."""
-    if sources > FEW:
-        return join_hot(rows, plan, ["source"], how)
-    plan = F.broadcast(plan.withColumnRenamed("source", "__source"))
-    return rows.join(plan, rows["source"].eqNullSafe(plan["__source"]), how).drop("__source")
+def _with_small(rows: DataFrame, plan: DataFrame, keys: list[str], sources: int, how: str) -> DataFrame:
+    """Join a table of some rows per source; it is broadcast only where it is known to be small."""
+    return join_hot(rows, plan if sources > FEW else F.broadcast(plan), keys, how)
+
+
+def expected_copies(words: dict[int, int], target: Fraction, most: int) -> dict[int, Fraction]:
+    """Copies of a document by its odds, given the words of the documents of each odds: in
+    proportion to the odds, at most `most`, with the target as the sum of copies * words."""
+    left, open_ones, out = target, {o for o, n in words.items() if o and n}, {o: Fraction(0) for o in words}
+    while open_ones:
+        unit = left / sum(o * words[o] for o in open_ones)
+        above = {o for o in open_ones if unit * o >= most}
+        if not above:
+            return out | {o: unit * o for o in open_ones}
+        for o in above:
+            out[o] = Fraction(most)
+            left -= most * words[o]
+        open_ones -= above
+    return out
+
+
+def walk(group: pd.DataFrame) -> pd.DataFrame:
+    """How many of each group of equal rows a border bucket gives: the head of the order that fits.
+    What is then missing, less than the next document, is filled from the rest of the bucket by
+    sizes that add up to it as closely as can be, in the order of rank within a size. Where a word
+    or more is still missing, the last BACK documents of the head are given back one by one and
+    filled anew, and the closest of these ends counts. One more document follows where that is
+    closer."""
+    group = group.sort_values(["rank", "key"], ignore_index=True)
+    room = float(group["sought"].iloc[0] - group["before"].iloc[0])
+    sizes, left = group["size"].tolist(), group["rows"].tolist()
+    taken, last = [0] * len(sizes), 0
+    for last, size in enumerate(sizes):
+        taken[last] = min(left[last], int(room // size))
+        left[last] -= taken[last]
+        room -= taken[last] * size
+        if left[last]:
+            break
+    best = None
+    for _ in range(BACK + 1):
+        counts: dict[int, int] = {}
+        for size, n in zip(sizes, left):
+            if n and size <= room:
+                counts[size] = counts.get(size, 0) + n
+        fill = best_fill(counts, sorted(counts, reverse=True), int(room)) if counts else []
+        missing = int(room) - sum(size * times for size, times in fill)
+        if best is None or missing < best[0]:
+            best = missing, taken.copy(), left.copy(), room, dict(fill)
+        while last >= 0 and not taken[last]:
+            last -= 1
+        if not missing or last < 0:
+            break
+        taken[last], left[last], room = taken[last] - 1, left[last] + 1, room + sizes[last]
+    _, taken, left, room, wanted = best
+    for i, size in enumerate(sizes):
+        times = min(left[i], wanted.get(size, 0))
+        if times:
+            wanted[size] -= times
+            taken[i], left[i], room = taken[i] + times, left[i] - times, room - times * size
+    over = min(((size, i) for i, size in enumerate(sizes) if left[i]), default=None)
+    if over and over[0] < 2 * room:
+        taken[over[1]] += 1
+    return group[["source", "key", "rows"]].assign(heads=taken)
 
 
 def mix(
@@ -64,76 +124,95 @@ def mix(
     text_col: str = "text",
     source_col: str = "source",
     carry: Sequence[str] = ("doc_id",),
+    odds: Column | None = None,
 ) -> DataFrame:
     """Per row of docs its `carry` columns and mix: a struct of size (words), source_size, target
     (words of its source), copies and taken (copies * size).
 
+    odds: few different whole numbers; a source's documents are expected in proportion to them, and
+    those of odds 0 or null are left out. By default the binary digits of the size, so a long text
+    is a little likelier than a short one.
+
     Null texts have no words and are never taken; a null source is a source like the others, last
-    in order. Equal rows are drawn alike. The draw depends on id, text and seed alone, so reruns
-    agree. An empty table gives no rows. The result is one struct column, so carried columns keep
-    any name. One row per source passes through the driver; sources are taken to be few.
+    in order. Equal rows share a rank; where the border falls among them, some of them are drawn.
+    The draw depends on the carried columns, id, text and seed alone, so reruns agree. An empty
+    table gives no rows. The result is one struct column, so carried columns keep any name; maps
+    can't be carried. A row per source and odds passes through the driver; sources are taken to be
+    few. With BUCKETS a border holds more than BUCKET documents in sources of over 5 * 10^8, as
+    numbers only.
     """
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
+    held = F.when(size > 0, F.length(F.bin(size)) if odds is None else odds.cast("int"))
+    row = F.struct(*(F.col(f"`{c}`") for c in carry))
     base = saved(
         docs.select(
-            F.struct(*(F.col(f"`{c}`") for c in carry)).alias("row"),
+            row.alias("row"),
             F.col(source_col).alias("source"),
             size.alias("size"),
-            uniform(F.col(id_col).cast("string"), F.xxhash64(text_col), F.lit(seed)).alias("u"),
+            F.greatest(F.coalesce(held, F.lit(0)), F.lit(0)).alias("odds"),
+            F.xxhash64(F.col(id_col).cast("string"), F.xxhash64(text_col), F.xxhash64(row), F.lit(seed)).alias("key"),
+            # Numbers the rows; the upper bits are those of the task.
+            F.monotonically_increasing_id().alias("place"),
         )
     )
     spark = docs.sparkSession
-    sums = base.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows"))
-    sums = {r["source"]: (r["size"], r["rows"]) for r in sums.collect()}
-    aims = targets({s: v[0] for s, v in sums.items()}, weights, share, most)
+    sums: dict = {}
+    for r in base.groupBy("source", "odds").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows")).collect():
+        sums.setdefault(r["source"], {})[r["odds"]] = (r["size"], r["rows"])
+    sizes = {s: sum(n for n, _ in own.values()) for s, own in sums.items()}
+    aims = targets(sizes, weights, share, most)
     plan = []
-    for s, (words, rows) in sums.items():
-        times = aims[s] / words if words else Fraction(0)
-        whole = int(times)
-        chance = times - whole
-        buckets = min(BUCKETS, -(-rows // BUCKET))
-        plan.append((s, words, float(aims[s]), whole, float(chance), float(chance * words), buckets))
+    for s, own in sums.items():
+        times = expected_copies({o: n for o, (n, _) in own.items()}, aims[s], most)
+        rest = float(sum((times[o] - int(times[o])) * n for o, (n, _) in own.items()))
+        buckets = min(BUCKETS, -(-sum(n for _, n in own.values()) // BUCKET))
+        for o, t in times.items():
+            plan.append((s, o, sizes[s], float(aims[s]), int(t), float(t - int(t)), rest, buckets))
     plan = spark.createDataFrame(
         plan,
-        "source string, source_size long, target double, whole int, chance double, rest double, buckets int",
+        "source string, odds int, source_size long, target double, whole int, chance double, rest double, buckets int",
     )
-    rows = _with_small(base, plan, len(sums), "inner")
-    rows = rows.withColumn("bucket", F.floor(F.col("u") * F.col("buckets")))
-    odds = F.col("u") / (1 - F.col("u")) * (1 - F.col("chance")) / F.col("chance")
-    rows = rows.withColumn("rank", F.when(F.col("chance") > 0, odds))
-
-    # Where each source's order passes its target. chance is one number in a source, so the order
-    # by odds is that of u and buckets follow each other in it.
+    rows = _with_small(base, plan, ["source", "odds"], len(sums), "inner")
+    # Random odds over odds of inclusion, brought to (0, 1): the border lies near 1 to 1, where
+    # documents lie no denser than evenly, whatever their chances.
+    u = (F.shiftrightunsigned("key", 11).cast("double") + 0.5) / F.lit(float(1 << 53))
+    ranked = F.col("u") * (1 - F.col("chance"))
+    ranked = ranked / (ranked + (1 - F.col("u")) * F.col("chance"))
+    rows = rows.withColumn("u", u).withColumn("rank", F.when(F.col("chance") > 0, ranked)).drop("u")
+    bucket = F.least(F.floor(F.col("rank") * F.col("buckets")), F.col("buckets") - 1)
+    rows = rows.withColumn("bucket", F.when(F.col("rank").isNotNull(), bucket))
+
+    # Where each source's order passes what is left of its target beside the whole copies.
     order = Window.partitionBy("source").orderBy("bucket")
-    heads = rows.groupBy("source", "bucket").agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
+    heads = rows.filter("bucket is not null").groupBy("source", "bucket")
+    heads = heads.agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
     heads = heads.withColumn("before", F.sum("words").over(order) - F.col("words"))
     border = heads.filter("before < rest and before + words >= rest")
     border = saved(border.select("source", F.col("bucket").alias("border"), F.col("rest").alias("sought"), "before"))
-    rows = _with_small(rows, border, len(sums), "left")
-
-    # A source without border has nothing to draw, or all of it.
-    drawn = (F.col("chance") > 0) & (F.col("bucket") < F.coalesce("border", F.lit(1 << 40)))
-    clear = rows.filter("border is null or bucket <> border").withColumn("drawn", drawn)
-
-    def walk(group: pd.DataFrame) -> pd.DataFrame:
-        """Take what still fits in the order of rank; then one more if that comes closer."""
-        group = group.assign(__id=group["row"].map(repr))
-        group = group.sort_values(["rank", "__id", "size"], kind="stable").drop(columns="__id")
-        room = float(group["sought"].iloc[0] - group["before"].iloc[0])
-        sizes, drawn = group["size"].tolist(), []
-        for n in sizes:
-            drawn.append(n <= room)
-            room -= n if n <= room else 0
-        over = [(n, i) for i, n in enumerate(sizes) if not drawn[i] and n < 2 * room]
-        if over:
-            drawn[min(over)[1]] = True
-        return group.assign(drawn=drawn)
-
-    at_border = rows.filter("bucket = border")
-    schema = T.StructType([*at_border.schema.fields, T.StructField("drawn", T.BooleanType())])
-    walked = at_border.groupBy("source", "border").applyInPandas(walk, schema)
+    rows = _with_small(rows, border, ["source"], len(sums), "left")
+
+    # A row without rank has no draw; a source without border has nothing to draw.
+    at = F.col("border").isNotNull() & F.col("bucket").eqNullSafe(F.col("border"))
+    clear = rows.filter(~at).withColumn("drawn", F.coalesce(F.col("bucket") < F.col("border"), F.lit(False)))
+    near = rows.filter(at)
+    equal = near.groupBy("source", "key", "size", "rank", "sought", "before").agg(F.count(F.lit(1)).alias("rows"))
+    walked = equal.groupBy("source").applyInPandas(walk, "source string, key long, rows long, heads long")
+    near = saved(join_hot(near, walked, ["source", "key"]))
+
+    # Of equal rows on the border the first ones by place, counted by the task that numbered them.
+    near = near.withColumn("task", F.shiftright("place", 33))
+    settled = near.filter("heads = 0 or heads = rows").withColumn("drawn", F.col("heads") > 0)
+    split = near.filter("heads > 0 and heads < rows")
+    tasks = Window.partitionBy("key").orderBy("task")
+    earlier = split.groupBy("key", "task").agg(F.count(F.lit(1)).alias("own"))
+    earlier = earlier.select("key", "task", (F.sum("own").over(tasks) - F.col("own")).alias("earlier"))
+    own = F.row_number().over(Window.partitionBy("key", "task").orderBy("place"))
+    split = join_hot(split.withColumn("own", own), earlier, ["key", "task"])
+    split = split.withColumn("drawn", F.col("earlier") + F.col("own") <= F.col("heads"))
+    columns = clear.columns
+    drawn = clear.unionByName(settled.select(columns)).unionByName(split.select(columns))
     copies = F.col("whole") + F.col("drawn").cast("int")
-    return clear.unionByName(walked).select(
+    return drawn.select(
         "row.*",
         F.struct(
             "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken")
