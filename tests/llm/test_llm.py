@@ -7,6 +7,7 @@ import math
 import random
 import re
 import sys
+from collections import Counter
 from fractions import Fraction
 from pathlib import Path
 from zlib import crc32
@@ -404,6 +405,22 @@ def test_packing(spark, texts, awkward):
     assert packing.pack(empty(awkward)).count() == 0
 
 
+
+def test_packing_shares_equal_rows_out(spark):
+    docs = spark.createDataFrame([(7, "one two three")] * 6000 + [(8, "four")] * 40, "doc_id long, text string")
+    got = packing.pack(docs.repartition(5), 64, pool=500).collect()
+    assert len(got) == 6040 and len({(r.sequence_id, r.offset) for r in got}) == 6040
+    per_pool = Counter(r.sequence_id >> 32 for r in got if r.doc_id == 7)
+    assert max(per_pool.values()) <= 8 * packing.EQUAL and len(per_pool) >= 6
+    ends: dict = {}
+    for r in sorted(got, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == ends.get(r.sequence_id, 0)
+        ends[r.sequence_id] = r.offset + r.length
+    assert max(ends.values()) <= 64
+    again = packing.pack(docs.repartition(3), 64, pool=500).collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, got))
+
+
 def test_windows_are_filled():
     rng = random.Random(2)
     lengths = [rng.randint(1, 1023) for _ in range(3000)]

@@ -7,7 +7,7 @@ import uuid
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: The white space that separates words: blank and 0x09 to 0x0D, nothing else.
@@ -51,6 +51,21 @@ def join_hot(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inn
     return left.join(mine, condition, how).drop(*(f"__{k}" for k in keys))
 
 
+def numbers_of_equals(rows: DataFrame, keys: list[str], place: str) -> DataFrame:
+    """place and number (0, 1, …) of the rows whose keys occur more than once. place is a stored
+    monotonically_increasing_id(): each task's rows are counted by themselves and follow those of
+    the tasks before it, so no group of equals meets in one task."""
+    narrow = rows.select(*keys, F.col(place).alias("__place"), F.shiftright(place, 33).alias("__task"))
+    often = narrow.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).filter("__rows > 1").drop("__rows")
+    equal = join_hot(narrow, often, keys, "left_semi")
+    tasks = Window.partitionBy(*keys).orderBy("__task")
+    before = equal.groupBy(*keys, "__task").agg(F.count(F.lit(1)).alias("__own"))
+    before = before.select(*keys, "__task", (F.sum("__own").over(tasks) - F.col("__own")).alias("__before"))
+    own = F.row_number().over(Window.partitionBy(*keys, "__task").orderBy("__place")) - 1
+    counted = join_hot(equal.withColumn("__at", own), before, [*keys, "__task"])
+    return counted.select(F.col("__place").alias(place), (F.col("__before") + F.col("__at")).alias("number"))
+
+
 def uniform(*parts: Column | str) -> Column:
     """A number in (0, 1) that depends on the parts alone, so reruns agree."""
     bits = F.shiftrightunsigned(F.xxhash64(*parts), 11)

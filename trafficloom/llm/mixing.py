@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, join_hot, saved
+from .common import WORD, join_hot, numbers_of_equals, saved
 from .packing import best_fill
 
 WEIGHTS = (5, 2, 1)
@@ -199,16 +199,11 @@ def mix(
     walked = equal.groupBy("source").applyInPandas(walk, "source string, key long, rows long, heads long")
     near = saved(join_hot(near, walked, ["source", "key"]))
 
-    # Of equal rows on the border the first ones by place, counted by the task that numbered them.
-    near = near.withColumn("task", F.shiftright("place", 33))
+    # Of equal rows on the border the first ones by place.
     settled = near.filter("heads = 0 or heads = rows").withColumn("drawn", F.col("heads") > 0)
     split = near.filter("heads > 0 and heads < rows")
-    tasks = Window.partitionBy("key").orderBy("task")
-    earlier = split.groupBy("key", "task").agg(F.count(F.lit(1)).alias("own"))
-    earlier = earlier.select("key", "task", (F.sum("own").over(tasks) - F.col("own")).alias("earlier"))
-    own = F.row_number().over(Window.partitionBy("key", "task").orderBy("place"))
-    split = join_hot(split.withColumn("own", own), earlier, ["key", "task"])
-    split = split.withColumn("drawn", F.col("earlier") + F.col("own") <= F.col("heads"))
+    split = join_hot(split, numbers_of_equals(split, ["key"], "place"), ["place"])
+    split = split.withColumn("drawn", F.col("number") < F.col("heads"))
     columns = clear.columns
     drawn = clear.unionByName(settled.select(columns)).unionByName(split.select(columns))
     copies = F.col("whole") + F.col("drawn").cast("int")

@@ -17,11 +17,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_small_batches, saved
+from .common import in_small_batches, join_hot, numbers_of_equals, saved
 from .tokens import VOCABULARY, Ids, reader
 
 #: Pieces in a pool, about.
 POOL = 16_384
+#: Equal pieces that go to one pool together.
+EQUAL = 256
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -122,23 +124,28 @@ def pack(
     Rows are packed one by one, so repeated and null ids stay; rows without id share sequences with
     each other only. Padding is left at the end of a
     pool only. An empty table gives no rows; other columns are not read. Reruns pack the remainders
-    alike: a pool is a hash share of them, taken in a fixed order; whole windows have sequences of
+    alike: a pool is a hash share of them, equal ones shared out too, taken in a fixed order; whole windows have sequences of
     their own, whose numbers start at 2^62.
     """
-    cut = saved(pieces(docs, capacity, id_col, text_col, vocabulary, with_ids))
+    cut = pieces(docs, capacity, id_col, text_col, vocabulary, with_ids)
+    names = cut.columns
+    cut = saved(cut.withColumn("place", F.monotonically_increasing_id()))
     left = cut.filter(F.col("length") < capacity)
     left = left.agg(F.count("doc_id").alias("named"), F.count_if(F.isnull("doc_id")).alias("unnamed")).first()
     pools, more = (math.ceil(max(1, n) / pool) for n in left)
-    names = cut.columns
     # A whole window needs no company, so its ids stay where they were written.
     number = F.monotonically_increasing_id() + F.lit(1 << 62)
-    whole = cut.filter(F.col("length") == capacity).withColumns({"sequence_id": number, "offset": F.lit(0).cast("long")})
+    whole = cut.filter(F.col("length") == capacity).drop("place").withColumns({"sequence_id": number, "offset": F.lit(0).cast("long")})
     rest = cut.filter(F.col("length") < capacity)
     # Rows without id have pools of their own, dealt by place: they may all be alike, and pandas
     # would turn the ids beside them into floating-point numbers.
-    by_id = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(pools))
-    by_place = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(more)) + pools
-    rest = rest.withColumn("pool", F.when(F.isnull("doc_id"), by_place).otherwise(by_id))
+    # Equal remainders of one id have one hash: every EQUAL of them are dealt anew.
+    equals = saved(numbers_of_equals(rest.filter("doc_id is not null"), ["doc_id", "start", "ids_crc32"], "place"))
+    rest = join_hot(rest, equals, ["place"], "left") if equals.head(1) else rest.withColumn("number", F.lit(0))
+    again = F.floor(F.coalesce("number", F.lit(0)) / EQUAL)
+    by_id = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", again), F.lit(pools))
+    by_place = F.pmod(F.xxhash64("place"), F.lit(more)) + pools
+    rest = rest.withColumn("pool", F.when(F.isnull("doc_id"), by_place).otherwise(by_id)).select(*names, "pool")
 
     def place(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["doc_id", "start", "ids_crc32"], kind="stable", ignore_index=True)
