@@ -73,12 +73,11 @@ def _built_stats(spark, folder):
     with {s.FEATURES_SQL}, {STATS_SQL}
     select ord, code, status, level, name, state, kind, coalesce(t.year, c.year) as year,
         license, metric, n, west, south, east, north
-    from catalogue c left join (select * from stats where source in (select code from catalogue where status = 'live')) t
-        on c.code = t.source
+    from catalogue c left join stats t on c.code = t.source
 """)
 def catalogue_with_statistics(spark, folder):
-    """Every catalogued source; those that are not live are not built and keep their stated year."""
-    return cat.source_entries(s.catalogue(spark, folder), _built_stats(spark, folder))
+    """Every catalogued source; those without features keep their stated year."""
+    return cat.source_entries(s.catalogue(spark, folder), cat.source_stats(s.features(spark, folder)))
 
 
 @query(f"""
