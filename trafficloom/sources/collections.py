@@ -100,29 +100,28 @@ def page_order(pages: DataFrame) -> DataFrame:
     order to follow (``at`` is null). A link to a page that is not there, a page that two others
     lead to, a circle, or pages beside the chain are errors.
     """
-    key = F.to_json(F.struct("folder", "page"))
-    follower = F.to_json(F.struct("folder", F.col("next").alias("page")))
-    rows = pages.select("folder", "page", "next", key.alias("state"), follower.alias("_next"))
-    rows = chains.saved(rows)
+    # A number stands for a page: names would travel in every round.
+    rows = chains.saved(pages.select("folder", "page", "next", F.monotonically_increasing_id().alias("state")))
     linked = rows.filter("next is not null").select("folder").distinct()
     here = rows.join(linked, "folder", "left_semi")
-    before = here.filter("next is not null").groupBy(F.col("_next").alias("state")).agg(
+    before = here.filter("next is not null").groupBy("folder", F.col("next").alias("page")).agg(
         F.min("state").alias("prev"), F.count("*").alias("leads")
     )
-    met = here.select("state", F.lit(True).alias("landed")).join(before, "state", "full")
-    _refuse(met.filter("landed is null"), "pages not landed")
+    met = chains.saved(here.select("folder", "page", "state").join(before, ["folder", "page"], "full"))
+    _refuse(met.filter("state is null"), "pages not landed")
     _refuse(met.filter("leads > 1"), "pages that several others lead to")
-    _refuse(rows.groupBy("state").count().filter("count > 1"), "pages landed twice")
+    _refuse(rows.groupBy("folder", "page").count().filter("count > 1"), "pages landed twice")
     ordered = chains.follow(met.select("state", "prev"))
-    _refuse(ordered.filter("ring"), "pages in a circle")
-    places = here.select("folder", "page", "state").join(ordered.select("state", "root", "at"), "state")
+    _refuse(ordered.filter("ring").join(rows, "state"), "pages in a circle")
     # Each folder is one list: a second start is a page that no link leads to.
-    starts = places.filter("state = root").groupBy("folder").agg(F.count("*").alias("n"), F.max("state").alias("state"))
+    starts = met.filter("prev is null").groupBy("folder").agg(F.count("*").alias("n"), F.max("page").alias("page"))
     _refuse(starts.filter("n > 1"), "pages beside the chain")
-    return rows.select("folder", "page").join(places.select("folder", "page", "at"), ["folder", "page"], "left")
+    # A page without a name has no place.
+    at = F.when(F.col("page").isNotNull(), F.col("at")).alias("at")
+    return rows.select("folder", "page", "state").join(ordered.select("state", "at"), "state", "left").select("folder", "page", at)
 
 
 def _refuse(rows: DataFrame, what: str) -> None:
-    found = rows.agg(F.count("*").alias("n"), F.min("state").alias("one")).first()
+    found = rows.agg(F.count("*").alias("n"), F.min(F.to_json(F.struct("folder", "page"))).alias("one")).first()
     if found["n"]:
         raise CollectionError(f"{found['n']} {what}, among them {found['one']}")
