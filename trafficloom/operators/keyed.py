@@ -4,10 +4,13 @@ Two rules keep a key that holds a large share of all rows harmless:
 
 * one row per key is picked by an aggregate (``min_by``/``max_by``), never by sorting the
   whole group in one task: each map task sends at most one row per key;
-* the attached side has one row per key, and the join condition is null-safe, so it never
-  reuses the aggregate's partitioning. Both inputs are freshly exchanged, which is the shape
-  adaptive execution splits when one join partition is too large. No side is hinted: adaptive
-  execution broadcasts it only when its measured size allows.
+* the attached side has one row per key, and the join condition is null-safe or has a hash of its
+  own, so it never reuses the aggregate's partitioning. Both inputs are freshly exchanged, which is
+  the shape adaptive execution splits when one join partition is too large. No side is hinted:
+  adaptive execution broadcasts it only when its measured size allows.
+
+A left join whose columns nobody reads is left out of the plan, with the pick before it, see
+``attach_one``.
 """
 
 from __future__ import annotations
@@ -19,7 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trafficloom.functions import geometry as geo
-from trafficloom.functions.roads import node_pair
+from trafficloom.functions import values as v
+from trafficloom.functions.roads import node_text
 from trafficloom.model import ORDINAL
 
 
@@ -72,6 +76,30 @@ def attach(
     return joined.drop(*["_r_" + k for k in keys])
 
 
+def one_per_key(df: DataFrame, keys: Sequence[str], *picks: Column) -> DataFrame:
+    """Picks per key, for ``attach_one``: the key is one value, beside a hash that sorting and
+    partitioning compare first."""
+    return df.groupBy(F.xxhash64(*keys).alias("_r_hash"), F.struct(*keys).alias("_r_key")).agg(*picks)
+
+
+def attach_one(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join with a table of ``one_per_key``, on equal or both-missing keys.
+
+    Structs are equal where the same parts are missing, so the aggregate's own columns are compared
+    and Spark knows that they are unique: it drops the join if nothing else of the right side is
+    used. The second hash keeps the join from reusing the aggregate's partitioning.
+    """
+    key = F.struct(*[left[k] for k in keys])
+    same = F.xxhash64(*[left[k] for k in keys]) == right["_r_hash"]
+    same = same & (key == right["_r_key"]) & (F.hash(key) == F.hash(right["_r_key"]))
+    return left.join(right, same, "left").drop("_r_hash", "_r_key")
+
+
+def same_types(a: DataFrame, b: DataFrame, names: Sequence[str]) -> bool:
+    """Whether the columns hash alike."""
+    return all(a.schema[n].dataType.simpleString() == b.schema[n].dataType.simpleString() for n in names)
+
+
 def attach_first(
     left: DataFrame,
     right: DataFrame,
@@ -81,7 +109,11 @@ def attach_first(
 ) -> DataFrame:
     """Left join with the first right row per key; the number of left rows stays."""
     order = input_order(right) if order is None else order
-    return attach(left, pick_first(right, keys, columns, order), keys)
+    if not same_types(left, right, keys):
+        return attach(left, pick_first(right, keys, columns, order), keys)
+    picked = one_per_key(right, keys, F.min_by(F.struct(*columns), order).alias("_row"))
+    cells = [F.col(f"_row.`{c}`").alias(c) for c in columns]
+    return attach_one(left, picked.select("_r_hash", "_r_key", *cells), keys)
 
 
 def join_stations(values: DataFrame, stations: DataFrame, key: str) -> DataFrame:
@@ -96,16 +128,23 @@ def join_node_pairs(
     value_nodes: tuple[str, str],
     columns: Sequence[str],
 ) -> DataFrame:
-    """Network sections and value rows that share their start and end node."""
+    """Network sections and value rows that share their start and end node.
+
+    Only sections that meet a value are picked from: most of a network has none.
+    """
 
     def keyed(df: DataFrame, nodes: tuple[str, str], keep: Sequence[str]) -> DataFrame:
         order = input_order(df)
-        with_key = df.withColumn("_key", node_pair(*[F.col(n) for n in nodes]))
-        return pick_first(with_key, ["_key"], keep, order)
+        # As columns the numbers are read once; a key names each of them many times.
+        numbers = {f"_node{i}": v.parse_number(F.col(n).cast("string")) for i, n in enumerate(nodes)}
+        key = F.concat_ws("_", *[node_text(F.col(n)) for n in numbers])
+        return df.withColumn("_pick", order).withColumns(numbers).select(key.alias("_key"), "_pick", *keep)
 
-    sections = keyed(net, net_nodes, ["geometry"])
-    found = keyed(values, value_nodes, columns)
-    return attach(sections, found, ["_key"], "inner").drop("_key")
+    found = pick_first(keyed(values, value_nodes, columns), ["_key"], columns, F.col("_pick"))
+    both = attach(keyed(net, net_nodes, ["geometry"]), found, ["_key"], "inner")
+    # A value's cells are the same beside all sections of its key.
+    cells = [F.any_value(F.col(f"`{c}`")).alias(c) for c in columns]
+    return both.groupBy("_key").agg(F.min_by("geometry", "_pick").alias("geometry"), *cells).drop("_key")
 
 
 def sum_layers(
@@ -140,12 +179,15 @@ def sum_layers(
         for name in layers
     ]
     names = [f"_first{i}" for i in range(len(first))]
-    per_key = tagged.groupBy(*keys).agg(*[c.alias(n) for c, n in zip(first, names)])
+    firsts = [c.alias(n) for c, n in zip(first, names)]
     zero = F.lit(0.0)
     total = reduce(lambda a, b: a + b, [F.coalesce(F.col(n), zero) for n in names])
     known = F.coalesce(*[F.col(n) for n in names]).isNotNull()
-    summed = per_key.select(*keys, F.when(known, total).alias(out))
-    return attach(base, summed, keys)
+    summed = F.when(known, total).alias(out)
+    if not same_types(base, tagged, keys):
+        return attach(base, tagged.groupBy(*keys).agg(*firsts).select(*keys, summed), keys)
+    per_key = one_per_key(tagged, keys, *firsts).select("_r_hash", "_r_key", summed)
+    return attach_one(base, per_key, keys)
 
 
 def sum_layers_by_shape(
