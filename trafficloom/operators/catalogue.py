@@ -90,6 +90,34 @@ def source_stats(features: DataFrame) -> DataFrame:
     )
 
 
+def stats_of_points(features: DataFrame) -> DataFrame:
+    """``source_stats`` of features in any known system: every point is a row on its way through the
+    projection, which then compiles to plain arithmetic as it can't inside an array."""
+    geometry = F.col("geometry")
+    points = features.select(
+        "source", "year", geometry["srid"].alias("_srid"), F.posexplode_outer(F.flatten(geometry["parts"])).alias("_at", "_p")
+    ).select("source", "year", "_srid", "_at", F.col("_p.x").alias("_x"), F.col("_p.y").alias("_y"))
+    lon, lat = [], []
+    for srid in geo.ZONES:
+        here = F.col("_srid") == srid
+        points = points.withColumns({f"_x{srid}": F.when(here, F.col("_x")), f"_y{srid}": F.when(here, F.col("_y"))})
+        points = geo.reproject_columns(points, srid, f"_x{srid}", f"_y{srid}", f"_lon{srid}", f"_lat{srid}")
+        lon.append((here, F.col(f"_lon{srid}")))
+        lat.append((here, F.col(f"_lat{srid}")))
+
+    def moved(own: str, cases: Sequence[tuple[Column, Column]]) -> Column:
+        out = F.when(F.col("_srid") == geo.SRID, F.col(own))
+        for here, place in cases:
+            out = out.when(here, place)
+        return out.otherwise(F.col(own))
+
+    x, y = moved("_x", lon), moved("_y", lat)
+    box = points.withColumns({"xmin": x, "ymin": y, "xmax": x, "ymax": y})
+    # A feature without points has one row, too, without a place.
+    n = F.count_if(F.coalesce("_at", F.lit(0)) == 0).alias("n")
+    return box.groupBy("source").agg(n, *bounds_of(), F.max("year").alias("year"))
+
+
 def table_stats(features: DataFrame, code: str) -> DataFrame:
     """The same of a table that holds one source and was written with its envelope columns; read by
     ``footers.read`` it takes no row of it."""

@@ -8,7 +8,8 @@ from trafficloom.catalogue_data import BY_CODE, LEVEL_OF, live_codes
 from trafficloom.functions import geometry as geo
 from trafficloom.model import ORDINAL
 from trafficloom.operators import grouping
-from trafficloom.operators.catalogue import source_stats
+from trafficloom.operators.canonical import where_they_lie
+from trafficloom.operators.catalogue import stats_of_points
 from trafficloom.operators.tiles import combine
 from trafficloom.queries import standins as s
 from trafficloom.queries.joins import (
@@ -637,7 +638,9 @@ def all_sources_by_group(spark, folder):
 """)
 def all_sources_statistics(spark, folder):
     """Every line runs east, so the first vertices alone give the western bound."""
-    return source_stats(merged(spark, folder)).select("source", "n", "year", "west")
+    with where_they_lie():
+        features = merged(spark, folder)
+    return stats_of_points(features).select("source", "n", "year", "west")
 
 
 # -------------------------------------------------------------------------------- links
