@@ -10,6 +10,7 @@ from fractions import Fraction
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -282,6 +283,38 @@ def test_page_texts_against_a_plain_loop(spark):
     assert page_diff.main_text(df.filter("1 = 0")).count() == 0
 
 
+def test_pages_that_declare_their_article_are_aligned_too(spark):
+    """The alignment meets every page and all its lines; the containers have the last word."""
+    rows = [
+        (i, f"https://a.example/{i}", f"<nav>Home</nav><nav>menu {i}</nav><article><p>own {i} {'words ' * 9}</p><p>As ever.</p>"
+         f"<p>more {i}</p></article><footer>a.example</footer>")
+        for i in range(8)
+    ]
+    rows += [(8 + i, f"https://b.example/{i}", f"<div>Home</div><p>own {i} {'words ' * 9}</p><div>a.example</div>") for i in range(3)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    frames = [(r.host, r.frame) for r in page_diff.frame_lines(df.select("url", "html")).collect()]
+    assert sorted(frames) == [("a.example", [False, True, False])] * 8 + [("b.example", [True, False, True])] * 3
+    got = {r.page_id: r for r in page_diff.main_text(df).collect()}
+    for i in range(8):
+        assert got[i].text == f"own {i} {'words ' * 9}".strip() + f"\nAs ever.\nmore {i}"
+        assert (got[i].n_shared, got[i].n_kept) == (0, 1)
+    assert all(got[8 + i].text.startswith(f"own {i}") and (got[8 + i].n_shared, got[8 + i].n_kept) == (2, 0) for i in range(3))
+    # Of a page's lines the alignment sees those too that the check takes away.
+    narrow = page_diff._parse(iter([pa.RecordBatch.from_pylist([{"url": None, "html": rows[0][2]}])]), pa.schema(
+        {"hashes": pa.list_(pa.int64()), "lengths": pa.list_(pa.int32()), "is_open": pa.bool_()}), False)
+    (row,) = next(narrow).to_pylist()
+    assert len(set(row["hashes"])) == 6 and [n > 0 for n in row["lengths"]] == [False, False, True, True, True, False]
+    assert not row["is_open"]
+
+
+@pytest.mark.parametrize("bits", [0, 1, 2])
+def test_neighbours_meet_across_blocks(spark, monkeypatch, bits):
+    monkeypatch.setattr(page_diff, "_BLOCK", bits)
+    rows = [r[:3] for r in page_rows(random.Random(15))[0]]
+    got = page_diff.main_text(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert sorted(((r.page_id, r.text) for r in got.collect()), key=str) == brute_page_texts(rows)
+
+
 def test_given_pages_hold_their_documents(spark):
     """Menus, adverts and footers out, the article in, also where a sentence is on many pages."""
     import html as h

@@ -1,13 +1,16 @@
-"""Main text of web pages: containers that say what they hold, and nearest pages' shared lines deleted.
-
-A page becomes text lines (page_lines). Lines in containers of menus, headers, adverts, comments and
-the like go, those in an element that declares the article stay whatever other pages say, and lines
-whose containers say nothing are open. Of the pages with open lines, the distinct ones of a host are
-set in the order of their URL paths. Each is aligned with the nearest two of its four neighbours there
-(longest common path prefix first) by longest common subsequence, and open lines shared with both are
-deleted; a host with two such pages has one partner for each. A neighbour that shares four fifths of
+"""Main text of web pages: lines shared with the nearest pages of the host go, containers check it.
+
+A page becomes text lines (page_lines). The distinct pages of a host are set in the order of their
+URL paths and every one is aligned, by longest common subsequence of all its lines, with the nearest
+two of its four neighbours there (longest common path prefix first). Lines shared with both are the
+site's frame; a host with two pages has one partner for each. A neighbour that shares four fifths of
 its text is a copy, not a sign of the site's frame, and is passed over, as copies would erase each other.
 
+What the containers say is the check that follows: lines in menus, headers, adverts, comments and the
+like go even if no neighbour has them, and lines in an element that declares the article stay even if
+the neighbours share them. All others are open, and for them the alignment decides. Pages with open
+lines have such pages for neighbours, the rest the rest. Pages are distinct by what the check leaves.
+
 Defined results: a null html counts as empty; pages without text give the empty string. Null and
 unreadable URLs share one host, the empty one. Repeated rows and ids give one row each. All rules
 look at the page, its host's pages and nothing else. An empty table gives no rows. Extra columns
@@ -18,7 +21,9 @@ from __future__ import annotations
 
 import os.path
 import re
+from collections import deque
 from collections.abc import Iterator
+from itertools import chain, groupby, repeat
 
 import pyarrow as pa
 import xxhash
@@ -36,6 +41,8 @@ COPY = 0.8
 _CELLS = 1 << 26
 #: Rows a Python task hands over at once.
 _BATCH = 256
+#: Pages that follow each other meet their neighbours in blocks of so many (bits).
+_BLOCK = 8
 
 _URL = re.compile(r"(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#]*)([^#]*)")
 
@@ -148,7 +155,8 @@ def shared_lines(me: dict, others: list[dict]) -> list[int]:
 # -- pages
 
 def _parse(batches: Iterator[pa.RecordBatch], schema: pa.Schema, texts: bool) -> Iterator[pa.RecordBatch]:
-    """texts: the lines that may be in the result; else what the alignment needs of open pages."""
+    """texts: the lines that may be in the result; else what the alignment needs: all lines, those
+    that the check takes away with length 0."""
     names = schema.names
     for batch in batches:
         for at in range(0, batch.num_rows, _BATCH):
@@ -157,19 +165,19 @@ def _parse(batches: Iterator[pa.RecordBatch], schema: pa.Schema, texts: bool) ->
             out: dict[str, list] = {n: [] for n in names}
             for page, url, html in zip(ids, part.column("url").to_pylist(), part.column("html").to_pylist()):
                 found, marks = lines(html)
+                if not texts and not found:
+                    continue
                 host, path = host_and_path(url)
                 is_open = OPEN in marks
-                if not texts and not is_open:
-                    continue
                 left = [t for t, m in zip(found, marks) if m != AWAY]
-                hashes = [xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")) - 2**63 for t in left] if is_open else []
-                # Only open pages meet the frame; the others' names are spread by their text.
                 named = xxhash.xxh3_128_hexdigest("\n".join(left).encode("utf-8", "surrogatepass"))
-                content = named if is_open else f"settled {named}"
                 row = {
                     "page_id": page.as_py() if texts else None, "url": url, "host": host, "path": path,
-                    "content": content, "texts": left, "hashes": hashes, "lengths": [len(t) for t in left],
+                    "content": named if is_open else f"settled {named}", "is_open": is_open, "texts": left,
                 }
+                if not texts:
+                    row["hashes"] = [xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")) - 2**63 for t in found]
+                    row["lengths"] = [len(t) if m != AWAY else 0 for t, m in zip(found, marks)]
                 for n in names:
                     out[n].append(row[n])
             yield pa.RecordBatch.from_pydict(out, schema=schema)
@@ -183,9 +191,9 @@ def _parsed(pages: DataFrame, ddl: str, texts: bool) -> DataFrame:
 
 
 def _in_order(pages: DataFrame) -> DataFrame:
-    """The rows, saved, with their place (at) in the order of host, path and content. Sorted by
+    """The rows, saved, with their place (at) in the order of host, kind, path and content. Sorted by
     ranges, so that a large host spreads over many tasks; the driver sees one count per range."""
-    ordered = saved(pages.orderBy("host", "path", "content").withColumn("at", F.monotonically_increasing_id()))
+    ordered = saved(pages.orderBy("host", "is_open", "path", "content").withColumn("at", F.monotonically_increasing_id()))
     part = F.shiftright("at", 33)
     ranges = ordered.groupBy(part.alias("part")).agg(F.count("*").alias("n")).orderBy("part").collect()
     first, offsets = 0, []
@@ -197,44 +205,61 @@ def _in_order(pages: DataFrame) -> DataFrame:
     return ordered.withColumn("at", F.col("first") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))).drop("part", "first")
 
 
+def _with_neighbours(rows: Iterator[dict]) -> Iterator[tuple[dict, list[dict]]]:
+    """Each page that is a block's own, with its neighbours. Of the rows of a block, in order, no more
+    than a page and its neighbours are kept."""
+    for _, block in groupby(rows, key=lambda r: r["block"]):
+        near: deque = deque(repeat(None, 2 * REACH + 1), maxlen=2 * REACH + 1)
+        for row in chain(block, repeat(None, REACH)):
+            near.append(row)
+            me = near[REACH]
+            if me and me["own"]:
+                yield me, [o for o in near if o and o is not me]
+
+
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = (r for b in batches for at in range(0, b.num_rows, _BATCH) for r in b.slice(at, _BATCH).to_pylist())
+    types = {"host": pa.string(), "content": pa.string(), "frame": pa.list_(pa.bool_())}
+    out: list[dict] = []
+    for me, near in _with_neighbours(rows):
+        places = set(shared_lines(me, [o for o in near if o["is_open"] == me["is_open"]]))
+        frame = [i in places for i, n in enumerate(me["lengths"]) if n]
+        if any(frame):
+            out.append({"host": me["host"], "content": me["content"], "frame": frame})
+        if len(out) == _BATCH:
+            yield pa.RecordBatch.from_pylist(out, pa.schema(types))
+            out = []
+    yield pa.RecordBatch.from_pylist(out, pa.schema(types))
+
+
 def frame_lines(pages: DataFrame) -> DataFrame:
-    """host, content and frame, of pages with lines of the site's frame: whether a line is one."""
-    narrow = _parsed(pages, "host string, path string, content string, hashes array<bigint>, lengths array<int>", False)
-    distinct = narrow.groupBy("host", "content").agg(F.min(F.struct("path", "hashes", "lengths")).alias("r"))
+    """host, content and frame, of pages that share lines with their nearest ones: of each line that
+    may be in the result, whether it is shared."""
+    ddl = "host string, path string, content string, is_open boolean, hashes array<bigint>, lengths array<int>"
+    narrow = _parsed(pages, ddl, False)
+    distinct = narrow.groupBy("host", "content").agg(F.min(F.struct("path", "is_open", "hashes", "lengths")).alias("r"))
     placed = _in_order(distinct.select("host", "content", "r.*"))
-    # Every page is sent to the places of its neighbours: five pages meet at a place.
-    row = F.struct("at", "host", "path", "content", "hashes", "lengths")
-    reach = F.array(*map(F.lit, range(-REACH, REACH + 1)))
-    sent = placed.select(row.alias("page"), F.explode(reach).alias("step"))
-    met = sent.groupBy((F.col("page.at") + F.col("step")).alias("place")).agg(F.collect_list("page").alias("pages"))
-
-    def compare(batches):
-        for batch in batches:
-            out: dict[str, list] = {"host": [], "content": [], "frame": []}
-            for place, near in zip(batch.column("place").to_pylist(), batch.column("pages")):
-                near = near.as_py()
-                me = next((p for p in near if p["at"] == place), None)
-                places = shared_lines(me, [p for p in near if p is not me]) if me else []
-                if places:
-                    own = [False] * len(me["hashes"])
-                    for i in places:
-                        own[i] = True
-                    for name, value in zip(out, (me["host"], me["content"], own)):
-                        out[name].append(value)
-            types = (pa.string(), pa.string(), pa.list_(pa.bool_()))
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), types)], names=list(out))
-
-    return met.mapInArrow(compare, "host string, content string, frame array<boolean>")
+    # A page goes to its own block and to those whose pages have it for a neighbour.
+    places = (F.col("at") + step for step in range(-REACH, REACH + 1))
+    blocks = F.array_distinct(F.array(*(F.shiftright(place, _BLOCK) for place in places)))
+    sent = placed.withColumn("block", F.explode(blocks)).withColumn("own", F.col("block") == F.shiftright("at", _BLOCK))
+    met = sent.repartition("block").sortWithinPartitions("block", "at")
+    return met.mapInArrow(_compare, "host string, content string, frame array<boolean>")
 
 
 def main_text(pages: DataFrame) -> DataFrame:
-    """page_id, url, text and n_chars, a row per page, and n_shared, the lines deleted as shared."""
+    """page_id, url, text and n_chars, a row per page; n_shared, the lines deleted as shared, and
+    n_kept, lines as much shared that stay as the article's."""
     page_type = pages.schema["page_id"].dataType.simpleString()
     pages = pages.select("page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     frame = saved(frame_lines(pages.select("url", "html")))
-    ddl = f"page_id {page_type}, url string, host string, content string, texts array<string>"
+    ddl = f"page_id {page_type}, url string, host string, content string, is_open boolean, texts array<string>"
     rows = join_hot(_parsed(pages, ddl, True), frame, ["host", "content"], "left")
-    left = F.filter("texts", lambda _, i: ~F.coalesce(F.get("frame", i), F.lit(False)))
-    n_shared = F.size(F.filter(F.coalesce("frame", F.array().cast("array<boolean>")), lambda x: x))
-    rows = rows.select("page_id", "url", F.array_join(left, "\n").alias("text"), n_shared.cast("long").alias("n_shared"))
-    return rows.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_shared")
+    left = F.filter("texts", lambda _, i: ~(F.col("is_open") & F.coalesce(F.get("frame", i), F.lit(False))))
+    shared = F.size(F.filter(F.coalesce("frame", F.array().cast("array<boolean>")), lambda x: x)).cast("long")
+    rows = rows.select(
+        "page_id", "url", F.array_join(left, "\n").alias("text"),
+        F.when(F.col("is_open"), shared).otherwise(0).alias("n_shared"),
+        F.when(F.col("is_open"), 0).otherwise(shared).cast("long").alias("n_kept"),
+    )
+    return rows.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_shared", "n_kept")

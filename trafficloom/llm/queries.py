@@ -99,7 +99,7 @@ def vector_codes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def page_texts(spark: SparkSession, folder: str) -> DataFrame:
-    return page_diff.main_text(table(spark, folder, "pages")).drop("n_shared")
+    return page_diff.main_text(table(spark, folder, "pages")).drop("n_shared", "n_kept")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
