@@ -307,6 +307,14 @@ def test_pages_that_declare_their_article_are_aligned_too(spark):
     assert not row["is_open"]
 
 
+def test_a_neighbours_advert_takes_no_line(spark):
+    advert = "<div class='ad'>As ever.</div>"
+    rows = [(i, f"//a.example/{i}", f"<div>Frame</div>{advert if i != 2 else '<p>As ever.</p>'}<p>own {i} {'words ' * 9}</p>") for i in range(5)]
+    got = page_diff.main_text(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    own = {i: f"own {i} {'words ' * 9}".strip() for i in range(5)}
+    assert {r.page_id: r.text for r in got.collect()} == own | {2: f"As ever.\n{own[2]}"}
+
+
 @pytest.mark.parametrize("bits", [0, 1, 2])
 def test_neighbours_meet_across_blocks(spark, monkeypatch, bits):
     monkeypatch.setattr(page_diff, "_BLOCK", bits)

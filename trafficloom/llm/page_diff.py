@@ -8,8 +8,9 @@ its text is a copy, not a sign of the site's frame, and is passed over, as copie
 
 What the containers say is the check that follows: lines in menus, headers, adverts, comments and the
 like go even if no neighbour has them, and lines in an element that declares the article stay even if
-the neighbours share them. All others are open, and for them the alignment decides. Pages with open
-lines have such pages for neighbours, the rest the rest. Pages are distinct by what the check leaves.
+the neighbours share them. All others are open, and for them the alignment decides. A line that goes
+by its containers is never the same as one that doesn't. Pages with open lines have such pages for
+neighbours, the rest the rest. Pages are distinct by what the check leaves.
 
 Defined results: a null html counts as empty; pages without text give the empty string. Null and
 unreadable URLs share one host, the empty one. Repeated rows and ids give one row each. All rules
@@ -176,7 +177,12 @@ def _parse(batches: Iterator[pa.RecordBatch], schema: pa.Schema, texts: bool) ->
                     "content": named if is_open else f"settled {named}", "is_open": is_open, "texts": left,
                 }
                 if not texts:
-                    row["hashes"] = [xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")) - 2**63 for t in found]
+                    # An advert's text is not that of a neighbour's paragraph, even if it reads the same.
+                    seeds = [int(m == AWAY) for m in marks]
+                    row["hashes"] = [
+                        xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass"), seed) - 2**63
+                        for t, seed in zip(found, seeds)
+                    ]
                     row["lengths"] = [len(t) if m != AWAY else 0 for t, m in zip(found, marks)]
                 for n in names:
                     out[n].append(row[n])
